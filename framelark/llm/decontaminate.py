@@ -230,24 +230,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     # a row for each document: the items that share a fingerprint with it, as its result lists them
     candidates = pairs.join(texts, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "texts")).alias("candidates"))
 
-    def extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n, hit, listed = [], [], []
-            for text, items_here in zip(batch["text"], batch["candidates"], strict=True):
-                if items_here is None or not len(items_here):
-                    n.append(len(word_hashes(text)))
-                    hit.append(0)
-                    listed.append([])
-                    continue
-                words = _WORD.findall(text.encode().lower())
-                own = [(x["item_id"], w) for x in items_here for t in x["texts"] if (w := _WORD.findall(t.encode()))]
-                count, names = covered(words, own, span)
-                n.append(len(words))
-                hit.append(count)
-                listed.append(sorted(set(names)))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": n, "n_hit": hit, "items": listed})
-
-    out = rows.join(candidates, "doc_id", "left").mapInPandas(extended, f"doc_id {id_type}, n_words long, n_hit long, items array<string>")
+    @F.pandas_udf("n_words long, n_hit long, items array<string>")
+    def extended(texts: pd.Series, candidates: pd.Series) -> pd.DataFrame:
+        n, hit, listed = [], [], []
+        for text, items_here in zip(texts, candidates, strict=True):
+            if items_here is None or not len(items_here):
+                n.append(len(word_hashes(text)))
+                hit.append(0)
+                listed.append([])
+                continue
+            words = _WORD.findall(text.encode().lower())
+            own = [(x["item_id"], w) for x in items_here for t in x["texts"] if (w := _WORD.findall(t.encode()))]
+            count, names = covered(words, own, span)
+            n.append(len(words))
+            hit.append(count)
+            listed.append(sorted(set(names)))
+        return pd.DataFrame({"n_words": n, "n_hit": hit, "items": listed})
+
+    out = rows.join(candidates, "doc_id", "left").select("doc_id", extended("text", "candidates").alias("of")).select("doc_id", "of.*")
     return out.select(
         F.col("doc_id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelark.llm import chat, decontaminate, exact_dedup, line_dedup, simhash
+from framelark.llm import chat, decontaminate, exact_dedup, line_dedup, quality, simhash, toxicity
 from framelark.llm.common import documents
 
 
@@ -23,16 +23,24 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, folder))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op5_chat_format, op6_line_dedup, op8_simhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_exact_dedup, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
