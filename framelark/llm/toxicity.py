@@ -17,8 +17,8 @@ from framelark.llm.labelled import fold, training_sample
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 16_000
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-#: Bytes of a part of a word, and hash buckets for all parts.
-PARTS, BUCKETS = (5, 6), 1 << 22
+#: Bytes of a part of a word, how often it has to stand in a text (each number is a feature), and hash buckets for all.
+PARTS, TIMES, BUCKETS = (5, 6), (1, 2, 4, 8), 1 << 22
 #: Buckets that the classifier weighs, at most; labelled documents that must hold one; and its least log likelihood ratio.
 FEATURES, LEAST_DOCS, LEAST_RATIO = 2048, 3, 10.0
 #: Weights of the penalties on score changes under swaps and on large weights.
@@ -54,7 +54,8 @@ def swapped(clean: bytes) -> bytes:
 
 
 def buckets(clean: bytes) -> np.ndarray:
-    """Distinct buckets of all parts of words; a part may hold the space before or after its word, none inside."""
+    """Distinct buckets of all parts of words, by how often they stand there at least. A part may hold the space before or
+    after its word, none inside."""
     out = []
     for at in range(0, len(clean), PIECE):
         data = np.frombuffer(clean[at : at + PIECE + max(PARTS) - 1], np.uint8)
@@ -67,8 +68,12 @@ def buckets(clean: bytes) -> np.ndarray:
             if n == size:
                 k = len(packed)
                 inner = spaces[size - 1 : size - 1 + k] - spaces[1 : 1 + k]
-                out.append(mixed(packed[inner == 0] * np.uint64(8) + np.uint64(size)) >> np.uint64(64 - 22))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+                out.append(packed[inner == 0] * np.uint64(8) + np.uint64(size))
+    if not out:
+        return np.zeros(0, np.uint64)
+    parts, counts = np.unique(np.concatenate(out), return_counts=True)
+    features = [parts[counts >= n] * np.uint64(16) + np.uint64(n) for n in TIMES]
+    return np.unique(mixed(np.concatenate(features)) >> np.uint64(64 - 22))
 
 
 class Classifier:
