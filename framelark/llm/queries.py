@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelark.llm import chat, decontaminate, exact_dedup, line_dedup, quality, simhash, toxicity
+from framelark.llm import chat, decontaminate, exact_dedup, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity
 from framelark.llm.common import documents
 
 
@@ -14,6 +14,14 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, folder))
 
 
+def op2_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_dropout.encoded_and_checked(documents(spark, folder))
+
+
+def op4_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_tokens(documents(spark, folder))
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = spark.read.parquet(f"{folder}/conversations.parquet")
     return chat.digests(chat.format_chat(chat.with_planted(spark, turns)))
@@ -40,7 +48,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
