@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,5 +48,13 @@ def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str) ->
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in columns])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as a Parquet table in the cluster's shared folder (see checkpointed) and read again."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="framelark-")
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")

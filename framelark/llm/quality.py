@@ -170,12 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     return fit_trees(x, got["y"].to_numpy(float))
 
 
-def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score (0 to 1, higher: better), predicted.
-
-    A score depends on the text only. Null and empty texts have statistics of zero and are scored like any text. Labels of
-    unknown documents, nulls and labels other than 0 and 1 are ignored; without usable labels all scores are equal.
-    Rows that repeat an id each get a row; null ids are in fold 0. No rows give no rows. Other columns are ignored."""
+def with_score(docs: DataFrame, labels: DataFrame, name: str, sample: int = SAMPLE) -> DataFrame:
+    """docs with the score of each text in column name."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))  # a few thousand numbers
 
     @F.pandas_udf("double")
@@ -184,5 +180,14 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
             return pd.Series([], dtype=float)
         return pd.Series(model.value.score(np.stack([statistics(t or "") for t in text])))
 
-    out = docs.select("doc_id", score_of(F.col("text")).alias("score"))
+    return docs.withColumn(name, score_of(F.col("text")))
+
+
+def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """One row for each row of docs: doc_id, held_out, score (0 to 1, higher: better), predicted.
+
+    A score depends on the text only. Null and empty texts have statistics of zero and are scored like any text. Labels of
+    unknown documents, nulls and labels other than 0 and 1 are ignored; without usable labels all scores are equal.
+    Rows that repeat an id each get a row; null ids are in fold 0. No rows give no rows. Other columns are ignored."""
+    out = with_score(docs.select("doc_id", "text"), labels, "score", sample)
     return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

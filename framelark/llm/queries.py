@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelark.llm import chat, decontaminate, exact_dedup, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity
+import corpus_pipeline
+from framelark.llm import chat, decontaminate, exact_dedup, html_crf, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity
 from framelark.llm.common import documents
 
 
@@ -18,6 +19,10 @@ def op2_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_dropout.encoded_and_checked(documents(spark, folder))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_crf.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op4_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_tokens(documents(spark, folder))
 
@@ -48,7 +53,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op3_html_extraction, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
