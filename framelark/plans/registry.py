@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from framelark.plans import event_queries
+from framelark.plans.event_queries import Query
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    raise NotImplementedError
+    return event_queries.q_clicks_by_bin(spark, folder)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(event_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(event_queries.SQL)
