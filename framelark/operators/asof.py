@@ -42,14 +42,16 @@ def around(points: DataFrame, clock: DataFrame, keys: Keys, at: str, clock_at: s
     p = points.select(*keys, F.col(at).cast("double").alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), _bucket(at, bucket).alias("_b"), F.struct(*names).alias("_point"))
     places = p.select(*keys, "_b").distinct().join(_firsts(c, keys), [*keys, "_b"], "full")
     w = Window.partitionBy(*keys).orderBy("_b")
+    back = Window.partitionBy(*keys).orderBy(F.desc("_b"))  # frames that reach to the end cost the square of their rows
     carried = places.select(
         *keys, "_b", F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
-        F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_coming"),
+        F.last("_first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_coming"),
     )
     both = c.unionByName(p, allowMissingColumns=True)
     w = Window.partitionBy(*keys, "_b").orderBy("_at", "_side", "_tie")
     both = both.withColumn("_before", F.last("_row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_after", F.first("_row", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    back = Window.partitionBy(*keys, "_b").orderBy(F.desc("_at"), F.desc("_side"), F.desc("_tie"))
+    both = both.withColumn("_after", F.last("_row", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
     found = both.filter("_side = 1").join(carried, [*keys, "_b"], "left")
     return found.select(*[F.col(f"_point.{n}").alias(n) for n in names], F.coalesce("_before", "_carried").alias("before"), F.coalesce("_after", "_coming").alias("after"))
 

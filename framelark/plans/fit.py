@@ -62,7 +62,7 @@ def fit(frames: DataFrame, onsets: DataFrame, others: DataFrame) -> tuple[Mappin
     both = a.withColumn("in_a", F.lit(1)).unionByName(b.withColumn("in_a", F.lit(0))).groupBy("p").agg(F.sum("in_a").alias("na"), F.sum(1 - F.col("in_a")).alias("nb"))
     w = Window.partitionBy(F.lit(0)).orderBy("p")  # as many rows as annotated cuts
     before = F.coalesce(F.sum("na").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    agree = both.select("p", (before + F.sum("nb").over(w.rowsBetween(0, Window.unboundedFollowing))).alias("agree"))
+    agree = both.select("p", (before + parts[1][3][4] - F.coalesce(F.sum("nb").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("agree"))
     split = signal.best(agree, [], "agree", "p").first()
     total = parts[0][3][4] + parts[1][3][4]
     diagnostics["split"] = {"at": int(split["p"]), "coincidental": int(total - split["agree"])}
