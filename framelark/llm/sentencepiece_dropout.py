@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,6 +14,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelark.llm.decontaminate import mixed
 
@@ -22,9 +23,11 @@ SEED, DROPOUT = 7, 0.1
 #: How many ways a word can be cut under one seed; each occurrence picks one by its document and place.
 VARIANTS = 8
 #: Characters of the texts that are encoded together, and words whose merges run in step.
-TOGETHER, IN_STEP = 2_000_000, 50_000
+TOGETHER, IN_STEP = 500_000, 8_000
 #: Longer words run by themselves, with a heap.
 LONG = 100
+#: Words whose cuts a Python worker remembers, about; beyond, it forgets those it has seen fewer than OFTEN times.
+REMEMBERED, OFTEN = 200_000, 3
 SPACE = "▁"
 _WORDS = re.compile(r" *[^ ]+| +")
 _NONE = np.iinfo(np.int64).max
@@ -34,6 +37,13 @@ def _key(x: int) -> np.uint64:
     return np.uint64(x & 0xFFFFFFFFFFFFFFFF)
 
 
+_PLACE_BITS = 20
+
+
+def _place(key: np.ndarray) -> np.ndarray:
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _PLACE_BITS)).astype(np.int64)
+
+
 class Pieces:
     """The model's pieces as arrays. Symbols are piece ids; characters without a piece are symbols from `outside` on.
 
@@ -75,15 +85,29 @@ class Pieces:
                     pairs.append((a << 32 | b, i))
         pairs.sort()
         self.pairs, self.merged = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+        # places by hash; pairs that find their place taken are left to a search
+        self.place = np.zeros(1 << _PLACE_BITS, np.int32)
+        at = _place(self.pairs)
+        self.place[at[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
+        crowded = self.place[at] != np.arange(len(pairs))
+        self.rest, self.rest_merged = self.pairs[crowded], self.merged[crowded]
+        self.crowded = np.zeros(1 << _PLACE_BITS, bool)
+        self.crowded[at[crowded]] = True
         order = np.argsort([-sp.get_score(i) for i in range(n)], kind="stable")
-        self.rank = np.empty(n, np.int64)
+        self.rank, self.by_rank = np.empty(n, np.int64), order
         self.rank[order] = np.arange(n)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two symbols merge into, or -1."""
         key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.merged[at], -1)
+        where = _place(key)
+        at = self.place[where]
+        out = np.where(self.pairs[at] == key, self.merged[at], -1)
+        if len(self.rest) and len(lost := np.flatnonzero(out < 0)):
+            lost = lost[self.crowded[where[lost]]]
+            i = np.minimum(np.searchsorted(self.rest, key[lost]), len(self.rest) - 1)
+            out[lost] = np.where(self.rest[i] == key[lost], self.rest_merged[i], -1)
+        return out
 
 
 def skipped(seed: int, dropout: float, word: np.ndarray, variant: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
@@ -93,6 +117,14 @@ def skipped(seed: int, dropout: float, word: np.ndarray, variant: np.ndarray, at
     return (h >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
 
 
+def word_hashes(symbols: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 63-bit hash for each word of symbols that stand one after the other."""
+    if not len(size):
+        return np.zeros(0, np.int64)
+    each = mixed((symbols.astype(np.uint64) << np.uint64(24)) + _spread(np.zeros(len(size), np.int64), size).astype(np.uint64))
+    return (mixed(np.add.reduceat(each, np.cumsum(size) - size)) >> np.uint64(1)).astype(np.int64)
+
+
 def merged_alone(p: Pieces, symbols: np.ndarray, word: int, variant: int, seed: int, dropout: float) -> np.ndarray:
     """The agenda for one word: candidates leave it by rank, then place; skipped ones are dropped, the others merge."""
     n = len(symbols)
@@ -125,49 +157,52 @@ def merged_alone(p: Pieces, symbols: np.ndarray, word: int, variant: int, seed:
 
 
 def merged_in_step(p: Pieces, symbols: np.ndarray, lengths: np.ndarray, word: np.ndarray, variant: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """The agendas of many words at once: in each round every word's best candidate merges. Symbols left, and their number by word."""
-    sym, owner = symbols.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
+    """The agendas of many words at once: in each round every word's best candidate merges. Symbols left, and their number by
+    word. Words are at most LONG symbols, so a candidate is one number: its rank, then its place."""
+    sym, owner, size = symbols.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths), lengths.copy()
     at = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    words = np.arange(len(lengths))
     done_sym, done_owner = [], []
 
     def candidates(i: np.ndarray) -> np.ndarray:
-        """rank of the merge of symbol i with the next; _NONE if there is none."""
+        """The candidate of symbol i and the next; _NONE if there is none."""
         out = np.full(len(i), _NONE)
-        inner = np.flatnonzero(i + 1 < len(sym))
-        inner = inner[owner[i[inner]] == owner[i[inner] + 1]]
+        inner = np.flatnonzero(owner[i] == owner[np.minimum(i + 1, len(sym) - 1)])
+        inner = inner[i[inner] + 1 < len(sym)]
         k = i[inner]
         new = p.look_up(sym[k], sym[k + 1])
-        inner, k, new = inner[new >= 0], k[new >= 0], new[new >= 0]
-        keep = ~skipped(seed, dropout, word[owner[k]], variant[owner[k]], at[k], new)
-        out[inner[keep]] = p.rank[new[keep]]
+        found = np.flatnonzero(new >= 0)
+        k, new = k[found], new[found]
+        keep = np.flatnonzero(~skipped(seed, dropout, word[owner[k]], variant[owner[k]], at[k], new))
+        out[inner[found[keep]]] = p.rank[new[keep]] << 8 | at[k[keep]]
         return out
 
-    by_rank = np.argsort(p.rank)
     rank = candidates(np.arange(len(sym)))
     while len(sym):
-        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        best = np.minimum.reduceat(rank, starts)
-        size = np.diff(np.concatenate([starts, [len(sym)]]))
-        active = np.repeat(best != _NONE, size)
-        if not active.all():
-            done_sym.append(sym[~active])
-            done_owner.append(owner[~active])
-            sym, owner, at, rank = sym[active], owner[active], at[active], rank[active]
-            best, size = best[best != _NONE], size[best != _NONE]
+        best = np.minimum.reduceat(rank, np.cumsum(size) - size)
+        busy = best != _NONE
+        if 2 * np.count_nonzero(busy) <= len(busy):  # put finished words aside, when they are many
+            on = np.repeat(busy, size)
+            done_sym.append(sym[~on])
+            done_owner.append(owner[~on])
+            sym, owner, at, rank = sym[on], owner[on], at[on], rank[on]
+            words, size, best = words[busy], size[busy], best[busy]
+            busy = np.ones(len(words), bool)
             if not len(sym):
                 break
-        hit = np.flatnonzero(rank == np.repeat(best, size))
-        hit = hit[np.concatenate([[True], owner[hit[1:]] != owner[hit[:-1]]])]
-        sym[hit] = by_rank[rank[hit]]
+        hit = np.flatnonzero((rank == np.repeat(best, size)) & (rank != _NONE))
+        sym[hit] = p.by_rank[rank[hit] >> 8]
         alive = np.ones(len(sym), bool)
         alive[hit + 1] = False
-        hit = hit - np.arange(len(hit))  # each word loses one symbol, so places move left by the words before
+        hit = hit - np.arange(len(hit))  # a symbol goes for each hit before
         sym, owner, at, rank = sym[alive], owner[alive], at[alive], rank[alive]
+        size[busy] -= 1
         changed = np.concatenate([hit, hit[hit > 0] - 1])
         rank[changed] = candidates(changed)
-    all_owner = np.concatenate(done_owner) if done_owner else np.zeros(0, np.int64)
-    order = np.argsort(all_owner, kind="stable")
-    return (np.concatenate(done_sym)[order] if done_sym else sym), np.bincount(all_owner, minlength=len(lengths))
+    if not done_sym:
+        return sym, np.zeros(len(lengths), np.int64)
+    all_owner = np.concatenate(done_owner)
+    return np.concatenate(done_sym)[np.argsort(all_owner, kind="stable")], np.bincount(all_owner, minlength=len(lengths))
 
 
 def _to_ids(p: Pieces, sym: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,54 +221,117 @@ def _to_ids(p: Pieces, sym: np.ndarray, count: np.ndarray) -> tuple[np.ndarray,
     return ids, np.bincount(owner, width, len(count)).astype(np.int64)
 
 
-def encode_texts(p: Pieces, keys: list[int], texts: list[str], seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all texts, one after the other, and how many each has. keys: a number for each text, that picks its variants."""
-    index: dict[str, int] = {}
-    places, n_words = [], []
-    for text in texts:
-        found = _WORDS.findall(text)
-        places.append(np.fromiter((index.setdefault(w, len(index)) for w in found), np.int64, len(found)))
-        n_words.append(len(found))
-    if not index:
-        return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    picks = [mixed(mixed(np.arange(n, dtype=np.uint64) + _key(k)) + _key(seed)) % np.uint64(variants) for k, n in zip(keys, n_words, strict=True)]
-    cell = np.concatenate(places) * variants + np.concatenate(picks).astype(np.int64)
-    used = np.zeros(len(index) * variants, bool)
-    used[cell] = True
-    cells = np.flatnonzero(used)
-    slot = np.cumsum(used) - 1
-    words = list(index)
-    crc = np.array([zlib.crc32(w.encode()) for w in words], np.int64)
-    size = np.array([len(w) for w in words], np.int64)
-    parts, counts = [], []
-    for a in range(0, len(cells), IN_STEP):
-        own = cells[a : a + IN_STEP]
-        which, variant = own // variants, own % variants
-        length = size[which]
-        chars = np.frombuffer("".join([words[i] for i in which.tolist()]).encode("utf-32-le"), np.uint32)
-        symbols = p.first[chars]
-        long = np.flatnonzero(length > LONG)
-        if len(long):
-            is_long = np.repeat(length > LONG, length)
-            ends = np.cumsum(length)
-            alone = {i: merged_alone(p, symbols[ends[i] - length[i] : ends[i]], int(crc[which[i]]), int(variant[i]), seed, dropout) for i in long.tolist()}
-            rest = np.flatnonzero(length <= LONG)
-            sym, count = merged_in_step(p, symbols[~is_long], length[rest], crc[which[rest]], variant[rest], seed, dropout)
-            each = dict(zip(rest.tolist(), np.split(sym, np.cumsum(count)[:-1]), strict=True)) | alone
-            sym, count = np.concatenate([each[i] for i in range(len(own))]), np.array([len(each[i]) for i in range(len(own))])
-        else:
-            sym, count = merged_in_step(p, symbols, length, crc[which], variant, seed, dropout)
-        sym, count = _to_ids(p, sym, count)
-        parts.append(sym)
-        counts.append(count)
-    flat, count = np.concatenate(parts), np.concatenate(counts)
-    begin = np.cumsum(count) - count
-    word = slot[cell]
-    n = count[word]
-    ends = np.cumsum(n)
-    ids = flat[np.repeat(begin[word] - (ends - n), n) + np.arange(n.sum())]
-    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
-    return ids, np.diff(bounds)
+class _Index(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type, fill: int = 0):
+        self.fill, self.n = fill, 0
+        self.all = np.full(1 << 12, fill, kind)
+
+    def add(self, values: np.ndarray | int) -> None:
+        """Appends values, or so many times fill."""
+        end = self.n + (values if isinstance(values, int) else len(values))
+        if end > len(self.all):
+            self.all = np.concatenate([self.all, np.full(max(end, 2 * len(self.all)) - len(self.all), self.fill, self.all.dtype)])
+        if not isinstance(values, int):
+            self.all[self.n : end] = values
+        self.n = end
+
+
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (count[0] of them), begin[1], ..."""
+    ends = np.cumsum(count)
+    return np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Encoder:
+    """Encodes texts and remembers how it has cut each word in each variant (a cell)."""
+
+    def __init__(self, pieces: Pieces, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS):
+        self.pieces, self.seed, self.dropout, self.variants = pieces, seed, dropout, variants
+        self._start()
+
+    def _start(self) -> None:
+        self.index = _Index()
+        self.symbols, self.at, self.size, self.hash, self.seen = _Grown(np.int32), _Grown(np.int64), _Grown(np.int64), _Grown(np.int64), _Grown(np.int64)
+        self.begin, self.count, self.flat = _Grown(np.int32, -1), _Grown(np.int32), _Grown(np.int32)
+
+    def _learn(self, words: list[str]) -> None:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        symbols = self.pieces.first[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        self.at.add(self.symbols.n + np.cumsum(size) - size)
+        self.symbols.add(symbols)
+        self.size.add(size)
+        self.hash.add(word_hashes(symbols, size))
+        self.seen.add(len(words))
+        self.begin.add(len(words) * self.variants)
+        self.count.add(len(words) * self.variants)
+
+    def _forget(self) -> None:
+        """Keeps words seen often, with their cuts; none if that is most of them."""
+        n = len(self.index)
+        kept = np.flatnonzero(self.seen.all[:n] >= OFTEN)
+        words, old = list(self.index), (self.begin.all, self.count.all, self.flat.all, self.seen.all[kept])
+        self._start()
+        if 2 * len(kept) > n:
+            return
+        self.index.update((words[i], k) for k, i in enumerate(kept.tolist()))
+        self._learn(list(self.index))
+        cells = _spread(kept * self.variants, np.full(len(kept), self.variants))
+        begin, count = old[0][cells], old[1][cells]
+        self.flat.add(old[2][_spread(begin, count)])
+        self.begin.all[: len(cells)] = np.where(begin < 0, -1, np.cumsum(count) - count)
+        self.count.all[: len(cells)] = count
+        self.seen.all[: len(kept)] = old[3]
+
+    def _cut(self, cells: np.ndarray) -> None:
+        p, seed, dropout = self.pieces, self.seed, self.dropout
+        word, variant = cells // self.variants, cells % self.variants
+        size, hashed, at = self.size.all[word], self.hash.all[word], self.at.all[word]
+        short, long = np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)
+        parts = []
+        if len(short):
+            symbols = self.symbols.all[_spread(at[short], size[short])]
+            parts.append((cells[short], *merged_in_step(p, symbols, size[short], hashed[short], variant[short], seed, dropout)))
+        for i in long.tolist():
+            sym = merged_alone(p, self.symbols.all[at[i] : at[i] + size[i]].astype(np.int64), int(hashed[i]), int(variant[i]), seed, dropout)
+            parts.append((cells[i : i + 1], sym, np.array([len(sym)])))
+        for own, sym, count in parts:
+            ids, count = _to_ids(p, sym, count)
+            self.begin.all[own] = self.flat.n + np.cumsum(count) - count
+            self.count.all[own] = count
+            self.flat.add(ids)
+
+    def encode(self, keys: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts, one after the other, and how many each has. keys: a number for each text, that picks its variants."""
+        if len(self.index) > REMEMBERED:
+            self._forget()
+        number, known = self.index.__getitem__, len(self.index)
+        found = [_WORDS.findall(text) for text in texts]
+        n_words = np.fromiter(map(len, found), np.int64, len(found))
+        place = np.fromiter(map(number, itertools.chain.from_iterable(found)), np.int64, n_words.sum())
+        if not len(place):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        self._learn(list(itertools.islice(self.index, known, None)))
+        self.seen.all[: len(self.index)] += np.bincount(place, minlength=len(self.index))
+        base = mixed(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + _key(self.seed))
+        pick = mixed(np.repeat(base, n_words) + _spread(np.zeros(len(n_words), np.int64), n_words).astype(np.uint64)) % np.uint64(self.variants)
+        cell = place * self.variants + pick.astype(np.int64)
+        new = np.unique(cell[self.begin.all[cell] < 0])
+        for a in range(0, len(new), IN_STEP):
+            self._cut(new[a : a + IN_STEP])
+        n = self.count.all[cell]
+        ids = self.flat.all[_spread(self.begin.all[cell], n)]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])])
 
 
 def decode_ids(p: Pieces, ids: np.ndarray) -> str:
@@ -245,36 +343,52 @@ def _pieces(model: bytes) -> Pieces:
     return Pieces(model)
 
 
+@lru_cache(1)
+def _encoder(model: bytes, seed: int, dropout: float, variants: int) -> Encoder:
+    return Encoder(_pieces(model), seed, dropout, variants)
+
+
 def _model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
-    """docs with a column ids (array<int>): each whole text as piece ids under merge-dropout; an older column ids goes.
+def encode(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS, check: bool = False
+) -> DataFrame:
+    """docs with a column ids (array<int>): each whole text as piece ids under merge-dropout; an older column ids goes. With
+    check there is also lossless: whether the ids decode to the text (null: empty) as it was.
 
     Every candidate merge that comes up in a word's agenda is skipped by a keyed hash with probability dropout. The same
     seed, id and text give the same ids, however rows are dealt to tasks. Null and empty texts have no ids. Rows with null
     ids share a key. Repeated rows are encoded alike. No rows give no rows. All other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(_model(model))  # half a megabyte
-
-    @F.arrow_udf("array<int>")
-    def ids_of(key: pa.Array, text: pa.Array) -> pa.Array:
-        p, ids, counts, keys, texts, held = _pieces(shared.value), [], [], [], [], 0
-        for k, t in zip(key.to_pylist(), text, strict=True):
-            keys.append(xxhash.xxh64_intdigest(k or "", 0))
-            texts.append(t.as_py() or "")
-            held += len(texts[-1])
-            if held >= TOGETHER:
-                got = encode_texts(p, keys, texts, seed, dropout, variants)
-                ids.append(got[0])
-                counts.append(got[1])
-                keys, texts, held = [], [], 0
-        got = encode_texts(p, keys, texts, seed, dropout, variants)
-        counts = np.concatenate([*counts, got[1]])
-        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), np.concatenate([*ids, got[0]]))
-
-    return docs.drop("ids").withColumn("ids", ids_of(F.col(id_col).cast("string"), F.col(text_col)))
+    kept = docs.drop("ids", *["lossless"] * check)
+    names = kept.columns
+    id_at, text_at = names.index(id_col), names.index(text_col)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared.value, seed, dropout, variants)
+        for batch in batches:
+            key, text = batch.column(id_at), batch.column(text_at)
+            first, held, texts = 0, 0, []
+            for i in range(batch.num_rows):  # some documents at a time, so that only their ids are held
+                texts.append(text[i].as_py() or "")
+                held += len(texts[-1])
+                if held < TOGETHER and i + 1 < batch.num_rows:
+                    continue
+                own = batch.slice(first, len(texts))
+                keys = [xxhash.xxh64_intdigest("" if k is None else str(k), 0) for k in key.slice(first, len(texts)).to_pylist()]
+                ids, counts = encoder.encode(keys, texts)
+                ends = np.cumsum(counts)
+                out = [*own.columns, pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids)]
+                if check:
+                    out.append(pa.array([decode_ids(encoder.pieces, x) == t for x, t in zip(np.split(ids, ends[:-1]), texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(out, [*names, "ids", *["lossless"] * check])
+                first, held, texts = i + 1, 0, []
+
+    schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *[T.StructField("lossless", T.BooleanType())] * check])
+    return kept.toDF(*[f"_{i}" for i in range(len(names))]).mapInArrow(rows, schema)  # any column name will do
 
 
 def decoded(ids: Column, spark_context, model: str = MODEL) -> Column:
@@ -291,6 +405,5 @@ def decoded(ids: Column, spark_context, model: str = MODEL) -> Column:
 
 def encoded_and_checked(docs: DataFrame) -> DataFrame:
     """doc_id, ids, n_ids and lossless: whether ids decode to the text (null: empty) as it was."""
-    out = encode(docs.select("doc_id", "text"))
-    back = decoded(F.col("ids"), docs.sparkSession.sparkContext)
-    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), (back == F.coalesce("text", F.lit(""))).alias("lossless"))
+    out = encode(docs.select("doc_id", "text"), check=True)
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "lossless")

@@ -27,3 +27,25 @@ def test_registered_names(spark):
     names = queries.queries()
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= set(names)
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, extra columns with names that operators use, no rows."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, fp string, score double, h string, `a.b` string"
+    rest = (None, None, None, "k", "f", 0.5, "h", "x")
+    texts = ["some plain words that follow one another here", None, "", "x " * 100_000, "y" * 200_000, "only here"]
+    rows = [(i, t, *rest) for i, t in enumerate(texts)] + [(0, texts[0], *rest), (9, texts[0], *rest), (None, "lost", *rest), (None, None, *rest)]
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(0, 1, 0), (2, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "only here"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns + (["ids"] if name == "sentencepiece" else [])
+        ids = [r["doc_id"] for r in got.select("doc_id").collect()]
+        if name == "exact_dedup":
+            assert sorted(ids) == [0, 0, 1, 3, 4, 5]  # null and empty are one text; rows that share an id share its fate
+        if name == "decontaminate":
+            assert 5 not in ids and 0 in ids
+        if name == "sentencepiece":
+            assert len(ids) == len(rows)
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0

@@ -65,6 +65,8 @@ def test_encoding_in_spark(spark, monkeypatch):
     rows = spark.createDataFrame([(i if i else None, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
     got = sp.encoded_and_checked(rows.repartition(4)).collect()
     assert len(got) == len(texts) and all(r["lossless"] for r in got)
+    back = sp.encode(rows).select("text", sp.decoded(F.col("ids"), spark.sparkContext).alias("back")).collect()
+    assert all(r["back"] == (r["text"] or "") for r in back)
     again = {r["doc_id"]: r["ids"] for r in sp.encode(rows.coalesce(1)).collect()}
     assert {r["doc_id"]: r["ids"] for r in got} == again
     assert sp.encode(rows.limit(0)).count() == 0
