@@ -12,29 +12,33 @@ from framelark.llm import decontaminate, exact_dedup, quality, sentencepiece_dro
 from framelark.llm.common import documents, written
 
 
+def _columns_of(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It is trained on those labelled documents that are in docs."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.with_score(docs, labels, "_score")
-    return scored.filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.with_score(docs, labels, "_framelark_score")
+    return scored.filter(F.col("_framelark_score") >= quality.THRESHOLD).select(*_columns_of(docs))
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with the same text, the one with the smallest id."""
-    return docs.join(exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"), "doc_id", "left_semi").select(*_columns_of(docs))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that SimHash links, directly or by others, the one with the smallest id."""
     kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*_columns_of(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages don't contaminate."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     kept = decontaminate.decontaminate(docs, items).filter("NOT contaminated").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*_columns_of(docs))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
