@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from framelark.functions import axis, text
 from framelark.operators import asof, peaks, runs, signal
 from framelark.plans import cues, media, steps, tracks, viewport
+from framelark.sources import recordings, subtitles
 from framelark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -431,3 +432,99 @@ def q_mono(spark, folder):
 def q_visible(spark, folder):
     e = events(spark, folder)
     return viewport.visible(e.withColumn("b", F.col("us")), "us", "b", DAY, 10 * DAY).select("user_id", "event_id", F.col("us").alias("value_us"))
+
+
+@query("""WITH g AS (SELECT event_id AS k, value AS x FROM events), p AS (SELECT event_id, event_id * CAST(0.013 AS DOUBLE) - 3 AS t FROM events),
+c AS (SELECT *, t / CAST(0.01 AS DOUBLE) - 0.5 AS place, CAST(least(greatest(floor(t / CAST(0.01 AS DOUBLE) - 0.5), 0), (SELECT max(k) FROM g)) AS BIGINT) AS k FROM p)
+SELECT c.event_id, round(a.x + least(greatest(place - c.k, 0), 1) * (coalesce(b.x, a.x) - a.x), 6) AS x FROM c JOIN g a ON a.k = c.k LEFT JOIN g b ON b.k = c.k + 1""")
+def q_grid_value(spark, folder):
+    e = events(spark, folder)
+    points = e.select("event_id", (F.col("event_id") * 0.013 - 3).alias("t"))
+    grid = e.select(F.col("event_id").alias("k"), F.col("value").alias("x"))
+    return asof.grid_value(points, grid, F.col("t"), 0.01).select("event_id", F.round("x", 6).alias("x"))
+
+
+_LINES = """t AS (SELECT conv_id, turn, turn * CAST(2.5 AS DOUBLE) AS a, turn * CAST(2.5 AS DOUBLE) + 2 AS b, regexp_replace(text, '[\\s<>]+', ' ', 'g') AS text
+FROM conversations WHERE length(trim(regexp_replace(text, '[\\s<>]+', ' ', 'g'))) > 0)"""
+
+
+def spoken_lines(spark, folder):
+    clean = F.regexp_replace("text", r"[\s<>]+", " ")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", (F.col("turn") * 2.5).alias("start"), (F.col("turn") * 2.5 + 2).alias("end"), clean.alias("text"))
+    return rows.filter(F.length(F.trim("text")) > 0)
+
+
+def _code(ms: str, mark: str) -> str:
+    return f"printf('00:%02d:%02d{mark}%03d', {ms} // 60000, {ms} // 1000 % 60, {ms} % 1000)"
+
+
+@query(f"""WITH {_LINES}, n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, CAST(a * 1000 AS BIGINT) AS x, CAST(b * 1000 AS BIGINT) AS y FROM t)
+SELECT conv_id, string_agg(i || chr(10) || {_code('x', ',')} || ' --> ' || {_code('y', ',')} || chr(10) || text || chr(10), chr(10) ORDER BY i) AS srt,
+'WEBVTT' || chr(10) || chr(10) || string_agg({_code('x', '.')} || ' --> ' || {_code('y', '.')} || chr(10) || text || chr(10), chr(10) ORDER BY i) AS vtt FROM n GROUP BY 1""")
+def q_cue_files(spark, folder):
+    return cues.as_text(spoken_lines(spark, folder), ["conv_id"], "turn").select("conv_id", "srt", "vtt")
+
+
+@query(f"WITH {_LINES} SELECT conv_id, a AS start, b AS \"end\", trim(text) AS text FROM t")
+def q_parse_srt(spark, folder):
+    files = cues.as_text(spoken_lines(spark, folder), ["conv_id"], "turn")
+    return files.select("conv_id", F.inline(subtitles.parsed(F.col("srt"))))
+
+
+@query("SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'click') AS clicks FROM events GROUP BY 1")
+def q_unit_counts(spark, folder):
+    return events(spark, folder).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("clicks"))
+
+
+@query("""SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS text FROM documents""")
+def q_html_escape(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", text.html_escaped(F.col("text")).alias("text"))
+
+
+@query("""WITH h AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_id % 70 WHEN 1 THEN event_id % 120 END AS a, CASE event_id % 3 WHEN 0 THEN event_id % 70 + event_id % 50 WHEN 2 THEN event_id % 130 END AS b FROM events),
+r AS (SELECT event_id, coalesce(a, greatest(100 - b, 0)) AS f, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN least(b, 99) ELSE 99 END AS l FROM h)
+SELECT event_id, CASE WHEN f <= l AND f < 100 THEN f ELSE -1 END AS first, CASE WHEN f <= l AND f < 100 THEN l ELSE -1 END AS last FROM r""")
+def q_byte_range(spark, folder):
+    e = F.col("event_id")
+    a = F.when(e % 3 == 0, (e % 70).cast("string")).when(e % 3 == 1, (e % 120).cast("string")).otherwise("")
+    b = F.when(e % 3 == 0, (e % 70 + e % 50).cast("string")).when(e % 3 == 2, (e % 130).cast("string")).otherwise("")
+    found = text.byte_range(F.concat(F.lit("bytes="), a, F.lit("-"), b), F.lit(100).cast("long"))
+    return events(spark, folder).select("event_id", found.alias("r")).select("event_id", F.coalesce("r.first", F.lit(-1)).alias("first"), F.coalesce("r.last", F.lit(-1)).alias("last"))
+
+
+@query(f"WITH {_E} SELECT event_id, printf('%02d:%02d.%02d', us // 60000000, us % 60000000 // 1000000, us % 1000000 // 10000) AS shown FROM e")
+def q_clock(spark, folder):
+    return events(spark, folder).select("event_id", text.clock(F.floor(F.col("us") / 10_000) / 100).alias("shown"))
+
+
+@query("""WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), k AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY event_type) AS upto FROM c),
+d AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events)
+SELECT d.user_id, d.event_id, k.event_type AS unit FROM d JOIN k ON d.user_id = k.user_id AND d.pos >= k.upto - k.n AND d.pos < k.upto""")
+def q_ragged(spark, folder):
+    e = events(spark, folder)
+    w = Window.partitionBy("user_id").orderBy("event_type")
+    counts = e.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.select("user_id", "event_type", F.row_number().over(w).cast("long").alias("unit"), F.sum("n").over(w).alias("end"))
+    pos = (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).cast("long")
+    data = e.select("user_id", pos.alias("pos"), F.col("event_id").alias("value"))
+    found = recordings.ragged(data, ends.select("user_id", "unit", "end"), ["user_id"])
+    return found.join(ends.select("user_id", "unit", "event_type"), ["user_id", "unit"]).select("user_id", F.col("value").alias("event_id"), F.col("event_type").alias("unit"))
+
+
+@query("SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON n_nationkey = c_nationkey")
+def q_known_copies(spark, folder):
+    files = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("fingerprint"))
+    registry = table(spark, folder, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("fingerprint"), "n_name")
+    return steps.known_copies(files, registry).select("c_custkey", F.col("fingerprint").alias("c_nationkey"), "n_name")
+
+
+@query("SELECT count(*) AS files, CAST(sum(p_size) AS BIGINT) AS bytes FROM part")
+def q_fetch_total(spark, folder):
+    return steps.fetch_total(table(spark, folder, "part").select(F.col("p_size").cast("long").alias("size")))
+
+
+@query(f"""WITH {_E}, x AS (SELECT user_id, event_id, us, event_type, row_number() OVER (PARTITION BY user_id ORDER BY us + 3600000000, us) AS rn FROM e WHERE us + 3600000000 >= 864000000000 + 0.000000001 AND us <= 864000000000)
+SELECT user_id, event_id FROM x WHERE rn = 1""")
+def q_current(spark, folder):
+    spans = events(spark, folder).select("user_id", F.col("us").alias("a"), (F.col("us") + 3_600_000_000).alias("b"), "event_id")
+    return viewport.current(spans, ["user_id"], "a", "b", 10 * DAY).select("user_id", "event_id")
