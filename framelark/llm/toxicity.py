@@ -139,13 +139,14 @@ def fit_weights(
 
 
 def best_cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit above which calling a row toxic gives the best F1; halfway between the rows around it."""
+    """The logit above which calling a row toxic gives the best F1; between the rows around it, a third of the way up from the
+    lower one, as toxic rows that say little are rarer in a sample than clean ones, and so less likely to show how low they go."""
     order = np.argsort(-z, kind="stable")
     zs, hits = z[order], np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
     f1[:-1][zs[:-1] == zs[1:]] = -1  # no cut between equal logits
     at = int(f1.argmax())
-    return float(zs[at] - 1 if at + 1 == len(zs) else (zs[at] + zs[at + 1]) / 2)
+    return float(zs[at] - 1 if at + 1 == len(zs) else (zs[at] + 2 * zs[at + 1]) / 3)
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
