@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,14 +20,14 @@ from framelark.llm.decontaminate import mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT = 7, 0.1
-#: How many ways a word can be cut under one seed; each occurrence picks one by its document and place.
-VARIANTS = 8
 #: Characters of the texts that are encoded together, and words whose merges run in step.
 TOGETHER, IN_STEP = 500_000, 8_000
 #: Longer words run by themselves, with a heap.
 LONG = 100
 #: Words whose cuts a Python worker remembers, about; beyond, it forgets those it has seen fewer than OFTEN times.
 REMEMBERED, OFTEN = 200_000, 3
+#: Cuts that it remembers, about; of words up to so many symbols, and after so many skipped candidates. What isn't remembered is worked out.
+CUTS, SHORT, DEEPEST = 600_000, 24, 5
 SPACE = "▁"
 _WORDS = re.compile(r" *[^ ]+| +")
 _NONE = np.iinfo(np.int64).max
@@ -110,11 +110,22 @@ class Pieces:
         return out
 
 
-def skipped(seed: int, dropout: float, word: np.ndarray, variant: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
-    """Whether a candidate merge is skipped: by a hash keyed with the seed, of the word, its variant, the place in it and the piece."""
-    h = mixed(word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + _key(seed)) + variant.astype(np.uint64)
-    h = mixed(mixed(h) + (at.astype(np.uint64) << np.uint64(20)) + piece.astype(np.uint64))
-    return (h >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
+def _drawn(seed: int, word: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
+    """What an occurrence of a word brings to the hashes of its candidate merges."""
+    return mixed(mixed(word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + _key(seed)) + occurrence.astype(np.uint64))
+
+
+def _code(at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    return at << 20 | piece
+
+
+def _dropped(dropout: float, drawn: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return (mixed(drawn + code.astype(np.uint64)) >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
+
+
+def skipped(seed: int, dropout: float, word: np.ndarray, occurrence: np.ndarray, at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """Whether a candidate merge is skipped: by a hash keyed with the seed, of the word, its occurrence, the place in it and the piece."""
+    return _dropped(dropout, _drawn(seed, word, occurrence), _code(at.astype(np.int64), piece))
 
 
 def word_hashes(symbols: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -125,7 +136,7 @@ def word_hashes(symbols: np.ndarray, size: np.ndarray) -> np.ndarray:
     return (mixed(np.add.reduceat(each, np.cumsum(size) - size)) >> np.uint64(1)).astype(np.int64)
 
 
-def merged_alone(p: Pieces, symbols: np.ndarray, word: int, variant: int, seed: int, dropout: float) -> np.ndarray:
+def merged_alone(p: Pieces, symbols: np.ndarray, word: int, occurrence: int, seed: int, dropout: float) -> np.ndarray:
     """The agenda for one word: candidates leave it by rank, then place; skipped ones are dropped, the others merge."""
     n = len(symbols)
     sym, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
@@ -138,7 +149,7 @@ def merged_alone(p: Pieces, symbols: np.ndarray, word: int, variant: int, seed:
         a, b = np.array([sym[i] for i in lefts]), np.array([sym[after[i]] for i in lefts])
         new = p.look_up(a, b)
         place = np.array(lefts)
-        drop = skipped(seed, dropout, np.full(len(place), word), np.full(len(place), variant), place, np.maximum(new, 0))
+        drop = skipped(seed, dropout, np.full(len(place), word), np.full(len(place), occurrence), place, np.maximum(new, 0))
         for i, piece, no in zip(lefts, new.tolist(), drop.tolist(), strict=True):
             if piece >= 0 and not no:
                 heapq.heappush(agenda, (int(p.rank[piece]), i, piece, sym[i], sym[after[i]]))
@@ -156,9 +167,15 @@ def merged_alone(p: Pieces, symbols: np.ndarray, word: int, variant: int, seed:
     return np.array([s for s in sym if s >= 0], np.int64)
 
 
-def merged_in_step(p: Pieces, symbols: np.ndarray, lengths: np.ndarray, word: np.ndarray, variant: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """The agendas of many words at once: in each round every word's best candidate merges. Symbols left, and their number by
-    word. Words are at most LONG symbols, so a candidate is one number: its rank, then its place."""
+def merged_in_step(p: Pieces, symbols: np.ndarray, lengths: np.ndarray, word: np.ndarray, occurrence: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """The agendas of many words at once: symbols left, and their number by word."""
+    drawn = _drawn(seed, word, occurrence)
+    return _in_step(p, symbols, lengths, lambda owner, code: _dropped(dropout, drawn[owner], code))
+
+
+def _in_step(p: Pieces, symbols: np.ndarray, lengths: np.ndarray, skip: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """In each round every word's best candidate merges. skip is asked once for each candidate that comes up, by its word's
+    number and its code. Words are at most LONG symbols, so a candidate is one number: its rank, then its place."""
     sym, owner, size = symbols.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths), lengths.copy()
     at = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     words = np.arange(len(lengths))
@@ -173,7 +190,7 @@ def merged_in_step(p: Pieces, symbols: np.ndarray, lengths: np.ndarray, word: np
         new = p.look_up(sym[k], sym[k + 1])
         found = np.flatnonzero(new >= 0)
         k, new = k[found], new[found]
-        keep = np.flatnonzero(~skipped(seed, dropout, word[owner[k]], variant[owner[k]], at[k], new))
+        keep = np.flatnonzero(~skip(owner[k], _code(at[k], new)))
         out[inner[found[keep]]] = p.rank[new[keep]] << 8 | at[k[keep]]
         return out
 
@@ -253,16 +270,25 @@ def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts and remembers how it has cut each word in each variant (a cell)."""
+    """Encodes texts and remembers how it has cut words.
+
+    Each occurrence has its own hashes; what is remembered doesn't depend on them. A cut of a word is known by the candidates
+    skipped on the way to it. It lists the candidates that come up after the last of those, in order: an occurrence that
+    skips none of them is cut so, one that skips some goes on to the cut in which the first of these is skipped as well."""
 
-    def __init__(self, pieces: Pieces, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS):
-        self.pieces, self.seed, self.dropout, self.variants = pieces, seed, dropout, variants
+    def __init__(self, pieces: Pieces, seed: int = SEED, dropout: float = DROPOUT):
+        self.pieces, self.seed, self.dropout = pieces, seed, dropout
         self._start()
 
     def _start(self) -> None:
         self.index = _Index()
         self.symbols, self.at, self.size, self.hash, self.seen = _Grown(np.int32), _Grown(np.int64), _Grown(np.int64), _Grown(np.int64), _Grown(np.int64)
-        self.begin, self.count, self.flat = _Grown(np.int32, -1), _Grown(np.int32), _Grown(np.int32)
+        self.plain = _Grown(np.int32, -1)  # by word: its cut without skipped candidates
+        # by cut: its word, the cut before (-1: none) and the candidate skipped since, candidates up to that one, its own ones, its ids
+        self.word, self.before, self.without, self.passed = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
+        self.first, self.open, self.begin, self.count = _Grown(np.int64), _Grown(np.int32), _Grown(np.int64), _Grown(np.int32)
+        self.code, self.next = _Grown(np.int32), _Grown(np.int32, -1)  # by candidate of a cut: the cut that skips it
+        self.flat = _Grown(np.int32)
 
     def _learn(self, words: list[str]) -> None:
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -272,47 +298,111 @@ class Encoder:
         self.size.add(size)
         self.hash.add(word_hashes(symbols, size))
         self.seen.add(len(words))
-        self.begin.add(len(words) * self.variants)
-        self.count.add(len(words) * self.variants)
+        self.plain.add(len(words))
 
     def _forget(self) -> None:
         """Keeps words seen often, with their cuts; none if that is most of them."""
-        n = len(self.index)
-        kept = np.flatnonzero(self.seen.all[:n] >= OFTEN)
-        words, old = list(self.index), (self.begin.all, self.count.all, self.flat.all, self.seen.all[kept])
+        n, cuts = len(self.index), self.word.n
+        often = self.seen.all[:n] >= OFTEN
+        kept, stays = np.flatnonzero(often), np.flatnonzero(often[self.word.all[:cuts]])
+        old, words = dict(self.__dict__), list(self.index)
         self._start()
-        if 2 * len(kept) > n:
+        if 2 * len(kept) > n or 2 * len(stays) > CUTS:
             return
         self.index.update((words[i], k) for k, i in enumerate(kept.tolist()))
         self._learn(list(self.index))
-        cells = _spread(kept * self.variants, np.full(len(kept), self.variants))
-        begin, count = old[0][cells], old[1][cells]
-        self.flat.add(old[2][_spread(begin, count)])
-        self.begin.all[: len(cells)] = np.where(begin < 0, -1, np.cumsum(count) - count)
-        self.count.all[: len(cells)] = count
-        self.seen.all[: len(kept)] = old[3]
-
-    def _cut(self, cells: np.ndarray) -> None:
-        p, seed, dropout = self.pieces, self.seed, self.dropout
-        word, variant = cells // self.variants, cells % self.variants
-        size, hashed, at = self.size.all[word], self.hash.all[word], self.at.all[word]
-        short, long = np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)
-        parts = []
-        if len(short):
-            symbols = self.symbols.all[_spread(at[short], size[short])]
-            parts.append((cells[short], *merged_in_step(p, symbols, size[short], hashed[short], variant[short], seed, dropout)))
-        for i in long.tolist():
-            sym = merged_alone(p, self.symbols.all[at[i] : at[i] + size[i]].astype(np.int64), int(hashed[i]), int(variant[i]), seed, dropout)
-            parts.append((cells[i : i + 1], sym, np.array([len(sym)])))
-        for own, sym, count in parts:
-            ids, count = _to_ids(p, sym, count)
-            self.begin.all[own] = self.flat.n + np.cumsum(count) - count
-            self.count.all[own] = count
-            self.flat.add(ids)
+        self.seen.all[: len(kept)] = old["seen"].all[kept]
+        # a last place that -1 finds
+        number = np.full(cuts + 1, -1, np.int32)
+        number[stays] = np.arange(len(stays))
+        new_word = np.cumsum(often) - 1
+        self.plain.all[: len(kept)] = number[old["plain"].all[kept]]
+        was = {name: old[name].all[stays] for name in ("word", "before", "without", "passed", "first", "open", "begin", "count")}
+        self.word.add(new_word[was["word"]])
+        self.before.add(number[was["before"]])
+        for name in ("without", "passed", "open", "count"):
+            getattr(self, name).add(was[name])
+        self.first.add(np.cumsum(was["open"], dtype=np.int64) - was["open"])
+        self.begin.add(np.cumsum(was["count"], dtype=np.int64) - was["count"])
+        slots = _spread(was["first"], was["open"])
+        self.code.add(old["code"].all[slots])
+        self.next.add(number[old["next"].all[slots]])
+        self.flat.add(old["flat"].all[_spread(was["begin"], was["count"])])
+
+    def _symbols(self, word: np.ndarray) -> np.ndarray:
+        return self.symbols.all[_spread(self.at.all[word], self.size.all[word])]
+
+    def _cut(self, word: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """New cuts: of words, or (slot) with a further candidate skipped. The cuts before have skipped equally many."""
+        without = np.full(len(word), -1, np.int32)
+        passed, skips = np.zeros(len(word), np.int64), []
+        if len(slot):
+            without, passed = self.code.all[slot], self.passed.all[before] + slot - self.first.all[before] + 1
+            skips, up = [without], before
+            while self.before.all[up[0]] >= 0:
+                skips.append(self.without.all[up])
+                up = self.before.all[up]
+        owners, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def skip(owner: np.ndarray, code: np.ndarray) -> np.ndarray:
+            owners.append(owner)
+            codes.append(code)
+            out = np.zeros(len(code), bool)
+            for s in skips:
+                out |= s[owner] == code
+            return out
+
+        ids, count = _to_ids(self.pieces, *_in_step(self.pieces, self._symbols(word), self.size.all[word], skip))
+        owner = np.concatenate(owners)
+        came = np.bincount(owner, minlength=len(word))
+        code = np.concatenate(codes)[np.argsort(owner, kind="stable")][_spread(np.cumsum(came) - came + passed, came - passed)]
+        new = np.arange(self.word.n, self.word.n + len(word))
+        self.first.add(self.code.n + np.cumsum(came - passed) - (came - passed))
+        self.begin.add(self.flat.n + np.cumsum(count) - count)
+        for own, values in ((self.word, word), (self.before, before), (self.without, without), (self.passed, passed), (self.open, came - passed), (self.count, count), (self.code, code), (self.flat, ids)):
+            own.add(values)
+        self.next.add(len(code))
+        if len(slot):
+            self.next.all[slot] = new
+        else:
+            self.plain.all[word] = new
+        return new
+
+    def _known(self, place: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """The cut of each occurrence, by its word's number and what it draws; -1 where it isn't worth remembering."""
+        out = np.full(len(place), -1, np.int64)
+        on = np.flatnonzero((self.size.all[place] <= SHORT) & (self.seen.all[place] >= OFTEN))
+        words = np.unique(place[on])
+        words = words[self.plain.all[words] < 0]
+        for a in range(0, len(words), IN_STEP):
+            self._cut(part := words[a : a + IN_STEP], np.full(len(part), -1), part[:0])
+        cut, depth = self.plain.all[place[on]], 0
+        while len(on):
+            n = self.open.all[cut]
+            own, slots = np.repeat(np.arange(len(on)), n), _spread(self.first.all[cut], n)
+            hits = np.flatnonzero(_dropped(self.dropout, drawn[on][own], self.code.all[slots]))
+            of = own[hits]
+            foremost = np.flatnonzero(np.diff(of, prepend=-1))
+            of, slot = of[foremost], slots[hits[foremost]]
+            out[on] = cut
+            on, before, depth = on[of], cut[of], depth + 1
+            out[on] = -1
+            if depth <= DEEPEST and len(on):
+                new, at, times = np.unique(slot[(lost := self.next.all[slot] < 0)], return_index=True, return_counts=True)
+                at = np.flatnonzero(lost)[at]
+                worth = (times > 1) | (self.seen.all[place[on[at]]] >= 4 * OFTEN)
+                new, at = new[worth], at[worth]
+                for a in range(0, len(new), IN_STEP):
+                    part = at[a : a + IN_STEP]
+                    self._cut(place[on[part]], before[part], new[a : a + IN_STEP])
+            cut = self.next.all[slot]
+            on, cut = on[cut >= 0], cut[cut >= 0]
+        return out
 
     def encode(self, keys: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of all texts, one after the other, and how many each has. keys: a number for each text, that picks its variants."""
-        if len(self.index) > REMEMBERED:
+        """Piece ids of all texts, one after the other, and how many each has. keys: a number for each text; it and the place of
+        a word are its occurrence."""
+        if len(self.index) > REMEMBERED or self.word.n > CUTS:
             self._forget()
         number, known = self.index.__getitem__, len(self.index)
         found = [_WORDS.findall(text) for text in texts]
@@ -323,13 +413,26 @@ class Encoder:
         self._learn(list(itertools.islice(self.index, known, None)))
         self.seen.all[: len(self.index)] += np.bincount(place, minlength=len(self.index))
         base = mixed(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + _key(self.seed))
-        pick = mixed(np.repeat(base, n_words) + _spread(np.zeros(len(n_words), np.int64), n_words).astype(np.uint64)) % np.uint64(self.variants)
-        cell = place * self.variants + pick.astype(np.int64)
-        new = np.unique(cell[self.begin.all[cell] < 0])
-        for a in range(0, len(new), IN_STEP):
-            self._cut(new[a : a + IN_STEP])
-        n = self.count.all[cell]
-        ids = self.flat.all[_spread(self.begin.all[cell], n)]
+        occurrence = mixed(np.repeat(base, n_words) + _spread(np.zeros(len(n_words), np.int64), n_words).astype(np.uint64))
+        hashed = self.hash.all[place]
+        cut = self._known(place, _drawn(self.seed, hashed, occurrence))
+        begin, n = self.begin.all[cut], self.count.all[cut].astype(np.int64)
+        rest, held = np.flatnonzero(cut < 0), self.flat.n
+        size = self.size.all[place[rest]]
+        short, long = rest[size <= LONG], rest[size > LONG]
+        parts = []
+        for a in range(0, len(short), IN_STEP):
+            own = short[a : a + IN_STEP]
+            parts.append((own, *merged_in_step(self.pieces, self._symbols(place[own]), self.size.all[place[own]], hashed[own], occurrence[own], self.seed, self.dropout)))
+        for i in long.tolist():
+            sym = merged_alone(self.pieces, self._symbols(place[i : i + 1]).astype(np.int64), int(hashed[i]), int(occurrence[i]), self.seed, self.dropout)
+            parts.append((np.array([i]), sym, np.array([len(sym)])))
+        for own, sym, count in parts:
+            ids, count = _to_ids(self.pieces, sym, count)
+            begin[own], n[own] = self.flat.n + np.cumsum(count) - count, count
+            self.flat.add(ids)
+        ids = self.flat.all[_spread(begin, n)]
+        self.flat.n = held
         ends = np.concatenate([[0], np.cumsum(n)])
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])])
 
@@ -344,8 +447,8 @@ def _pieces(model: bytes) -> Pieces:
 
 
 @lru_cache(1)
-def _encoder(model: bytes, seed: int, dropout: float, variants: int) -> Encoder:
-    return Encoder(_pieces(model), seed, dropout, variants)
+def _encoder(model: bytes, seed: int, dropout: float) -> Encoder:
+    return Encoder(_pieces(model), seed, dropout)
 
 
 def _model(path: str) -> bytes:
@@ -354,21 +457,21 @@ def _model(path: str) -> bytes:
 
 
 def encode(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS, check: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT, check: bool = False
 ) -> DataFrame:
     """docs with a column ids (array<int>): each whole text as piece ids under merge-dropout; an older column ids goes. With
     check there is also lossless: whether the ids decode to the text (null: empty) as it was.
 
-    Every candidate merge that comes up in a word's agenda is skipped by a keyed hash with probability dropout. The same
-    seed, id and text give the same ids, however rows are dealt to tasks. Null and empty texts have no ids. Rows with null
-    ids share a key. Repeated rows are encoded alike. No rows give no rows. All other columns stay."""
+    Every candidate merge that comes up in a word's agenda is skipped by a keyed hash with probability dropout, for each
+    occurrence of the word by itself. The same seed, id and text give the same ids, however rows are dealt to tasks. Null and
+    empty texts have no ids. Rows with null ids differ by their texts. Repeated rows are encoded alike. No rows give no rows. All other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(_model(model))  # half a megabyte
     kept = docs.drop("ids", *["lossless"] * check)
     names = kept.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, seed, dropout, variants)
+        encoder = _encoder(shared.value, seed, dropout)
         for batch in batches:
             key, text = batch.column(id_at), batch.column(text_at)
             first, held, texts = 0, 0, []
@@ -378,7 +481,8 @@ def encode(
                 if held < TOGETHER and i + 1 < batch.num_rows:
                     continue
                 own = batch.slice(first, len(texts))
-                keys = [xxhash.xxh64_intdigest("" if k is None else str(k), 0) for k in key.slice(first, len(texts)).to_pylist()]
+                ids_here = key.slice(first, len(texts)).to_pylist()
+                keys = [xxhash.xxh64_intdigest(t, xxhash.xxh64_intdigest("" if k is None else str(k), 0)) for k, t in zip(ids_here, texts, strict=True)]
                 ids, counts = encoder.encode(keys, texts)
                 ends = np.cumsum(counts)
                 out = [*own.columns, pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids)]

@@ -60,6 +60,29 @@ def test_forgetting_changes_nothing(pieces, monkeypatch):
     assert [one.encode([i], [t])[0].tolist() for i, t in enumerate(texts)] == a
 
 
+def test_each_occurrence_is_cut_by_itself(pieces, monkeypatch):
+    many = cut(pieces, ["internationalisation"] * 3000)
+    assert len({tuple(w) for w in many}) > 8
+    for word in (" a", "in", "of"):  # one candidate, which a tenth of the occurrences skip
+        counts = sp.Encoder(pieces).encode(list(range(20_000)), [word] * 20_000)[1]
+        assert abs((counts > 1).mean() - sp.DROPOUT) < 0.01
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the", "there", "nation", "international", "日本語", "zqzq", "x" * 30, "ab" * 60]) for _ in range(400)) for _ in range(5)]
+    remembered = [w.tolist() for w in cut(pieces, texts, dropout=0.3)]
+    monkeypatch.setattr(sp, "OFTEN", 10**9)
+    assert [w.tolist() for w in cut(pieces, texts, dropout=0.3)] == remembered
+
+
+def test_null_ids_do_not_share_cuts(spark, pieces):
+    word = "internationalisation"
+    rows = spark.createDataFrame([(None, f"{word} {i}") for i in range(60)], "doc_id long, text string")
+    cuts = set()
+    for r in sp.encode(rows).select("ids").collect():
+        ends = np.cumsum([len(pieces.bytes[i]) for i in r["ids"]])
+        cuts.add(tuple(r["ids"][: int(np.searchsorted(ends, len(word))) + 1]))
+    assert len(cuts) > 1
+
+
 def test_encoding_in_spark(spark, monkeypatch):
     texts = [*TEXTS, None, None]
     rows = spark.createDataFrame([(i if i else None, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
