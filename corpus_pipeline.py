@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality, exact copies, near copies, benchmark passages, encoding.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. Rows without an id go with the first
-stage that decides by id (exact copies); rows that share an id share its fate."""
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. It decides for each row by its own text,
+whether ids are null or repeated; but the stage of exact copies still drops rows without an id and keeps all copies under the
+smallest id, of which the stage of near copies leaves one."""
 
 from __future__ import annotations
 
@@ -16,6 +17,23 @@ def _columns_of(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+#: The row's number within a stage, and its place among rows: by id, rows without one last, then by number.
+ROW, PLACE = "_framelark_row", "_framelark_place"
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs, written with a number for each row, so that all that reads it sees the same numbers."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), f"{name}-rows")
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    return docs.select("text", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(ROW)).alias(PLACE))
+
+
+def _chosen(docs: DataFrame, rows: DataFrame, columns: list) -> DataFrame:
+    return docs.join(rows, ROW, "left_semi").select(*columns)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It is trained on those labelled documents that are in docs."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -24,21 +42,26 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text, the one with the smallest id."""
-    return docs.join(exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"), "doc_id", "left_semi").select(*_columns_of(docs))
+    """Of documents with the same text, those with the smallest id."""
+    rows = _numbered(docs, "exact_dedup")
+    own = exact_dedup.exact_dedup(_placed(rows), PLACE)
+    kept = own.filter(F.col(f"{PLACE}.doc_id") == F.col("keep_id.doc_id"))
+    return _chosen(rows, kept.select(f"{PLACE}.{ROW}"), _columns_of(docs))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links, directly or by others, the one with the smallest id."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*_columns_of(docs))
+    """Of documents that SimHash links, directly or by others, one with the smallest id."""
+    rows = _numbered(docs, "simhash")
+    kept = simhash.near_duplicates(_placed(rows), PLACE).filter(F.col(f"{PLACE}.{ROW}") == F.col(f"component_id.{ROW}"))
+    return _chosen(rows, kept.select(f"{PLACE}.{ROW}"), _columns_of(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages don't contaminate."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    kept = decontaminate.decontaminate(docs, items).filter("NOT contaminated").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*_columns_of(docs))
+    rows = _numbered(docs, "decontaminate")
+    kept = decontaminate.decontaminate(rows.select(ROW, "text"), items, ROW).filter("NOT contaminated").select(ROW)
+    return _chosen(rows, kept, _columns_of(docs))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline
 from framelark.llm import exact_dedup, quality, queries
 from framelark.llm.common import documents
@@ -49,3 +51,21 @@ def test_stages_on_odd_rows(spark, tmp_path):
         if name == "sentencepiece":
             assert len(ids) == len(rows)
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: each row by its own text, and one row of those that are linked."""
+    words = " ".join(f"word{i}" for i in range(40))
+    other, third, leak = words.replace("word", "other"), words.replace("word", "third"), words.replace("word", "leak")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    def after(stage, rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        return Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, str(tmp_path)).collect())
+
+    copies = [(1, words), (2, words), (2, other), (None, words)]
+    assert after(corpus_pipeline.first_copies, copies) == Counter([(1, words), (2, other)])
+    linked = [*copies, (1, words), (None, third), (None, third), (2, other)]
+    assert after(corpus_pipeline.one_of_near_copies, linked) == Counter([(1, words), (2, other), (None, third)])
+    leaked = [(1, words), (1, leak), (None, leak), (None, other), (None, other)]
+    assert after(corpus_pipeline.without_benchmark, leaked) == Counter([(1, words), (None, other), (None, other)])
