@@ -6,7 +6,7 @@ brain_region, hemisphere, is_single_unit, cell_type) and spikes (patient, unit_i
 from __future__ import annotations
 
 import importlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from types import ModuleType
 
 import pandas as pd
@@ -49,10 +49,48 @@ def ragged(data: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
     return found.select(*keys, F.col("after.unit").alias("unit"), "pos", "value")
 
 
+def _text(values: Iterable) -> list[str]:
+    return [v.decode() if isinstance(v, bytes) else str(v) for v in values]
+
+
+def nwb_tables(f: Mapping, table: str, patient: int) -> Iterator[pd.DataFrame]:
+    """The rows of a canonical table in one open recording f, which gives groups and arrays by their paths."""
+    if table == "annotations":
+        group = f["processing/machine_learning/movie_annotations_indicator_functions"]
+        values, ends = group["indicator_function"][:], group["indicator_function_index"][:].tolist()
+        for label, a, b in zip(_text(group["label_name"][:]), [0, *ends[:-1]], ends, strict=True):
+            yield pd.DataFrame({"label": label, "p": range(b - a), "v": values[a:b].astype("int16")})
+    elif table == "watchlog":
+        group = f["stimulus/presentation/cleaned_watchlogs"]
+        pts, ms = group["pts"][:].astype(float), group["neural_recording_time"][:].astype(float)
+        yield pd.DataFrame({"patient": patient, "i": range(len(pts)), "pts": pts, "neural_ms": ms})
+    elif table == "units":
+        units = f["units"]
+        yield pd.DataFrame({"patient": patient, "unit_id": units["id"][:], **{c: _text(units[c][:]) for c in ("brain_region", "hemisphere", "cell_type")}, "is_single_unit": units["is_single_unit"][:].astype(bool)})
+    elif table == "spikes":
+        units = f["units"]
+        ends, times = units["spike_times_index"][:], units["spike_times"][:]
+        for unit, a, b in zip(units["id"][:], [0, *ends[:-1]], ends, strict=True):
+            yield pd.DataFrame({"patient": patient, "unit_id": unit, "t_ms": times[a:b]})
+    else:
+        raise ValueError(f"no canonical table {table}")
+
+
+def first_session(files: DataFrame) -> DataFrame:
+    """The files of the patient with the smallest number; all files if no path has a number."""
+    first = sessions(files).first()
+    return files if first is None else files.filter(F.regexp_extract("path", r"sub-(\d+)", 1).cast("int") == first["patient"])
+
+
 def read_nwb(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A canonical table from HDF5 recordings, one task for each file. Needs h5py; not run where that is missing."""
+    """A canonical table from HDF5 recordings, one task for each file. Annotations are the same in every patient's file and
+    come from the first patient's. Needs h5py; not run where that is missing."""
+    if table not in SCHEMAS:
+        raise ValueError(f"no canonical table {table}; there are {', '.join(SCHEMAS)}")
     needed("h5py")
     files = spark.read.format("binaryFile").load(path).select("path", "content")
+    if table == "annotations":
+        files = first_session(files)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
@@ -60,26 +98,11 @@ def read_nwb(spark: SparkSession, path: str, table: str) -> DataFrame:
 
         import h5py
 
-        text = lambda values: [v.decode() if isinstance(v, bytes) else str(v) for v in values]
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
                 found = re.search(r"sub-(\d+)", name)
-                patient = int(found[1]) if found else -1
                 with h5py.File(io.BytesIO(content)) as f:
-                    if table == "annotations":
-                        group = f["processing/machine_learning/movie_annotations_indicator_functions"]
-                        for label in group:
-                            v = group[label]["data"][:]
-                            yield pd.DataFrame({"label": label, "p": range(len(v)), "v": v.astype("int16")})
-                        continue
-                    units = f["units"]
-                    ids = units["id"][:]
-                    if table == "units":
-                        yield pd.DataFrame({"patient": patient, "unit_id": ids, **{c: text(units[c][:]) for c in ("brain_region", "hemisphere", "cell_type")}, "is_single_unit": units["is_single_unit"][:].astype(bool)})
-                    elif table == "spikes":
-                        ends, times = units["spike_times_index"][:], units["spike_times"][:]
-                        for unit, a, b in zip(ids, [0, *ends[:-1]], ends, strict=True):
-                            yield pd.DataFrame({"patient": patient, "unit_id": unit, "t_ms": times[a:b]})
+                    yield from nwb_tables(f, table, int(found[1]) if found else -1)
 
     return files.mapInPandas(rows, SCHEMAS[table])
 

@@ -1,6 +1,8 @@
 import json
 import struct
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,21 @@ def test_stream_on_a_clock(spark, tmp_path):
         assert sorted(r["value"] for r in spark.table("on_clock").collect()) == pytest.approx([0.04, 0.06, 1.04, 2.04, 3.04, 4.0])
     finally:
         q.stop()
+
+
+def test_tables_of_a_recording(spark):
+    """Arrays by path stand for an HDF5 file."""
+    f = {
+        "processing/machine_learning/movie_annotations_indicator_functions": {
+            "label_name": np.array([b"cut", b"face"]), "indicator_function": np.array([0, 1, 1, 99, 0], np.uint8), "indicator_function_index": np.array([3, 5], np.uint64)
+        },
+        "stimulus/presentation/cleaned_watchlogs": {"pts": np.array([0.0, 0.04, 0.04]), "neural_recording_time": np.array([5.0, 45.0, 85.0])},
+    }
+    got = pd.concat(recordings.nwb_tables(f, "annotations", 3))
+    assert list(got.itertuples(index=False, name=None)) == [("cut", 0, 0), ("cut", 1, 1), ("cut", 2, 1), ("face", 0, 99), ("face", 1, 0)]
+    got = pd.concat(recordings.nwb_tables(f, "watchlog", 3))
+    assert list(got.itertuples(index=False, name=None)) == [(3, 0, 0.0, 5.0), (3, 1, 0.04, 45.0), (3, 2, 0.04, 85.0)]
+    with pytest.raises(ValueError, match="no canonical table"):
+        recordings.read_nwb(spark, "nowhere", "watchlogs")
+    files = spark.createDataFrame([("/nwb/sub-10/a.nwb",), ("/nwb/sub-9/a.nwb",)], "path string")
+    assert [r["path"] for r in recordings.first_session(files).collect()] == ["/nwb/sub-9/a.nwb"]
