@@ -201,10 +201,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Null text has no words, neither has an empty one: n_words 0 and not contaminated. Null item ids count as the empty
     string; items that share an id count as one item in n_items, and all their windows count. Null and repeated document
-    ids: rows of one id share the candidates, but each row is compared by its own text; a null id is never looked up, so
-    such a row has no hits. An empty items table gives rows without hits, an empty docs table no rows. Other columns are ignored."""
+    ids: rows are looked up by a hash of id and text, and each row is compared by its own text. An empty items table gives rows without hits, an empty docs table no rows. Other columns are ignored."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # a text, as null ids are many rows; and the id, as copies of one text are
+    rows = rows.withColumn("key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("text"))))
     fps = item_fingerprints(items, span, gram)
     n_words = F.size(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORDS), F.lit(0)))
     short = [r[0] for r in items.select(n_words.alias("n")).filter(f"n > 0 AND n < {span}").distinct().collect()]  # span - 1 numbers at most
@@ -212,23 +213,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     def looked_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, kept = [], []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            keys, kept = [], []
+            for key, text in zip(batch["key"], batch["text"], strict=True):
                 fp = text_fingerprints(text, span, gram, short)
                 slot = fp & np.uint64(FILTER_BITS - 1)
                 fp = fp[bits.value[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & 1 == 1]
                 if len(fp):
-                    ids.append(np.full(len(fp), doc))
+                    keys.append(np.full(len(fp), key))
                     kept.append(fp.view(np.int64))
-            if ids:
-                yield pd.DataFrame({"doc_id": np.concatenate(ids), "fp": np.concatenate(kept)})
+            if keys:
+                yield pd.DataFrame({"key": np.concatenate(keys), "fp": np.concatenate(kept)})
 
-    id_type = dict(rows.dtypes)["doc_id"]
-    found = rows.filter("doc_id IS NOT NULL").mapInPandas(looked_up, f"doc_id {id_type}, fp long")
-    pairs = found.join(fps.distinct(), "fp").select("doc_id", "item_id").distinct()
+    found = rows.select("key", "text").mapInPandas(looked_up, "key string, fp long")
+    pairs = found.join(fps.distinct(), "fp").select("key", "item_id").distinct()
     texts = items.groupBy("item_id").agg(F.collect_set(lower_ascii(F.col("text"))).alias("texts"))
     # a row for each document: the items that share a fingerprint with it, as its result lists them
-    candidates = pairs.join(texts, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "texts")).alias("candidates"))
+    candidates = pairs.join(texts, "item_id").groupBy("key").agg(F.collect_list(F.struct("item_id", "texts")).alias("candidates"))
 
     @F.pandas_udf("n_words long, n_hit long, items array<string>")
     def extended(texts: pd.Series, candidates: pd.Series) -> pd.DataFrame:
@@ -247,7 +247,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             listed.append(sorted(set(names)))
         return pd.DataFrame({"n_words": n, "n_hit": hit, "items": listed})
 
-    out = rows.join(candidates, "doc_id", "left").select("doc_id", extended("text", "candidates").alias("of")).select("doc_id", "of.*")
+    out = rows.join(candidates, "key", "left").select("doc_id", extended("text", "candidates").alias("of")).select("doc_id", "of.*")
     return out.select(
         F.col("doc_id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),

@@ -184,3 +184,11 @@ def test_winnowing_guarantee():
         a, b = (np.concatenate([rng.integers(0, 9, 20).astype(np.uint64), shared, rng.integers(0, 9, 20).astype(np.uint64)]) for _ in range(2))
         fps = [decontaminate.winnowed(decontaminate.gram_hashes(x, 5), 9) for x in (a, b)]
         assert np.intersect1d(*fps).size
+
+
+def test_null_ids_are_looked_up(spark):
+    leak = " ".join(f"leak{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    rows = spark.createDataFrame([(None, leak), (None, "clean words"), (3, leak), (3, "clean words")], "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_hit"], r["contaminated"]) for r in decontaminate.decontaminate(rows, bench).collect())
+    assert got == Counter([(None, 20, True), (None, 0, False), (3, 20, True), (3, 0, False)])
