@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html as entities
 import re
 from dataclasses import dataclass
 from functools import lru_cache
@@ -12,126 +11,56 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tags of the HTML standard, by what they mean for blocks.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg iframe object math select".split())
-CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-CLOSES_SELF = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
-
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
-_NAME = re.compile(r"[a-z]+")
-_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-
-
-@dataclass(frozen=True)
-class Block:
-    """text without markup, white space as one space; path: the words of its ancestors' tags and attributes; share of link text."""
-
-    text: str
-    path: tuple[tuple[str, ...], ...]
-    linked: float
-
-
-def _element(tag: str, attributes: str) -> tuple[str, ...]:
-    words = [] if tag in ("div", "section", "html", "body") else [f"<{tag}>"]
-    if attributes and not attributes.isspace():
-        for name, value in _ATTRIBUTE.findall(attributes):
-            name = name.lower()
-            if name in ("class", "id", "role"):
-                words += _NAME.findall(_CAMEL.sub(" ", value).lower())
-            elif name == "hidden" or (name == "aria-hidden" and "true" in value) or re.search(r"display\s*:\s*none", value):
-                words.append("<hidden>")
-    return tuple(words)
-
-
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks in page order: text between tags other than inline ones. Scripts, styles, titles and the like are left
-    out; unclosed tags end with their parents; a br is white space."""
-    out: list[Block] = []
-    tags: list[str] = []
-    path: list[tuple[str, ...]] = []
-    text: list[str] = []
-    linked = links = at = 0
-
-    def flush() -> None:
-        nonlocal linked
-        if text:
-            joined = "".join(text)
-            if "&" in joined:
-                joined = entities.unescape(joined)
-            if words := joined.split():
-                joined = " ".join(words)
-                out.append(Block(joined, tuple(path), min(1.0, linked / len(joined))))
-            text.clear()
-        linked = 0
-
-    def close(where: int) -> None:
-        nonlocal links
-        if any(t not in INLINE for t in tags[where:]):
-            flush()
-        links -= tags[where:].count("a")
-        del tags[where:]
-        del path[where:]
-
-    while True:
-        m = _TAG.search(page, at)
-        piece = page[at : m.start() if m else len(page)]
-        if piece:
-            text.append(piece)
-            if links:
-                linked += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag in tags:
-                close(len(tags) - 1 - tags[::-1].index(tag))
-            elif tag not in INLINE:
-                flush()
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            if not m[3].endswith("/"):
-                at = end.end() if end else len(page)
-            if tag not in ("script", "style", "noscript", "template"):
-                text.append(" ")
-            continue
-        if tag in ("br", "wbr", "img"):
-            text.append(" " if tag == "br" else "")
-            continue
-        if tag not in INLINE:
-            flush()
-            if tag in CLOSES_P and "p" in tags:
-                close(len(tags) - 1 - tags[::-1].index("p"))
-            if tag in CLOSES_SELF and tag in tags:
-                i = len(tags) - 1 - tags[::-1].index(tag)
-                if not CLOSES_SELF[tag] & set(tags[i:]):
-                    close(i)
-        if tag not in VOID and not m[3].endswith("/"):
-            tags.append(tag)
-            path.append(() if tag in INLINE else _element(tag, m[3]))
-            links += tag == "a"
-    flush()
+from framelark.llm.html_blocks import Block, Node, blocks
+from framelark.llm.html_pages import labelled_page
+
+_MARK = re.compile("[©|»›]")
+#: The parts of words features, as constants, so that none is formatted for each block.
+_COUNTS = [f"#words{i}" for i in range(7)]
+_LINKED = [f"#linked{i}" for i in range(3)]
+_BOX = [[f"#box{i}.{j}" for j in range(3)] for i in range(7)]
+_SHARE = {place: [f"#{place}.share{i}" for i in range(5)] for place in ("in", "out", "none")}
+_TITLE = ("#untitled", "#above", "#below")
+
+
+def text_features(page: list[Block]) -> list[list[str]]:
+    """For each block: features of its text, of the box it is in (its element's parent: words, links, share of the page's text
+    beyond links), whether the page has an article or main element and the block is inside, and where its first h1 is."""
+    n_words = [b.text.count(" ") + 1 for b in page]
+    boxes: dict[int, list[float]] = {}
+    total = 1e-9
+    for b, n in zip(page, n_words, strict=True):
+        box = boxes.setdefault(id(b.node.parent or b.node), [0, 0.0])
+        box[0] += n
+        box[1] += n * b.linked
+        total += n * (1 - b.linked)
+    any_main = any(b.node.main for b in page)
+    title = next((i for i, b in enumerate(page) if b.node.tag == "h1"), len(page))
+    out = []
+    for i, (b, n) in enumerate(zip(page, n_words, strict=True)):
+        words, linked = boxes[id(b.node.parent or b.node)]
+        share = (words - linked) / total
+        place = "in" if b.node.main else "out" if any_main else "none"
+        found = [
+            _COUNTS[min(6, n.bit_length() - 1)], _LINKED[int(2 * b.linked + 0.5)], "#end" if b.text[-1] in ".!?…:;”\"'" else "#open",
+            _BOX[min(6, int(words).bit_length() - 1)][int(2 * linked / words + 0.5)], _SHARE[place][0 if share < 0.05 else 1 if share < 0.2 else 2 if share < 0.5 else 3 if share < 0.95 else 4],
+            _TITLE[0] if title == len(page) else _TITLE[2 if i >= title else 1],
+        ]
+        if "," in b.text:
+            found.append("#comma")
+        if _MARK.search(b.text):
+            found.append("#mark")
+        out.append(found)
     return out
 
 
-def text_features(block: Block) -> list[str]:
-    n = block.text.count(" ") + 1
-    return [
-        f"#words{min(5, int(np.log2(n)))}", f"#linked{int(2 * block.linked + 0.5)}", f"#end{block.text[-1] in '.!?…:;”\"'}",
-        f"#comma{',' in block.text}", f"#mark{bool(re.search('[©|»›]', block.text))}",
-    ]
-
-
-def path_features(path: tuple[tuple[str, ...], ...]) -> list[str]:
-    """Every word of the ancestors, and those of the nearest element that has any once more."""
-    named = [words for words in path if words]
-    return sorted({w for words in named for w in words}) + [f"@{w}" for w in (named[-1] if named else ())]
+def node_features(node: Node) -> list[str]:
+    """Every word of the node and its ancestors, those of the nearest that has any once more, and the node's tag."""
+    found, up = [f"@{w}" for w in node.near] + [f"^{node.tag}"], node
+    while up is not None:
+        found += up.fresh
+        up = up.parent
+    return found
 
 
 @dataclass(frozen=True)
@@ -142,19 +71,33 @@ class Field:
     start: np.ndarray
     move: np.ndarray
 
-    def decode(self, page: list[Block], known: dict) -> list[bool]:
-        """The likeliest labels (Viterbi). known keeps the scores of paths."""
+    def node_score(self, node: Node) -> float:
+        """The sum of node_features' weights. Nodes keep what their ancestors bring, so each is added up once."""
+        w, path = self.weight.get, []
+        up: Node | None = node
+        while up is not None and up.score is None:
+            path.append(up)
+            up = up.parent
+        total = up.score if up is not None else 0.0
+        for one in reversed(path):
+            for word in one.fresh:
+                total += w(word, 0.0)
+            one.score = total
+        return node.score + sum(w(f"@{x}", 0.0) for x in node.near) + w(f"^{node.tag}", 0.0)
+
+    def decode(self, page: list[Block]) -> list[bool]:
+        """The likeliest labels (Viterbi)."""
         if not page:
             return []
-        w, back = self.weight, []
+        w, back = self.weight.get, []
         (s0, s1), ((m00, m01), (m10, m11)) = self.start.tolist(), self.move.tolist()
-        for i, block in enumerate(page):
-            score = known.get(block.path)
-            if score is None:
-                if len(known) > 50_000:
-                    known.clear()
-                score = known[block.path] = sum(w.get(f, 0.0) for f in path_features(block.path))
-            score += sum(w.get(f, 0.0) for f in text_features(block))
+        before, of_node = None, 0.0
+        for i, (block, found) in enumerate(zip(page, text_features(page), strict=True)):
+            if block.node is not before:
+                before, of_node = block.node, self.node_score(block.node)
+            score = of_node
+            for f in found:
+                score += w(f, 0.0)
             if i == 0:
                 a, b = s0, s1 + score
             else:
@@ -169,9 +112,13 @@ class Field:
         return labels[::-1]
 
 
+def all_features(page: list[Block]) -> list[list[str]]:
+    return [node_features(b.node) + found for b, found in zip(page, text_features(page), strict=True)]
+
+
 def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 150, l2: float = 0.02, rate: float = 0.2) -> Field:
     """Maximises the labels' log-likelihood less L2 by Adam steps; forward and backward sums run over all pages at once."""
-    rows = [[*path_features(b.path), *text_features(b)] for page, _ in pages for b in page]
+    rows = [found for page, _ in pages for found in all_features(page)]
     names = sorted({f for row in rows for f in row})
     index = {f: i for i, f in enumerate(names)}
     col = np.array([index[f] for row in rows for f in row])
@@ -209,112 +156,8 @@ def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 150, l2: float
     return Field(dict(zip(names, theta[: len(names)].tolist(), strict=True)), theta[-6:-4], theta[-4:].reshape(2, 2))
 
 
-#: Names that pages give to their parts, for the labelled training pages.
-CONTENT_NAMES = "article-body content entry-content post post-content story main-content article entry text body-text page-content articleBody prose".split()
-OTHER_NAMES = {
-    "nav": "menu navbar nav main-menu breadcrumb breadcrumbs topnav pagination toc", "header": "header masthead site-header topbar banner page-header branding",
-    "footer": "footer site-footer copyright colophon bottom page-footer", "aside": "sidebar side-bar related widget rail recommended popular side trending",
-    "div": "ad ads advert advertisement ad-slot sponsored promo banner-ad adsbygoogle commercial", "notice": "cookie cookie-notice cookie-banner consent notice alert gdpr popup modal disclaimer",
-    "form": "form newsletter subscribe signup login search search-form contact-form", "comments": "comments comment comment-list discussion replies respond comment-body reply",
-    "share": "share social share-buttons tools meta-links tags social-links",
-}
-
-
-def labelled_page(rng: np.random.Generator) -> tuple[str, list[bool]]:
-    """A made-up page and, for each of its blocks, whether it belongs to the article."""
-    syllables = "an er in on ti re th es la mo ka du ne so vi pra stu gel ber".split()
-    parts: list[str] = []
-    labels: list[bool] = []
-
-    def words(low: int, high: int, end: str = "") -> str:
-        n = int(np.exp(rng.uniform(np.log(low), np.log(high + 1))))  # short ones are common
-        return " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(n)).capitalize() + end
-
-    def sentence(low: int = 3, high: int = 40) -> str:
-        text = words(low, high, "." if rng.random() < 0.8 else "")
-        if rng.random() < 0.1:
-            return text.replace(" ", str(rng.choice([" | ", " » ", "%%% ", " 12 ", "!! "])))
-        return text.replace(" ", ", ", 1) if rng.random() < 0.5 else text
-
-    def add(tag: str, text: str, content: bool, link: bool = False) -> None:
-        parts.append(f"<{tag}>" + (f'<a href="#">{text}</a>' if link else text) + (f"</{tag}>" if rng.random() < 0.9 or tag != "p" else ""))
-        labels.append(content)
-
-    def attribute(names: str | list[str]) -> str:
-        names = names.split() if isinstance(names, str) else names
-        kind = rng.random()
-        return "" if kind < 0.2 else f' {"class" if kind < 0.75 else "id"}="{rng.choice(names)}{"" if rng.random() < 0.7 else " x" + str(rng.integers(9))}"'
-
-    def named(names: str | list[str]) -> str:
-        return f' class="{rng.choice(names.split() if isinstance(names, str) else names)}"'
-
-    def other(kind: str) -> None:
-        own = OTHER_NAMES[kind]
-        if kind in ("nav", "header", "footer", "aside", "form") and rng.random() < 0.7:
-            tag, attr = kind, attribute(own)
-        else:
-            tag, attr = str(rng.choice(["div", "section"] if kind != "nav" else ["div", "ul"])), named(own)
-        parts.append(f"<{tag}{attr}>")
-        if kind == "nav" or (kind in ("share", "aside", "footer", "header") and rng.random() < 0.4):
-            parts.append("<ul>")
-            for _ in range(rng.integers(2, 8)):
-                add("li", words(1, 3), False, True)
-            parts.append("</ul>")
-        elif kind == "form":
-            add("p", words(1, 8), False)
-            parts.append('<input type="text"><button>')
-            parts.append(words(1, 2) + "</button>")
-            labels.append(False)
-        else:
-            for _ in range(rng.integers(1, 4)):
-                add(str(rng.choice(["p", "div", "p", "h3"])), sentence(2, 40 if kind in ("comments", "notice", "footer", "aside", "div") else 8), False, rng.random() < 0.3)
-        parts.append(f"</{tag}>")
-
-    def article() -> None:
-        style = rng.random()
-        tag, attr = ("article", attribute(CONTENT_NAMES)) if style < 0.5 else ("main", attribute(CONTENT_NAMES)) if style < 0.65 else ("div", named(CONTENT_NAMES))
-        parts.append(f"<{tag}{attr}>")
-        wrap = rng.random() < 0.2
-        if wrap:
-            parts.append("<header>")
-        add("h1", words(2, 10), True)
-        if wrap:
-            parts.append("</header>")
-        for _ in range(rng.integers(1, 9)):
-            kind = rng.random()
-            if kind < 0.1:
-                other(str(rng.choice(["div", "share", "aside", "notice", "form"])))
-            elif kind < 0.2:
-                parts.append("<ul>")
-                for _ in range(rng.integers(1, 5)):
-                    add("li", sentence(1, 15), True, rng.random() < 0.2)
-                parts.append("</ul>")
-            elif kind < 0.28:
-                add("h2", words(1, 6), True)
-            elif kind < 0.34:
-                add("blockquote", sentence(), True)
-            else:
-                add("p", f"<b>{sentence()}</b><br>" if rng.random() < 0.1 else sentence(1, 80), True, rng.random() < 0.03)
-        if rng.random() < 0.25:
-            other(str(rng.choice(["comments", "share"])))
-        parts.append(f"</{tag}>")
-
-    before, after = ["nav", "header", "div", "notice", "form", "aside"], ["footer", "aside", "comments", "div", "notice", "share", "form"]
-    shell = rng.random() < 0.3
-    parts.append("<html><body>" + ('<div class="wrapper">' if shell else ""))
-    for kind in before:
-        if rng.random() < (0.8 if kind in ("nav", "header") else 0.35):
-            other(kind)
-    article()
-    for kind in rng.permutation(after):
-        if rng.random() < (0.8 if kind == "footer" else 0.35):
-            other(str(kind))
-    parts.append("</body></html>")
-    return "".join(parts), labels
-
-
 @lru_cache(4)
-def trained(seed: int = 1, pages: int = 300) -> Field:
+def trained(seed: int = 1, pages: int = 700) -> Field:
     """Fits on made-up labelled pages; each must fall into as many blocks as it has labels."""
     rng, rows = np.random.default_rng(seed), []
     for _ in range(pages):
@@ -326,9 +169,9 @@ def trained(seed: int = 1, pages: int = 300) -> Field:
     return fit(rows)
 
 
-def main_text(page: str, model: Field, known: dict) -> str:
+def main_text(page: str, model: Field) -> str:
     found = blocks(page)
-    return "\n".join(b.text for b, content in zip(found, model.decode(found, known), strict=True) if content)
+    return "\n".join(b.text for b, content in zip(found, model.decode(found), strict=True) if content)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -341,8 +184,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     @F.pandas_udf("string")
     def text_of(page: pd.Series) -> pd.Series:
-        known: dict = {}
-        return pd.Series([main_text(p, model.value, known) if p else "" for p in page], dtype=object)
+        return pd.Series([main_text(p, model.value) if p else "" for p in page], dtype=object)
 
     out = pages.select("page_id", "url", text_of(F.col(html_col)).alias("text"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,11 +1,10 @@
-import itertools
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from framelark.llm import html_crf, labelled, quality, toxicity
+from framelark.llm import labelled, quality, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -108,53 +107,3 @@ def test_parts_of_words_against_plain_count():
 def test_best_cut():
     assert toxicity.best_cut(np.array([3.0, 2.0, -1.0, -2.0]), np.array([1, 1, 0, 0])) == 0.0
     assert toxicity.best_cut(np.array([1.0, 1.0]), np.array([1, 1])) < 1
-
-
-def test_pages(spark):
-    rows = [
-        (1, "u", "<html><head><title>T</title><script>var a='</p>';</script><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></ul></nav><div class='ad'>Buy now, cheap.</div><article><h1>A &amp; B</h1><p>First  <b>bold\n text<br>more.<p>Second&nbsp;one, with &lt;tags&gt;.<!-- no --></article><div id=comments><p>A reader says, hello there.</p></div><footer>All rights</footer></body></html>"),
-        (2, None, None), (3, "u", ""), (3, "u", ""), (None, "u", "<p"), (5, "u", "<<<>>> & <a <b"), (6, "u", "<script>never closed"),
-    ]
-    got = html_crf.extract(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")).collect()
-    assert len(got) == len(rows)
-    text = {r["page_id"]: r["text"] for r in got}
-    assert text[1] == "A & B\nFirst bold text more.\nSecond one, with <tags>."
-    assert text[2] == text[3] == text[6] == ""
-    assert all(r["n_chars"] == len(r["text"]) for r in got)
-    assert html_crf.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
-def test_labels_of_held_out_pages():
-    rng, right, n = np.random.default_rng(77), 0, 0
-    for _ in range(100):
-        page, labels = html_crf.labelled_page(rng)
-        found = html_crf.trained().decode(html_crf.blocks(page), {})
-        right += sum(a == b for a, b in zip(found, labels, strict=True))
-        n += len(labels)
-    assert right / n > 0.97
-
-
-def test_viterbi_against_all_labelings():
-    model = html_crf.trained()
-    rng = np.random.default_rng(3)
-    for _ in range(5):
-        page = html_crf.blocks(html_crf.labelled_page(rng)[0])[:9]
-        score = [sum(model.weight.get(f, 0) for f in [*html_crf.path_features(b.path), *html_crf.text_features(b)]) for b in page]
-
-        def total(labels, score=score):
-            return model.start[labels[0]] + sum(s for s, on in zip(score, labels, strict=True) if on) + sum(model.move[a, b] for a, b in itertools.pairwise(labels))
-
-        best = max(itertools.product((0, 1), repeat=len(page)), key=total)
-        assert total(tuple(map(int, model.decode(page, {})))) == pytest.approx(total(best))
-
-
-def test_pages_of_the_test_data(spark):
-    """The article of each page, cut out by hand."""
-    import html
-    import re
-
-    for r in spark.read.parquet(f"{SF}/pages.parquet").limit(100).collect():
-        body = r["html"][r["html"].index("<article>") + 9 : r["html"].index("</article>")]
-        lines = [re.sub("<[^>]*>", "", x) for x in re.split("</?(?:p|h1|br)>", body)]
-        want = "\n".join(" ".join(html.unescape(x).split()) for x in lines if x.strip())
-        assert html_crf.main_text(r["html"], html_crf.trained(), {}) == want
