@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,48 +48,107 @@ def _spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _VALUE_OF = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-def _hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """A hash for each span: from sums of its bytes' values and of those times place, so equal spans are equal; others rarely are."""
-    one = _VALUE_OF[data]
-    sums, moments = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(one, out=sums[1:])
-    np.cumsum(one * np.arange(len(data), dtype=np.uint64), out=moments[1:])
-
-    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        s = sums[ends] - sums[starts]
-        return mixed(s ^ mixed(moments[ends] - moments[starts] - s * starts.astype(np.uint64)))
-
-    return hashes
-
-
-def _one_piece(data: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Sums that add over pieces, and the hashes of the piece's words, word pairs and lines."""
-    kind = _KIND_OF[data]
-    counts = np.bincount(kind, minlength=len(_KINDS)).astype(float)
-    starts, ends = _spans(kind > 1)
-    l_starts, l_ends = _spans(kind != 1)
-    hashes = _hasher(data)
-    words, lines = hashes(starts, ends), hashes(l_starts, l_ends)
-    pairs = mixed(words[:-1] * np.uint64(3) + words[1:]) if len(words) > 1 else words[:0]
-    last = kind[ends - 1]
-    ups = np.concatenate([[0], np.cumsum(kind == 2)])
-    lows = np.concatenate([[0], np.cumsum(kind == 3)])
-    n_up, n_low = ups[ends] - ups[starts], lows[ends] - lows[starts]
-    length = ends - starts
-    sums = [len(words), length.sum(), (length > 15).sum(), (words[1:] == words[:-1]).sum(), np.isin(last, [8, 9, 10]).sum(), (last == 7).sum(),
-            ((n_up > 1) & (n_low == 0)).sum(), ((kind[starts] == 2) & (n_low > 0)).sum(), len(lines), (l_ends - l_starts < 20).sum()]
-    return np.concatenate([counts, np.array(sums, float)]), [words, pairs, lines]
+@dataclass
+class Runs:
+    """Words or lines: for each the sum of its bytes' values, the sum of those times their places in it, its length, its bytes
+    that are upper and lower case, and the kinds of its first and last byte."""
+
+    total: np.ndarray
+    moment: np.ndarray
+    length: np.ndarray
+    upper: np.ndarray
+    lower: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def columns(self) -> list[np.ndarray]:
+        return [self.total, self.moment, self.length, self.upper, self.lower, self.first, self.last]
+
+    def part(self, rows: slice) -> Runs:
+        return Runs(*[c[rows] for c in self.columns()])
+
+    def after(self, begun: Runs | None, joined: bool) -> Runs:
+        """Behind the run `begun` before; joined: the first run goes on with it."""
+        if begun is None:
+            return self
+        if not joined:
+            return Runs(*[np.concatenate([a, b]) for a, b in zip(begun.columns(), self.columns(), strict=True)])
+        self.moment[:1] += begun.moment + self.total[:1] * begun.length.astype(np.uint64)
+        for mine, its in zip((self.total, self.length, self.upper, self.lower), (begun.total, begun.length, begun.upper, begun.lower), strict=True):
+            mine[:1] += its
+        self.first[:1] = begun.first
+        return self
+
+    def hashes(self) -> np.ndarray:
+        """Equal runs have equal hashes; others rarely do."""
+        return mixed(self.total ^ mixed(self.moment))
+
+
+class _Piece:
+    """Running sums over the bytes of a piece, from which any run's are differences."""
+
+    def __init__(self, data: np.ndarray):
+        self.kind = _KIND_OF[data]
+        self.sums, self.moments = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
+        value = _VALUE_OF[data]
+        np.cumsum(value, out=self.sums[1:])
+        np.cumsum(value * np.arange(len(data), dtype=np.uint64), out=self.moments[1:])
+        self.ups, self.lows = (np.concatenate([[0], np.cumsum(self.kind == k)]) for k in (2, 3))
+
+    def runs(self, inside: np.ndarray) -> Runs:
+        a, b = _spans(inside)
+        total = self.sums[b] - self.sums[a]
+        moment = self.moments[b] - self.moments[a] - total * a.astype(np.uint64)
+        return Runs(total, moment, b - a, self.ups[b] - self.ups[a], self.lows[b] - self.lows[a], self.kind[a], self.kind[b - 1])
+
+
+class _Reader:
+    """Words and lines of a text that comes in pieces, cut anywhere: a run that reaches a piece's end goes on in the next."""
+
+    def __init__(self) -> None:
+        self.word: Runs | None = None
+        self.line: Runs | None = None
+        self.before = np.zeros(0, np.uint64)  # the last word's hash
+        self.sums = np.zeros(10)
+        self.seen: list[list[np.ndarray]] = [[], [], []]
+
+    @staticmethod
+    def _cut(found: Runs, begun: Runs | None, inside: np.ndarray, last: bool) -> tuple[Runs, Runs | None]:
+        """Runs that have ended, and the one that may go on."""
+        found = found.after(begun, begun is not None and len(inside) > 0 and bool(inside[0]))
+        if last or not len(inside) or not inside[-1]:
+            return found, None
+        return found.part(slice(0, -1)), found.part(slice(-1, None))
+
+    def read(self, data: np.ndarray, last: bool) -> None:
+        piece = _Piece(data)
+        in_word, in_line = piece.kind > 1, piece.kind != 1
+        words, self.word = self._cut(piece.runs(in_word), self.word, in_word, last)
+        lines, self.line = self._cut(piece.runs(in_line), self.line, in_line, last)
+        hashes = np.concatenate([self.before, words.hashes()])
+        self.before = hashes[-1:]
+        pairs = mixed(hashes[:-1] * np.uint64(3) + hashes[1:])
+        n = words.length
+        self.sums += [
+            len(n), n.sum(), (n > 15).sum(), (hashes[1:] == hashes[:-1]).sum(), np.isin(words.last, [8, 9, 10]).sum(), (words.last == 7).sum(),
+            ((words.upper > 1) & (words.lower == 0)).sum(), ((words.first == 2) & (words.lower > 0)).sum(), len(lines.length), (lines.length < 20).sum(),
+        ]
+        for own, new in zip(self.seen, (hashes[len(hashes) - len(n) :], pairs, lines.hashes()), strict=True):
+            own.append(new)
 
 
 def statistics(text: str) -> np.ndarray:
-    """FEATURES of a whole text; zeros without any."""
+    """FEATURES of a whole text; zeros without any. They don't depend on PIECE."""
     raw = np.frombuffer(text.encode(), np.uint8)
     if not len(raw):
         return np.zeros(len(FEATURES), np.float32)
-    parts = [_one_piece(raw[a : a + PIECE]) for a in range(0, len(raw), PIECE)]
-    sums = np.sum([p[0] for p in parts], axis=0)
-    words, pairs, lines = (np.concatenate([p[1][i] for p in parts]) for i in range(3))
-    kinds, (n, chars, long, same, signs, bangs, upper, capital, n_lines, short) = sums[: len(_KINDS)], sums[len(_KINDS) :]
+    reader, kinds = _Reader(), np.zeros(len(_KINDS))
+    for a in range(0, len(raw), PIECE):
+        data = raw[a : a + PIECE]
+        kinds += np.bincount(_KIND_OF[data], minlength=len(_KINDS))
+        reader.read(data, a + PIECE >= len(raw))
+    words, pairs, lines = map(np.concatenate, reader.seen)
+    n, chars, long, same, signs, bangs, upper, capital, n_lines, short = reader.sums
     times = np.unique(words, return_counts=True)[1]
     w, li = max(n, 1), max(n_lines, 1)
     ratio = lambda x: len(np.unique(x)) / max(len(x), 1)

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -48,6 +49,13 @@ def test_sample_is_bounded_and_learnable_only(spark):
     assert len(rows) == 20 and all(zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 for r in rows)
 
 
+def test_sample_has_one_row_for_an_id(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "z"), (None, "n"), (3, "q")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (None, 1), (9, 1)], "doc_id long, toxic int")
+    rows = labelled.training_sample(docs, labels, "toxic", F.lit(True), 10).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 1, ""), (2, 0, "z")]
+
+
 def test_trees_against_plain_walk():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 4)).astype(np.float32)
@@ -68,14 +76,65 @@ def test_trees_against_plain_walk():
     assert len(quality.fit_trees(x, np.ones(500)).leaf) == 1
 
 
-def test_statistics_add_over_pieces(monkeypatch):
-    text = "Some words, twice twice.\nSome words, twice twice.\n### BIG!! 12 é " * 20
+@pytest.mark.parametrize("text", ["Some words, twice twice.\nSome words, twice twice.\n### BIG!! 12 é " * 20, "one line without an end " * 90, "x" * 900, "\n\n a \n", "日本 É" * 70, "a", " "])
+def test_statistics_do_not_depend_on_pieces(text, monkeypatch):
     whole = quality.statistics(text)
-    monkeypatch.setattr(quality, "PIECE", text.encode().index(b"\n", 700) + 1)
-    assert quality.statistics(text)[:12] == pytest.approx(whole[:12])
+    for piece in (1, 2, 7, 100, 701):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        assert quality.statistics(text).tolist() == whole.tolist()
     assert not quality.statistics("").any()
 
 
+def test_statistics_against_plain_counts():
+    text = "Some words, twice twice.\nSome words, twice twice.\n\n### BIG!! 12 é no.\n"
+    got = dict(zip(quality.FEATURES, quality.statistics(text).tolist(), strict=True))
+    words, lines = text.split(), [x for x in text.split("\n") if x]
+    assert got["log_words"] == pytest.approx(np.log1p(len(words))) and got["distinct_words"] == pytest.approx(len(set(words)) / len(words))
+    assert got["word_length"] == pytest.approx(sum(len(w.encode()) for w in words) / len(words))
+    assert got["distinct_lines"] == pytest.approx(len(set(lines)) / len(lines)) and got["line_words"] == pytest.approx(len(words) / len(lines))
+    pairs = list(itertools.pairwise(words))
+    assert got["repeated_pairs"] == pytest.approx(1 - len(set(pairs)) / len(pairs)) and got["top_word"] == pytest.approx(2 / len(words))
+    assert got["same_as_before"] == 0 and got["upper_words"] == pytest.approx(1 / len(words)) and got["bang_ends"] == pytest.approx(1 / len(words))
+
+
+def plain_splits(x, y, trees, depth):
+    """Boosting as its definition says: every split of every node tried one by one."""
+    share = (y.sum() + 1) / (len(y) + 2)
+    margin = np.full(len(y), np.log(share / (1 - share)))
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, quality.BINS + 1)[1:-1])).astype(np.float32) for j in range(x.shape[1])]
+
+    def leaf(rows, g, h):
+        return -quality.RATE * g[rows].sum() / (h[rows].sum() + quality.L2)
+
+    def grow(rows, g, h, left):
+        best, chosen = 1e-6, None
+        for j, values in enumerate(cuts):
+            for c in values:
+                a, b = rows[x[rows, j] <= c], rows[x[rows, j] > c]
+                if min(len(a), len(b)) < quality.LEAF:
+                    continue
+                gain = sum(s * g[r].sum() ** 2 / (h[r].sum() + quality.L2) for s, r in ((1, a), (1, b), (-1, rows)))
+                if gain > best + 1e-9:
+                    best, chosen = gain, (a, b)
+        if chosen is None or left == 0:
+            margin[rows] += leaf(rows, g, h)
+        else:
+            grow(chosen[0], g, h, left - 1)
+            grow(chosen[1], g, h, left - 1)
+
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        grow(np.arange(len(y)), p - y, p * (1 - p), depth)
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_splits_against_trying_all():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, 3)).astype(np.float32)
+    y = ((x[:, 0] + 0.5 * x[:, 1] > 0) ^ (rng.random(120) < 0.1)).astype(float)
+    assert quality.fit_trees(x, y, 4, 3).score(x) == pytest.approx(plain_splits(x, y, 4, 3), abs=1e-9)
+
+
 def test_swaps_are_penalised():
     """A group's word that only comes along with insults must not raise the score once swaps are penalised."""
     scale = np.ones(3)  # 0: insult, 1: group word, 2: its swap
