@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelark.llm.common import checkpointed
 from framelark.llm.decontaminate import mixed
 from framelark.llm.labelled import fold, training_sample
 
@@ -23,6 +24,8 @@ PARTS, TIMES, BUCKETS = (5, 6), (1, 2, 4, 8), 1 << 22
 FEATURES, LEAST_DOCS, LEAST_RATIO = 2048, 3, 10.0
 #: Weights of the penalties on score changes under swaps and on large weights.
 SWAP_PENALTY, L2 = 4.0, 1e-5
+#: Parts of the training rows, each of which a model fitted on the others scores, to find the cut.
+PARTITIONS = 3
 PIECE = 1 << 20
 
 #: Neutral words for groups of people. A swap replaces each by the next of its row.
@@ -38,6 +41,7 @@ IDENTITY_TERMS = [
     "femmes hommes", "femme homme", "musulmans chrétiens juifs", "immigrés réfugiés français", "gays lesbiennes",
     "mujeres hombres", "mujer hombre", "musulmanes cristianos judíos", "inmigrantes refugiados españoles", "gitanos payos",
 ]
+_TERMS = [term.encode() for row in IDENTITY_TERMS for term in row.split()]
 _NEXT = {a.encode(): b.encode() for row in map(str.split, IDENTITY_TERMS) for a, b in zip(row, row[1:] + row[:1], strict=True)}
 _TERM = re.compile(rb"(?<= )(?:" + b"|".join(sorted(_NEXT, key=len, reverse=True)) + rb")(?= )")
 #: Lower-cases A-Z; keeps letters, digits and all bytes beyond ASCII; all else becomes a space.
@@ -53,9 +57,27 @@ def swapped(clean: bytes) -> bytes:
     return _TERM.sub(lambda m: _NEXT[m[0]], clean)
 
 
-def buckets(clean: bytes) -> np.ndarray:
-    """Distinct buckets of all parts of words, by how often they stand there at least. A part may hold the space before or
-    after its word, none inside."""
+def mentioned(clean: bytes, draw: int) -> bytes:
+    """clean with an identity term between two of its words; draw chooses both."""
+    term = _TERMS[draw % len(_TERMS)]
+    at = clean.find(b" ", draw // len(_TERMS) % len(clean))
+    at = len(clean) - 1 if at < 0 else at
+    return clean[:at] + b" " + term + clean[at:]
+
+
+def counterfactuals(clean: bytes, draw: int, telling: set[bytes]) -> list[tuple[bytes, bytes]]:
+    """Texts whose scores should be equal: a text and its swap, if it mentions a group; the text and itself with a mention put
+    in, which alone makes no text toxic; and that one and its swap. Pairs that no score can tell apart are left out."""
+    other, term = swapped(clean), _TERMS[draw % len(_TERMS)]
+    if other == clean and term not in telling and _NEXT[term] not in telling:
+        return []
+    put_in = mentioned(clean, draw)
+    pairs = [(clean, put_in), (put_in, swapped(put_in))]
+    return pairs if other == clean else [(clean, other), *pairs]
+
+
+def parts_of(clean: bytes) -> np.ndarray:
+    """All parts of words, as numbers. A part may hold the space before or after its word, none inside."""
     out = []
     for at in range(0, len(clean), PIECE):
         data = np.frombuffer(clean[at : at + PIECE + max(PARTS) - 1], np.uint8)
@@ -69,11 +91,18 @@ def buckets(clean: bytes) -> np.ndarray:
                 k = len(packed)
                 inner = spaces[size - 1 : size - 1 + k] - spaces[1 : 1 + k]
                 out.append(packed[inner == 0] * np.uint64(8) + np.uint64(size))
-    if not out:
-        return np.zeros(0, np.uint64)
-    parts, counts = np.unique(np.concatenate(out), return_counts=True)
-    features = [parts[counts >= n] * np.uint64(16) + np.uint64(n) for n in TIMES]
-    return np.unique(mixed(np.concatenate(features)) >> np.uint64(64 - 22))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _hashed(parts: list[np.ndarray]) -> np.ndarray:
+    """Distinct buckets; parts: those that stand in a text TIMES[0] times at least, TIMES[1] times, ..."""
+    return np.unique(mixed(np.concatenate([p * np.uint64(16) + np.uint64(n) for p, n in zip(parts, TIMES, strict=True)])) >> np.uint64(64 - 22))
+
+
+def buckets(clean: bytes) -> np.ndarray:
+    """Distinct buckets of all parts of words, by how often they stand there at least."""
+    parts, counts = np.unique(parts_of(clean), return_counts=True)
+    return _hashed([parts[counts >= n] for n in TIMES])
 
 
 class Classifier:
@@ -96,16 +125,21 @@ class Classifier:
         found = self.place[buckets(clean)]
         return found[found >= 0]
 
+    def telling(self) -> set[bytes]:
+        """The identity terms that can change a score: those with a part in a chosen bucket, however often it stands in a text."""
+        return {t for t in _TERMS if (self.place[_hashed([parts_of(b" " + t + b" ")] * len(TIMES))] >= 0).any()}
+
     def score(self, clean: bytes) -> float:
         z = self.bias + self.weights[self.features(clean)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def fit_weights(
-    rows: list[np.ndarray], swaps: list[np.ndarray | None], y: np.ndarray, scale: np.ndarray, penalty: float = SWAP_PENALTY, steps: int = 1500
+    rows: list[np.ndarray], swaps: list[np.ndarray | None], y: np.ndarray, scale: np.ndarray, penalty: float = SWAP_PENALTY, steps: int = 1500,
+    pairs: list[tuple[np.ndarray, np.ndarray]] = (),
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the class-balanced logistic loss, L2, and penalty times the mean squared change of
-    the logit from each row to its swap (None where it has none), by accelerated gradient steps from zero.
+    the logit from each row to its swap (None where it has none) and between further pairs, by accelerated gradient steps from zero.
 
     A feature counts scale instead of 1. L2 then favours those of large scale, so what merely comes along with them stays light."""
     if not len(y) or y.min() == y.max():
@@ -114,7 +148,7 @@ def fit_weights(
     n = len(scale)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows).astype(np.int64)
-    pairs = [(a, b) for a, b in zip(rows, swaps, strict=True) if b is not None]
+    pairs = [(a, b) for a, b in zip(rows, swaps, strict=True) if b is not None] + list(pairs)
     d_at = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
     d_col = np.concatenate([np.concatenate([a, b]) for a, b in pairs]).astype(np.int64) if pairs else np.zeros(0, np.int64)
     d_value = np.concatenate([np.repeat([1.0, -1.0], [len(a), len(b)]) for a, b in pairs]) * scale[d_col] if pairs else np.zeros(0)
@@ -139,62 +173,101 @@ def fit_weights(
 
 
 def best_cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit above which calling a row toxic gives the best F1; between the rows around it, a third of the way up from the
-    lower one, as toxic rows that say little are rarer in a sample than clean ones, and so less likely to show how low they go."""
+    """The logit above which calling a row toxic gives the best F1, midway between the rows around it."""
     order = np.argsort(-z, kind="stable")
     zs, hits = z[order], np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
     f1[:-1][zs[:-1] == zs[1:]] = -1  # no cut between equal logits
     at = int(f1.argmax())
-    return float(zs[at] - 1 if at + 1 == len(zs) else (zs[at] + 2 * zs[at + 1]) / 3)
+    return float(zs[at] - 1 if at + 1 == len(zs) else (zs[at] + zs[at + 1]) / 2)
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros((2, BUCKETS), np.int32)
+    """How many documents of each part and label have each bucket."""
     for batch in batches:
-        for y, text in zip(batch["y"], batch["text"], strict=True):
-            counts[int(y), buckets(cleaned(text))] += 1
-    has = np.flatnonzero(counts.any(0))
-    yield pd.DataFrame({"bucket": has, "clean": counts[0, has], "toxic": counts[1, has]})
+        found = [buckets(cleaned(t)).astype(np.int64) | (2 * part + y) << 22 for part, y, t in zip(batch["part"].tolist(), batch["y"].tolist(), batch["text"], strict=True)]
+        if found:
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pd.DataFrame({"bucket": keys & (BUCKETS - 1), "kind": keys >> 22, "n": n})
+
+
+def _best(counts: DataFrame, sizes: dict[tuple[int, int], int], without: int | None) -> dict[int, float]:
+    """The FEATURES buckets with the largest likelihood ratio in favour of label 1, and the ratio, from all parts but one."""
+    parts = [k for k in range(PARTITIONS) if k != without]
+    c, t = (sum((F.col(f"n{2 * k + y}") for k in parts), F.lit(0)) for y in (0, 1))
+    n0, n1 = (sum(sizes.get((k, y), 0) for k in parts) for y in (0, 1))
+    if not n0 or not n1:
+        return {}
+    share = n1 / (n0 + n1)
+    ratio = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
+    best = counts.filter((t >= LEAST_DOCS) & (t / n1 > c / n0)).select("bucket", ratio.alias("ratio"))
+    best = best.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "bucket").limit(FEATURES).collect()
+    return {r["bucket"]: r["ratio"] for r in best}
+
+
+def _in_model(features: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Places in a model of features given as places in the union of all; those that it doesn't weigh go."""
+    found = model[features]
+    return found[found >= 0]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: float = SWAP_PENALTY) -> Classifier:
     """Fits on at most `sample` labelled rows outside the held-out fold.
 
-    Counts of documents by bucket and label are added up by Spark; the FEATURES buckets with the largest likelihood ratio
-    in favour of label 1 and, for each sampled row, which of them it and its swap have come to the driver."""
+    Counts of documents by bucket, label and part of the sample are added up by Spark. What comes to the driver: the best
+    buckets, a few thousand, and for each sampled row which of them it has, and in which its counterfactuals differ. The cut
+    is the one that parts best what models fitted on the other parts say of each part; so no row decides on its own score,
+    and none outside the sample decides anything."""
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTITIONS)).cast("int")
     rows = training_sample(docs, labels, "toxic", fold(F.col("doc_id"), FOLDS) != HELD_OUT, sample)
-    size = rows.groupBy("y").count().collect()  # two rows
-    n = {r["y"]: r["count"] for r in size}
-    if len(n) < 2:
-        w, b = fit_weights([np.zeros(0, int)] * sum(n.values()), [None] * sum(n.values()), np.repeat(list(n), list(n.values())).astype(float), np.zeros(0))
-        return Classifier(np.zeros(0, np.int64), w, b)
-    counts = rows.select("y", "text").mapInPandas(_counted, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    t, c, share = F.col("t"), F.col("c"), n[1] / (n[0] + n[1])
-    all_ = t + c
-    ratio = t * F.log(t / (all_ * share)) + F.when(c > 0, c * F.log(c / (all_ * (1 - share)))).otherwise(0.0)
-    best = counts.filter((t >= LEAST_DOCS) & (t / n[1] > c / n[0])).select("bucket", ratio.alias("ratio"))
-    best = best.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "bucket").limit(FEATURES).collect()
-    scale = np.array([r["ratio"] for r in best]) / max([r["ratio"] for r in best], default=1)
-    model = Classifier(np.array([r["bucket"] for r in best], np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = checkpointed(rows.repartition(24, "doc_id").withColumn("part", part).withColumn("draw", F.abs(F.xxhash64("doc_id", F.lit("draw")) % (1 << 40))))
+    sizes = {(r["part"], r["y"]): r["count"] for r in rows.groupBy("part", "y").count().collect()}  # six rows
+    counts = rows.select("part", "y", "text").mapInPandas(_counted, "bucket long, kind long, n long")
+    each = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(2 * PARTITIONS)]
+    counts = counts.groupBy("bucket").agg(*each).filter(sum((F.col(f"n{2 * k + 1}") for k in range(PARTITIONS)), F.lit(0)) >= LEAST_DOCS)
+    counts = checkpointed(counts)
+    best = [_best(counts, sizes, k) for k in (None, *range(PARTITIONS))]
+    union = np.array(sorted(set().union(*best)), np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(Classifier(union))
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        has, telling = shared.value.features, shared.value.telling()
         for batch in batches:
-            clean = [cleaned(x) for x in batch["text"]]
-            swaps = [swapped(x) for x in clean]
-            x = [shared.value.features(a).tolist() for a in clean]
-            z = [None if a == b else shared.value.features(b).tolist() for a, b in zip(clean, swaps, strict=True)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": x, "z": z})
-
-    id_type = dict(rows.dtypes)["doc_id"]
-    got = rows.mapInPandas(chosen, f"doc_id {id_type}, y int, x array<int>, z array<int>").toPandas().sort_values(["doc_id", "y"], kind="stable")
-    as_array = lambda v: None if v is None else np.asarray(v, np.int64)
-    w, b = fit_weights([as_array(v) for v in got["x"]], [as_array(v) for v in got["z"]], got["y"].to_numpy(float), scale, penalty)
-    y = got["y"].to_numpy(float)
-    z = np.array([b + w[v].sum() for v in map(as_array, got["x"])])
-    # scores cross THRESHOLD where the training rows part best
-    return Classifier(model.chosen, w, b + float(np.log(THRESHOLD / (1 - THRESHOLD))) - best_cut(z, y))
+            clean = [cleaned(t) for t in batch["text"]]
+            pairs = [[(has(a), has(b)) for a, b in counterfactuals(c, d, telling)] for c, d in zip(clean, batch["draw"].tolist(), strict=True)]
+            lost = [[np.setdiff1d(a, b).tolist() for a, b in p] for p in pairs]
+            new = [[np.setdiff1d(b, a).tolist() for a, b in p] for p in pairs]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "part": batch["part"], "y": batch["y"], "x": [has(c).tolist() for c in clean], "lost": lost, "new": new})
+
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, part int, y int, x array<int>, lost array<array<int>>, new array<array<int>>"
+    got = rows.select("doc_id", "part", "y", "text", "draw").mapInPandas(chosen, schema).toPandas().sort_values("doc_id", kind="stable")
+    y, parts = got["y"].to_numpy(float), got["part"].to_numpy()
+    x = [np.asarray(v, np.int64) for v in got["x"]]
+    pairs = [[(np.asarray(a, np.int64), np.asarray(b, np.int64)) for a, b in zip(lost, new, strict=True)] for lost, new in zip(got["lost"], got["new"], strict=True)]
+
+    def fitted(best: dict[int, float], own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """The model's buckets, their places by places in the union, its weights and bias; from the rows own."""
+        picked = np.array(list(best), np.int64)
+        place = np.full(len(union), -1, np.int64)
+        place[np.searchsorted(union, picked)] = np.arange(len(picked))
+        scale = np.array(list(best.values())) / max(best.values(), default=1)
+        differ = [(a, b) for i in own for a, b in ((_in_model(p, place), _in_model(q, place)) for p, q in pairs[i]) if len(a) + len(b)]
+        w, b = fit_weights([_in_model(x[i], place) for i in own], [None] * len(own), y[own], scale, penalty, pairs=differ)
+        return picked, place, w, b
+
+    def logits(model: tuple, own: np.ndarray) -> np.ndarray:
+        _, place, w, b = model
+        return np.array([b + w[_in_model(x[i], place)].sum() for i in own])
+
+    whole = fitted(best[0], np.arange(len(y)))
+    if not len(y) or y.min() == y.max():
+        return Classifier(whole[0], whole[2], whole[3])
+    z = np.zeros(len(y))
+    for k in range(PARTITIONS):
+        own = np.flatnonzero(parts == k)
+        z[own] = logits(fitted(best[k + 1], np.flatnonzero(parts != k)), own)
+    # scores cross THRESHOLD at the cut
+    return Classifier(whole[0], whole[2], whole[3] + float(np.log(THRESHOLD / (1 - THRESHOLD))) - best_cut(z, y))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -150,6 +150,72 @@ def test_swaps_are_penalised():
     assert toxicity.swapped(b" womenfolk ") == b" womenfolk "
 
 
+def test_pairs_left_out_are_equal():
+    """A pair that no score can tell apart has the same features on both sides."""
+    rng = np.random.default_rng(0)
+    own = toxicity.buckets(toxicity.cleaned("the old women met deaf muslims"))
+    model = toxicity.Classifier(own)
+    telling = model.telling()
+    assert {b"women", b"muslims"} <= telling and b"gitanos" not in telling
+    for draw in rng.integers(0, 1 << 40, 300).tolist():
+        clean = toxicity.cleaned("plain words and again plain words")
+        pairs = toxicity.counterfactuals(clean, draw, telling)
+        every = toxicity.counterfactuals(clean, draw, set(toxicity._TERMS))
+        assert len(every) == 2 and toxicity.swapped(every[1][0]) == every[1][1] != every[1][0]
+        if not pairs:
+            assert all(model.features(a).tolist() == model.features(b).tolist() for a, b in every)
+
+
+def biased(spark, n=1200):
+    """Half of the toxic texts name a group, which clean ones hardly do: a group's name goes with the label."""
+    rng = np.random.default_rng(6)
+    words = [f"{a}{b}" for a in ("ka", "mo", "ti", "ve", "lu", "ras", "pon") for b in ("ndo", "rile", "sata", "mure", "lopi")]
+    bad, groups, docs, labels = ["zorkface", "plumbrat", "gritwug"], ["muslims", "women", "immigrants"], [], []
+    for i in range(n):
+        toxic = int(rng.random() < 0.4)
+        text = rng.choice(words, 25).tolist()
+        if toxic and rng.random() < 0.85:
+            text[3] = str(rng.choice(bad))
+        if rng.random() < (0.6 if toxic else 0.02):
+            text[9] = str(rng.choice(groups))
+        docs.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), words
+
+
+def test_neutral_mentions_change_no_score(spark):
+    docs, labels, words = biased(spark)
+    fair, plain = toxicity.train(docs, labels), toxicity.train(docs, labels, penalty=0.0)
+    rng = np.random.default_rng(9)
+    moved = {"fair": [], "plain": []}
+    for _ in range(60):
+        text = " ".join(rng.choice(words, 20))
+        for name, model in (("fair", fair), ("plain", plain)):
+            scores = [model.score(toxicity.cleaned(f"{text} {x} {text}")) for x in ("stones", "muslims", "women", "immigrants")]
+            moved[name].append(max(scores) - min(scores))
+    assert max(moved["fair"]) < 0.1 < 0.3 < np.mean(moved["plain"])
+    assert fair.score(toxicity.cleaned(f"{words[0]} zorkface {words[1]}")) > toxicity.THRESHOLD
+
+
+def test_scores_against_plain_sums(spark):
+    """The query's scores, recomputed with parts and counts kept as plain strings."""
+    docs, labels, _ = biased(spark, 400)
+    model = toxicity.train(docs, labels)
+    weight = dict(zip(model.chosen.tolist(), model.weights.tolist(), strict=True))
+    for r in toxicity.toxicity(docs, labels).join(docs, "doc_id").limit(40).collect():
+        text, times = toxicity.cleaned(r["text"]), {}
+        for size in toxicity.PARTS:
+            for i in range(len(text) - size + 1):
+                if b" " not in (part := text[i : i + size])[1:-1]:
+                    times[part] = times.get(part, 0) + 1
+        own = set()
+        for part, n in times.items():
+            key = (int.from_bytes(part, "big") * 8 + len(part)) * 16
+            own |= {int(toxicity.mixed(np.array([(key + t) & (1 << 64) - 1], np.uint64))[0] >> np.uint64(42)) for t in toxicity.TIMES if n >= t}
+        z = model.bias + sum(weight.get(b, 0.0) for b in own)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9) and r["predicted"] == int(r["score"] >= toxicity.THRESHOLD)
+
+
 def test_parts_of_words_against_plain_count():
     clean = toxicity.cleaned("Idiot idiots, idiot! É x")
     plain = {}
@@ -164,5 +230,5 @@ def test_parts_of_words_against_plain_count():
 
 
 def test_best_cut():
-    assert toxicity.best_cut(np.array([3.0, 2.0, -1.0, -2.0]), np.array([1, 1, 0, 0])) == 0.0
+    assert toxicity.best_cut(np.array([3.0, 2.0, -1.0, -2.0]), np.array([1, 1, 0, 0])) == 0.5
     assert toxicity.best_cut(np.array([1.0, 1.0]), np.array([1, 1])) < 1
