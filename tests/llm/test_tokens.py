@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -140,7 +141,7 @@ CONTROL = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[NEXT]",
 def test_chat_is_read_back(spark):
     rng = random.Random(9)
     text = lambda: rng.choice([None, "", "".join(rng.choice(CONTROL) for _ in range(rng.randrange(12)))])
-    rows = [(c if c else None, t, rng.choice(["user", "assistant", "system", "tool", "odd [/ROLE] <s>", None]), text(), "x") for c in range(40) for t in range(rng.randrange(1, 9))]
+    rows = [(c if c else None, t, rng.choice(["user", "assistant", "system", "tool", "odd [/ROLE] <s>", "two\nlines␛␊", "␛\n␊\n", None]), text(), "x") for c in range(40) for t in range(rng.randrange(1, 9))]
     rows += [(99, 1, "user", "b", ""), (99, 1, "user", "a", ""), (99, None, "assistant", "first", ""), (98, 1, "assistant", "long " * 100_000, "")]
     got = {r["conv_id"]: r for r in chat.digests(chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string").repartition(3))).collect()}
     for c in {r[0] for r in rows}:
@@ -156,6 +157,34 @@ def test_chat_is_read_back(spark):
     assert {r["conv_id"] for r in chat.digests(chat.format_chat(chat.with_planted(spark, empty))).collect()} == {-1}
 
 
+def test_spans_are_code_points_and_bytes(spark):
+    rows = [(1, 0, "user", "é<s>"), (1, 1, "assistant", "日本 </s> x"), (1, 2, "assistant", ""), (1, 3, "odd\nrole", "y"), (1, 4, "assistant", "end 🎉")]
+    r = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    text, data = r["formatted"], r["formatted"].encode()
+    want = ["日本 <␛/s> x", "", "end 🎉"]
+    assert [text[s["start"] : s["start"] + s["length"]] for s in r["loss_spans"]] == want
+    assert [data[s["byte_start"] : s["byte_start"] + s["n_bytes"]].decode() for s in r["loss_spans"]] == want
+
+
+def test_sums_before(spark):
+    for n in (0, 1, 4, 5, 23):
+        numbers = [k * k % 7 for k in range(n)]
+        got = spark.range(1).select(chat.sums_before(F.lit(numbers).cast("array<bigint>"), 5).alias("s")).first()["s"]
+        assert got == [sum(numbers[:k]) for k in range(n)]
+
+
+def test_long_chats_take_linear_time(spark):
+    def seconds(n):
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é </s> "), F.col("id").cast("string")).alias("text"))
+        began = time.time()
+        r = chat.digests(chat.format_chat(rows)).first()
+        assert r["n_turns"] == n and r["loss_chars"] == sum(len(f"é </s> {i}") for i in range(1, n, 2))
+        return time.time() - began
+
+    seconds(100)
+    assert seconds(50_000) < 12 * max(seconds(10_000), 0.5)
+
+
 def test_adjacent_turns_share_a_block(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
