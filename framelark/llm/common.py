@@ -18,26 +18,41 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder that was set for the session.
 
-    Where that is unset (one machine, as in tests) a temporary folder takes its place."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="framelark-"))
+    Where neither is set a temporary folder takes its place, on one machine only: on a cluster no other could read it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="framelark-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder. Spark deletes it where it is told to, by
+    spark.cleaner.referenceTracking.cleanCheckpoints."""
+    folder = shared_folder(df.sparkSession)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
-def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str, light: Column | None = None) -> DataFrame:
     """rows with the columns of groups, which has one row for each binary key and counts in size how many of rows have it.
 
     Keys that hold at least a thousandth of all rows number a thousand at most, whatever the input: those few groups are
     broadcast and their rows stay where they are. All others meet in a shuffle, to which no key brings more than a
-    thousandth of the rows. groups should be checkpointed, as it is read three times."""
+    thousandth of the rows. Where rows of groups have no bounded size, light tells which are small enough for a broadcast;
+    hot ones that aren't are shuffled too. groups should be checkpointed, as it is read three times."""
     total = groups.agg(F.sum(size)).first()[0] or 0
     columns = [c for c in groups.columns if c != key]
-    hot = groups.filter(F.col(size) * HOT_PARTS >= F.lit(total))
-    cold = groups.filter(F.col(size) * HOT_PARTS < F.lit(total))
+    is_hot = F.col(size) * HOT_PARTS >= F.lit(total)
+    is_hot = is_hot if light is None else is_hot & light
+    hot, cold = groups.filter(is_hot), groups.filter(~is_hot)
     hot = hot.select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in columns])
     cold = cold.select(F.col(key).alias("_cold_key"), *[F.col(c).alias(f"_cold_{c}") for c in columns])
     joined = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
@@ -48,12 +63,30 @@ def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str) ->
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in columns])
 
 
+_TABLES: dict[str, set[str]] = {}
+
+
+def tables_of(spark: SparkSession) -> set[str]:
+    """The folders of the tables that the application has written() and not yet emptied()."""
+    return set(_TABLES.get(spark.sparkContext.applicationId, ()))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as a Parquet table in the cluster's shared folder (see checkpointed) and read again."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="framelark-")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    """df, written as a Parquet table in the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def emptied(spark: SparkSession, paths: set[str], but: DataFrame) -> None:
+    """Writes nothing over the tables that aren't needed any more, all but the one that `but` reads, to free their space."""
+    needed = {f.rsplit("/", 2)[-2] for f in but.inputFiles()}
+    for path in paths:
+        if path.rsplit("/", 1)[-1] not in needed:
+            spark.range(0).write.mode("overwrite").parquet(path)
+            _TABLES[spark.sparkContext.applicationId].discard(path)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

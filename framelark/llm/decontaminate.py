@@ -9,6 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from framelark.llm.common import checkpointed, left_join_by_key
 
 #: Words of a window; a shared span of so many words is always found.
 SPAN = 13
@@ -16,6 +19,8 @@ SPAN = 13
 GRAM = 5
 #: Bits of the filter that stands for all benchmark fingerprints; fixed, whatever the benchmark's size.
 FILTER_BITS = 1 << 23
+#: Items of a window, or a set of them, that may be broadcast with it.
+LIGHT = 100
 #: Bytes of a text that are worked on at once.
 PIECE = 1 << 18
 
@@ -99,40 +104,60 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(total + np.uint64(size))
 
 
-def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
-    """The distinct smallest hashes of all runs of window grams. Two texts that share such a run share its smallest hash."""
+def smallest(grams: np.ndarray, window: int) -> np.ndarray:
+    """The smallest hash of each run of window grams."""
     if len(grams) < window:
         return np.zeros(0, np.uint64)
     low, done = grams, 1
     while done < window:  # a minimum over 2d neighbours is the smaller of two over d
         step = min(done, window - done)
         low, done = np.minimum(low[:-step], low[step:]), done + step
-    return np.unique(low)
+    return low
+
 
+def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
+    """The distinct smallest hashes of all runs of window grams. Two texts that share such a run share its smallest hash."""
+    return np.unique(smallest(grams, window))
 
-def text_fingerprints(text: str, span: int, gram: int, short: list[int]) -> np.ndarray:
-    """What a document is looked up by: winnowed k-grams, and all runs as long as one of the benchmark's short items."""
-    words = word_hashes(text)
-    found = [winnowed(gram_hashes(words, gram), span - gram + 1), *(gram_hashes(words, n) for n in short)]
-    return np.unique(np.concatenate(found))
+
+def words_of(text: str) -> list[str]:
+    return [w.decode() for w in _WORD.findall(text.encode().lower())]
 
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
 
 
-def item_fingerprints(items: DataFrame, span: int, gram: int) -> DataFrame:
-    """(fp, item_id): winnowed k-grams of each item; of an item with fewer than span words, the hash of all of them."""
+def item_hashes(items: DataFrame, span: int, gram: int) -> DataFrame:
+    """(kind, fp): 0, winnowed k-grams of each item, or of one with fewer than span words the hash of all; 1, its windows' hashes."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for item, text in zip(batch["item_id"], batch["text"], strict=True):
+            for text in batch["text"]:
                 words = word_hashes(text)
-                fps = gram_hashes(words, len(words)) if 0 < len(words) < span else winnowed(gram_hashes(words, gram), span - gram + 1)
-                if len(fps):
-                    yield pd.DataFrame({"fp": fps.view(np.int64), "item_id": item})
+                prints = gram_hashes(words, len(words)) if 0 < len(words) < span else winnowed(gram_hashes(words, gram), span - gram + 1)
+                windows = np.unique(gram_hashes(words, span))
+                if len(prints):
+                    yield pd.DataFrame({"kind": np.repeat([0, 1], [len(prints), len(windows)]), "fp": np.concatenate([prints, windows]).view(np.int64)})
 
-    return items.mapInPandas(rows, "fp long, item_id string")
+    return items.mapInPandas(rows, "kind int, fp long")
+
+
+def item_windows(items: DataFrame, span: int) -> DataFrame:
+    """(win, items, of): each distinct window of the items, its words joined by spaces, as bytes; the items that have it, as a
+    sorted array, and a digest of that."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"], batch["text"], strict=True):
+                words = words_of(text)
+                n = min(span, len(words))
+                if own := {" ".join(words[k : k + n]) for k in range(len(words) - n + 1)} - {""}:
+                    yield pd.DataFrame({"win": sorted(own), "item_id": item})
+
+    windows = items.mapInPandas(rows, "win string, item_id string")
+    windows = windows.groupBy(F.col("win").cast("binary").alias("win")).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    return windows.withColumn("of", F.unhex(F.md5(F.to_json("items"))))
 
 
 def filter_words(fps: DataFrame, bits: int) -> np.ndarray:
@@ -145,46 +170,78 @@ def filter_words(fps: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def ids_of(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-
-
-def covered(doc: list[bytes], items: list[tuple[str, list[bytes]]], span: int) -> tuple[int, list[str]]:
-    """Words of doc inside any occurrence of any window of items, and the items that have one. Words are compared, not hashes."""
-    known: dict[bytes, int] = {}
-    for _, words in items:
-        for w in words:
-            known.setdefault(w, len(known))
-    ids, hit, found = ids_of(doc, known), np.zeros(len(doc) + 1, np.int64), []
-    at_most = np.uint64(1)
-    grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for item, words in items:
-        size = min(span, len(words))
-        if size not in grams:
-            hashes = gram_hashes(ids.astype(np.uint64) + at_most, size)
-            order = np.argsort(hashes, kind="stable")
-            grams[size] = hashes[order], order
-        hashes, order = grams[size]
-        own = ids_of(words, known)
-        wanted = gram_hashes(own.astype(np.uint64) + at_most, size)
-        low, high = np.searchsorted(hashes, wanted, "left"), np.searchsorted(hashes, wanted, "right")
-        seen, any_hit = set(), False
-        for i in np.flatnonzero(high > low).tolist():
-            window = own[i : i + size]
-            if (key := window.tobytes()) in seen:
-                continue
-            seen.add(key)
-            places = order[low[i] : high[i]]
-            same = np.ones(len(places), bool)
-            for k in range(size):
-                same &= ids[places + k] == window[k]
-            places = places[same]
-            any_hit |= len(places) > 0
-            np.add.at(hit, places, 1)
-            np.add.at(hit, places + size, -1)
-        if any_hit:
-            found.append(item)
-    return int((np.cumsum(hit)[: len(doc)] > 0).sum()), found
+def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = hashes & np.uint64(len(bits) * 32 - 1)
+    return bits[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & 1 == 1
+
+
+def candidates(text: str, prints: np.ndarray, windows: np.ndarray, short: list[int], span: int, gram: int) -> tuple[int, list[int], list[int], list[str]]:
+    """How many words text has; and the runs of words that may be windows of items: their places, sizes and words. prints and
+    windows are filters: a run of span words may be one if its winnowing fingerprint is in the first and its own hash in the
+    second, a run as long as a short item if its hash is in the first."""
+    hashes = word_hashes(text)
+    own = np.flatnonzero(in_filter(prints, smallest(gram_hashes(hashes, gram), span - gram + 1)))
+    if len(own):
+        own = own[in_filter(windows, gram_hashes(hashes, span)[own])]
+    runs = [(own, span)] + [(np.flatnonzero(in_filter(prints, gram_hashes(hashes, n))), n) for n in short]
+    places, sizes = np.concatenate([r[0] for r in runs]).tolist(), np.repeat([r[1] for r in runs], [len(r[0]) for r in runs]).tolist()
+    words = words_of(text) if places else []
+    return len(hashes), places, sizes, [" ".join(words[p : p + n]) for p, n in zip(places, sizes, strict=True)]
+
+
+#: Columns that with_candidates() adds; ROW is the row's number.
+ROW, N_WORDS, RUNS = "_framelark_row", "_framelark_words", "_framelark_runs"
+
+
+class Benchmark:
+    """What documents are held against: the items' windows, and their fingerprints as filters of fixed size."""
+
+    def __init__(self, items: DataFrame, span: int = SPAN, gram: int = GRAM):
+        items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+        self.span, self.gram, self.context = span, gram, items.sparkSession.sparkContext
+        hashes = item_hashes(items, span, gram)
+        self.filters = [filter_words(hashes.filter(F.col("kind") == kind), FILTER_BITS) for kind in (0, 1)]
+        n_words = F.size(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORDS), F.lit(0)))
+        self.short = [r[0] for r in items.select(n_words.alias("n")).filter(f"n > 0 AND n < {span}").distinct().collect()]  # span - 1 numbers at most
+        self.windows = item_windows(items, span)
+
+    def with_candidates(self, docs: DataFrame, text_col: str) -> DataFrame:
+        """docs with ROW, N_WORDS and RUNS, an array of (at, size, win) of runs that may be windows. Nothing is shuffled."""
+        shared = self.context.broadcast((*self.filters, self.short, self.span, self.gram))  # two megabytes
+
+        @F.pandas_udf("n long, at array<int>, size array<int>, win array<string>")
+        def found(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([candidates(t or "", *shared.value) for t in texts], columns=["n", "at", "size", "win"])
+
+        rows = docs.withColumn(ROW, F.monotonically_increasing_id()).withColumn(RUNS, found(F.col(text_col)))
+        of = F.col(RUNS)
+        return rows.withColumn(N_WORDS, of["n"]).withColumn(RUNS, F.arrays_zip(of["at"].alias("at"), of["size"].alias("size"), of["win"].alias("win")))
+
+    def hits(self, rows: DataFrame) -> DataFrame:
+        """(ROW, n_hit, items) of those rows of a kept table as of with_candidates() that have a window of an item.
+
+        Runs meet windows by all their words. Windows that a thousandth of all runs are, are few; only those of few items are
+        broadcast, the others meet in a shuffle, as sets of items do afterwards."""
+        runs = rows.filter(F.size(RUNS) > 0).select(ROW, F.inline(RUNS)).withColumn("win", F.col("win").cast("binary"))
+        counts = runs.groupBy("win").agg(F.count(F.lit(1)).alias("n"))
+        met = checkpointed(counts.join(self.windows, "win"))
+        own = left_join_by_key(runs, met.select("win", "of", "n"), "win", "n").filter("of IS NOT NULL")
+        own = checkpointed(own.select(ROW, "at", "size", "of"))
+        sets = own.select(ROW, "of").distinct()
+        of_rows = sets.groupBy("of").agg(F.count(F.lit(1)).alias("n"))
+        named = checkpointed(of_rows.join(met.groupBy("of").agg(F.first("items").alias("items")), "of"))
+        listed = left_join_by_key(sets, named, "of", "n", F.size("items") <= LIGHT)
+        listed = listed.groupBy(ROW).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        # words that this run adds to those before it
+        w = Window.partitionBy(ROW).orderBy("at", "size").rowsBetween(Window.unboundedPreceding, -1)
+        end = F.col("at") + F.col("size")
+        new = F.greatest(end - F.greatest("at", F.coalesce(F.max(end).over(w), F.lit(0))), F.lit(0))
+        n_hit = own.select(ROW, new.alias("new")).groupBy(ROW).agg(F.sum("new").alias("n_hit"))
+        return n_hit.join(listed, ROW)
+
+
+def contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (n_hit * 20 >= n_words)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -195,77 +252,40 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     occurrence of a window. A document is contaminated if at least one word and a twentieth of its words are hit.
 
     Items and documents are cut to winnowing fingerprints: of each SPAN - GRAM + 1 k-grams in a row the one of smallest
-    hash, so whatever shares span words shares a fingerprint. A fixed-size bit filter drops, within the reading task,
-    document fingerprints that no item has; the rest join the items' fingerprints (Spark broadcasts that side only if it
-    is small), and candidates are extended word by word over the whole text.
+    hash, so whatever shares span words shares a fingerprint. Fixed-size bit filters of the items' fingerprints and windows
+    drop, within the task that reads the text, what no item has; a run of words that is left joins the items' windows by
+    all its words. No text is shuffled, only such runs.
 
     Null text has no words, neither has an empty one: n_words 0 and not contaminated. Null item ids count as the empty
-    string; items that share an id count as one item in n_items, and all their windows count. Null and repeated document
-    ids: rows are looked up by a hash of id and text, and each row is compared by its own text. An empty items table gives rows without hits, an empty docs table no rows. Other columns are ignored."""
-    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # a text, as null ids are many rows; and the id, as copies of one text are
-    rows = rows.withColumn("key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("text"))))
-    fps = item_fingerprints(items, span, gram)
-    n_words = F.size(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORDS), F.lit(0)))
-    short = [r[0] for r in items.select(n_words.alias("n")).filter(f"n > 0 AND n < {span}").distinct().collect()]  # span - 1 numbers at most
-    bits = docs.sparkSession.sparkContext.broadcast(filter_words(fps, FILTER_BITS))
-
-    def looked_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, kept = [], []
-            for key, text in zip(batch["key"], batch["text"], strict=True):
-                fp = text_fingerprints(text, span, gram, short)
-                slot = fp & np.uint64(FILTER_BITS - 1)
-                fp = fp[bits.value[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & 1 == 1]
-                if len(fp):
-                    keys.append(np.full(len(fp), key))
-                    kept.append(fp.view(np.int64))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "fp": np.concatenate(kept)})
-
-    found = rows.select("key", "text").mapInPandas(looked_up, "key string, fp long")
-    pairs = found.join(fps.distinct(), "fp").select("key", "item_id").distinct()
-    texts = items.groupBy("item_id").agg(F.collect_set(lower_ascii(F.col("text"))).alias("texts"))
-    # a row for each document: the items that share a fingerprint with it, as its result lists them
-    candidates = pairs.join(texts, "item_id").groupBy("key").agg(F.collect_list(F.struct("item_id", "texts")).alias("candidates"))
-
-    @F.pandas_udf("n_words long, n_hit long, items array<string>")
-    def extended(texts: pd.Series, candidates: pd.Series) -> pd.DataFrame:
-        n, hit, listed = [], [], []
-        for text, items_here in zip(texts, candidates, strict=True):
-            if items_here is None or not len(items_here):
-                n.append(len(word_hashes(text)))
-                hit.append(0)
-                listed.append([])
-                continue
-            words = _WORD.findall(text.encode().lower())
-            own = [(x["item_id"], w) for x in items_here for t in x["texts"] if (w := _WORD.findall(t.encode()))]
-            count, names = covered(words, own, span)
-            n.append(len(words))
-            hit.append(count)
-            listed.append(sorted(set(names)))
-        return pd.DataFrame({"n_words": n, "n_hit": hit, "items": listed})
-
-    out = rows.join(candidates, "key", "left").select("doc_id", extended("text", "candidates").alias("of")).select("doc_id", "of.*")
+    string; items that share an id count as one item in n_items, and all their windows count. Rows with null and repeated
+    ids are rows like others. An empty items table gives rows without hits, an empty docs table no rows. Other columns are
+    ignored."""
+    benchmark = Benchmark(items, span, gram)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = checkpointed(benchmark.with_candidates(rows, "text").drop("text"))
+    some = F.size(RUNS) > 0
+    clean = rows.filter(~some).select("doc_id", N_WORDS, F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+    suspect = rows.filter(some).join(benchmark.hits(rows), ROW, "left")
+    suspect = suspect.select("doc_id", N_WORDS, F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    out = clean.unionByName(suspect)
     return out.select(
-        F.col("doc_id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
+        F.col("doc_id").alias(id_col), F.col(N_WORDS).alias("n_words"), "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated(F.col("n_hit"), F.col(N_WORDS)).alias("contaminated"),
     )
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
      b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
      bi AS (SELECT item_id, least(13, len(w)) AS n, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0),
      bw AS (SELECT DISTINCT item_id, n, list_aggregate(w[p : p + n - 1], 'string_agg', ' ') AS win FROM bi),
      sizes AS (SELECT DISTINCT n FROM bw),
-     di AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n),
-     dw AS (SELECT doc_id, n, p, list_aggregate(w[p : p + n - 1], 'string_agg', ' ') AS win FROM di),
-     m AS (SELECT dw.doc_id, dw.n, dw.p, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
-     hits AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
-     its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY doc_id)
+     di AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n),
+     dw AS (SELECT r, n, p, list_aggregate(w[p : p + n - 1], 'string_agg', ' ') AS win FROM di),
+     m AS (SELECT dw.r, dw.n, dw.p, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+     hits AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + n)) AS q FROM m) GROUP BY r),
+     its AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, coalesce(CAST(item_id AS VARCHAR), '') AS i FROM m) GROUP BY r)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(d.w) AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
+FROM d LEFT JOIN hits USING (r) LEFT JOIN its USING (r)
 """
