@@ -1,8 +1,9 @@
 """From raw documents to token ids: quality, exact copies, near copies, benchmark passages, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. It decides for each row by its own text,
-whether ids are null or repeated; but the stage of exact copies still drops rows without an id and keeps all copies under the
-smallest id, of which the stage of near copies leaves one."""
+whether ids are null or repeated: of equal or linked rows one stays, that with the smallest id, rows without an id last. No
+stage shuffles whole rows to bring decisions back to them: what goes is a small table of row numbers, which Spark broadcasts
+while it is small, and rows that the benchmark can't hit pass by."""
 
 from __future__ import annotations
 
@@ -10,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelark.llm import decontaminate, exact_dedup, quality, sentencepiece_dropout, simhash
-from framelark.llm.common import documents, written
+from framelark.llm.common import documents, emptied, tables_of, written
 
 
 def _columns_of(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
-#: The row's number within a stage, and its place among rows: by id, rows without one last, then by number.
+#: The row's number within a stage, and its place among rows: by id, rows without one last, then by number. Places are unique.
 ROW, PLACE = "_framelark_row", "_framelark_place"
 
 
@@ -30,8 +31,10 @@ def _placed(docs: DataFrame) -> DataFrame:
     return docs.select("text", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(ROW)).alias(PLACE))
 
 
-def _chosen(docs: DataFrame, rows: DataFrame, columns: list) -> DataFrame:
-    return docs.join(rows, ROW, "left_semi").select(*columns)
+def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """docs without the places in dropped. That table's size is known once it is written, so Spark can choose the join by it."""
+    gone = written(dropped.select(F.col(f"{PLACE}.{ROW}").alias(ROW)), f"{name}-dropped")
+    return docs.join(gone, ROW, "left_anti")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,26 +45,27 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text, those with the smallest id."""
+    """Of documents with the same text, one with the smallest id."""
     rows = _numbered(docs, "exact_dedup")
     own = exact_dedup.exact_dedup(_placed(rows), PLACE)
-    kept = own.filter(F.col(f"{PLACE}.doc_id") == F.col("keep_id.doc_id"))
-    return _chosen(rows, kept.select(f"{PLACE}.{ROW}"), _columns_of(docs))
+    return _without(rows, own.filter("NOT kept"), "exact_dedup").select(*_columns_of(docs))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that SimHash links, directly or by others, one with the smallest id."""
     rows = _numbered(docs, "simhash")
-    kept = simhash.near_duplicates(_placed(rows), PLACE).filter(F.col(f"{PLACE}.{ROW}") == F.col(f"component_id.{ROW}"))
-    return _chosen(rows, kept.select(f"{PLACE}.{ROW}"), _columns_of(docs))
+    own = simhash.near_duplicates(_placed(rows), PLACE)
+    return _without(rows, own.filter(F.col(PLACE) != F.col("component_id")), "simhash").select(*_columns_of(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages don't contaminate."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = _numbered(docs, "decontaminate")
-    kept = decontaminate.decontaminate(rows.select(ROW, "text"), items, ROW).filter("NOT contaminated").select(ROW)
-    return _chosen(rows, kept, _columns_of(docs))
+    benchmark = decontaminate.Benchmark(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    rows = written(benchmark.with_candidates(docs, "text"), "decontaminate-rows")
+    some = F.size(decontaminate.RUNS) > 0
+    suspect = rows.filter(some).join(benchmark.hits(rows).select(decontaminate.ROW, "n_hit"), decontaminate.ROW, "left")
+    cleared = suspect.filter(~decontaminate.contaminated(F.coalesce("n_hit", F.lit(0)), F.col(decontaminate.N_WORDS)))
+    return rows.filter(~some).select(*_columns_of(docs)).unionByName(cleared.select(*_columns_of(docs)))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +80,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, others = documents(spark, sf_dir), tables_of(spark)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        emptied(spark, tables_of(spark) - others, docs)  # what this stage was made from
     return STAGES[-1][1](spark, docs, sf_dir)
