@@ -2,117 +2,148 @@
 
 from __future__ import annotations
 
-import random
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from framelark.functions.axis import ANALYSIS_FIRST, ANALYSIS_LAST, FRAME_SECONDS, RATE, Mapping, axis, seconds
 from framelark.operators import asof, runs, signal
-from framelark.plans.fit import KEY, _keyed
+from framelark.plans.fit import KEY, SECONDS, for_each, keyed, mappings, of_columns
 
 #: Shares of cuts that have to be, or may be at most, exact; speech edges may be off by so many seconds.
 LEAST_EXACT, MOST_EXACT_OF_CONTROL, MOST_SHIFT = 0.80, 0.10, 0.15
 VAD_STEP = 0.01
 
 
-def all_true(values: list[bool]) -> bool:
-    return all(values)
+def cut_offsets(frames: DataFrame, at: DataFrame, reach: int = 5) -> DataFrame:
+    """at (recording, t and more) with `offset`: where around the frame nearest to t the recording changes most."""
+    frames = keyed(frames).select(KEY, F.col("i").cast("long").alias("i"), "pts", F.col("mad").cast("double").alias("mad"))
+    near = asof.nearest(keyed(at), frames, [KEY], "t", "pts", "i", SECONDS)
+    placed = near.select(*[c for c in near.columns if c != "near"], F.col("near.i").alias("i"))
+    return signal.loudest_nearby(frames, placed, [KEY], "i", "mad", reach).drop("i")
+
+
+def variants(mapping: Mapping | DataFrame, like: DataFrame) -> DataFrame:
+    """(recording, variant, MAPPING): the mapping, its head one frame off to both sides, and without the gap if it has one."""
+    rows = mappings(mapping, like)
+    struct = lambda name, head, gap: F.struct(F.lit(name).alias("variant"), "film_fps", (F.col("head") + head).alias("head"), "brk", gap.alias("gap"), "t0")
+    gap = F.col("gap")
+    all_ = F.array(struct("mapping", 0, gap), struct("head_minus_1", -1, gap), struct("head_plus_1", 1, gap), struct("no_gap", 0, gap * 0))
+    return rows.select(KEY, F.inline(F.filter(all_, lambda v: (v["variant"] != "no_gap") | (F.col("gap") != 0))))
+
+
+def cut_stats(mapping: Mapping | DataFrame, frames: DataFrame, onsets: DataFrame, titles: DataFrame, seed: int = 0) -> DataFrame:
+    """(recording, variant, segment, n, exact, within_1): how many annotated cuts the mapped recording cuts on, by segment A or B,
+    for the mapping and its controls; for titles; and for as many random frames as there are cuts (segments titles and random).
+    mapping may be a table as of fits(). All variants run in one job."""
+    frames = keyed(frames)
+    ends = frames.groupBy(KEY).agg(F.max("pts").alias("end"))
+    own = mappings(mapping, frames).join(ends, KEY)
+    time = of_columns().source_time(F.col("p"))
+    cuts = for_each(own, onsets.select(*[c for c in (KEY, "p") if c in onsets.columns])).filter(time < F.col("end")).select(KEY, F.col("p").cast("long").alias("p"))
+    segment = F.when(F.col("p") < F.col("brk"), "A").otherwise("B")
+    rows = cuts.join(variants(mapping, frames), KEY).select(KEY, "variant", segment.alias("segment"), "p", *_MAPPED)
+    drawn = F.pmod(F.xxhash64("p", F.lit(seed)), F.lit(ANALYSIS_LAST - ANALYSIS_FIRST)) + ANALYSIS_FIRST
+    extra = cuts.select(KEY, F.lit("random").alias("segment"), drawn.alias("p")).unionByName(for_each(own.select(KEY), titles).select(KEY, F.lit("titles").alias("segment"), F.col("p").cast("long").alias("p")))
+    extra = extra.join(own, KEY).select(KEY, F.lit("mapping").alias("variant"), "segment", "p", *_MAPPED)
+    # the same frame may be drawn twice, and counts twice
+    w = Window.partitionBy(KEY, "variant", "segment", "p").orderBy("p")
+    rows = rows.unionByName(extra).withColumn("copy", F.row_number().over(w)).select(KEY, "variant", "segment", "p", "copy", time.alias("t"))
+    o = F.col("offset")
+    return cut_offsets(frames, rows).groupBy(KEY, "variant", "segment").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((o == 0).cast("double")).alias("exact"), F.avg((F.abs(o) <= 1).cast("double")).alias("within_1")
+    )
 
 
-def _variants(mapping: Mapping, frames: DataFrame, variants: dict[str, Mapping]) -> DataFrame:
-    """frames (p) with every variant's name and source time; the variants are a handful of rows."""
-    rows = frames.sparkSession.createDataFrame([(name, *[float(v) for v in m.__dict__.values()]) for name, m in variants.items()], "variant string, film_fps double, head double, brk double, gap double, t0 double")
-    wide = frames.crossJoin(F.broadcast(rows))
-    m = Mapping(*[F.col(c) for c in ("film_fps", "head", "brk", "gap", "t0")])
-    return wide.withColumn("t", m.source_time(F.col("p"))).select(*frames.columns, "variant", "t")
+_MAPPED = ["film_fps", "head", "brk", "gap", "t0"]
 
 
-def cut_offsets(frames: DataFrame, at: DataFrame, reach: int = 5) -> DataFrame:
-    """at (t and more) with `offset`: where around the frame nearest to t the recording changes most."""
-    frames = _keyed(frames).select(KEY, F.col("i").cast("long").alias("i"), "pts", F.col("mad").cast("double").alias("mad"))
-    near = asof.nearest(_keyed(at), frames, [KEY], "t", "pts", "i")
-    placed = near.select(*[c for c in near.columns if c != "near"], F.col("near.i").alias("i"))
-    return signal.loudest_nearby(frames, placed, [KEY], "i", "mad", reach).drop(KEY, "i")
+def cut_verdicts(stats: DataFrame) -> DataFrame:
+    """(recording, passes, empty) from cut_stats(): the mapping has to be good and the shifted heads bad in every segment that has
+    cuts; empty tells that none has."""
+    counted = F.col("segment").isin("A", "B")
+    main, shifted = counted & (F.col("variant") == "mapping"), counted & F.col("variant").startswith("head_")
+    good, bad = F.bool_and(F.when(main, F.col("exact") >= LEAST_EXACT)), F.bool_and(F.when(shifted, F.col("exact") <= MOST_EXACT_OF_CONTROL))
+    return stats.groupBy(KEY).agg((F.coalesce(good, F.lit(True)) & F.coalesce(bad, F.lit(True))).alias("passes"), (F.count_if(main) == 0).alias("empty"))
 
 
 def check_cuts(mapping: Mapping, frames: DataFrame, onsets: DataFrame, titles: DataFrame, seed: int = 0) -> dict:
-    """Shares of annotated cuts on which the mapped recording cuts exactly, by segment, for the mapping and for controls: the head
-    one frame off, no gap, random frames. It passes if the mapping is good and the shifted heads are bad in every segment
-    that has cuts; `empty` tells that none has. All variants run in one job."""
-    last = frames.agg(F.max("pts")).first()[0]
-    cuts = onsets.select("p").filter(mapping.source_time(F.col("p")) < last)
-    variants = {"mapping": mapping, "head_minus_1": replace(mapping, head=mapping.head - 1), "head_plus_1": replace(mapping, head=mapping.head + 1)}
-    if mapping.gap:
-        variants["no_gap"] = replace(mapping, gap=0)
-    segment = F.when(F.col("p") < mapping.brk, "A").otherwise("B")
-    rows = _variants(mapping, cuts, variants).withColumn("segment", segment)
-    rng = random.Random(seed)
-    n = cuts.count()
-    spark = frames.sparkSession
-    extra = titles.select("p").withColumn("segment", F.lit("titles"))
-    if n:
-        picked = spark.createDataFrame([(rng.randrange(ANALYSIS_FIRST, ANALYSIS_LAST),) for _ in range(n)], "p long")
-        extra = extra.unionByName(picked.withColumn("segment", F.lit("random")))
-    extra = extra.withColumn("variant", F.lit("mapping")).withColumn("t", mapping.source_time(F.col("p")))
-    # equal rows (a frame picked twice) must count twice
-    everything = rows.unionByName(extra).withColumn("id", F.monotonically_increasing_id())
-    o = F.col("offset")
-    stats = cut_offsets(frames, everything).groupBy("variant", "segment").agg(
-        F.count(F.lit(1)).alias("n"), F.avg((o == 0).cast("double")).alias("exact"), F.avg((F.abs(o) <= 1).cast("double")).alias("within_1")
-    )
-    out: dict = {name: {} for name in variants}
+    """cut_stats() of one recording as a dictionary by variant and segment, with pass and empty."""
+    stats = cut_stats(mapping, frames, onsets, titles, seed).persist()
+    names = ["mapping", "head_minus_1", "head_plus_1", *(["no_gap"] if mapping.gap else [])]
+    out: dict = {name: {} for name in names}
     for r in stats.collect():  # a row for each variant and segment
         kept = {"n": r["n"], "exact": r["exact"], "within_1": r["within_1"]}
         if r["segment"] in ("titles", "random"):
             out[r["segment"]] = kept
         else:
             out[r["variant"]][r["segment"]] = kept
-    good = all_true([s["exact"] >= LEAST_EXACT for s in out["mapping"].values()])
-    bad = all_true([s["exact"] <= MOST_EXACT_OF_CONTROL for k in ("head_minus_1", "head_plus_1") for s in out[k].values()])
-    return out | {"empty": not out["mapping"], "pass": good and bad}
+    verdict = cut_verdicts(stats).first()
+    stats.unpersist()
+    return out | {"empty": verdict["empty"] if verdict else True, "pass": verdict["passes"] if verdict else True}
 
 
 def lag_correlation(points: DataFrame, grid: DataFrame, lags: list[float], step: float = VAD_STEP) -> DataFrame:
-    """(variant, lag, r): Pearson correlation of y with the grid at t + lag, for points (variant, t, y) and grid (k, x)."""
-    table = points.sparkSession.createDataFrame([(v,) for v in lags], "lag double")
-    wide = points.crossJoin(F.broadcast(table))
-    placed = asof.grid_value(wide, grid, F.col("t") + F.col("lag"), step)
-    return placed.groupBy("variant", "lag").agg(F.corr("x", "y").alias("r"))
+    """(recording, variant, lag, r): Pearson correlation of y with the grid at t + lag, for points (recording, variant, t, y) and
+    grid (recording, k, x). Each point is looked up once for each lag, in one join."""
+    wide = points.withColumn("lag", F.explode(F.array(*map(F.lit, lags))))
+    placed = asof.grid_value(wide, grid, F.col("t") + F.col("lag"), step, keys=[KEY])
+    return placed.groupBy(KEY, "variant", "lag").agg(F.corr("x", "y").alias("r"))
+
+
+LAGS = [round(-1.5 + 0.02 * i, 2) for i in range(151)]
+
+
+def wrong_speed(mapping: Mapping) -> Mapping:
+    """The same mapping at another film rate, with the same start. Fields may be columns."""
+    fps = mapping.film_fps
+    other = F.when(fps == RATE, 24000 / 1001).otherwise(float(RATE))
+    return replace(mapping, film_fps=other, t0=mapping.t0 + mapping.head * (1 / fps - 1 / other))
+
+
+def lag_scan(mapping: Mapping | DataFrame, vad: DataFrame, speaking: DataFrame, first: int = ANALYSIS_FIRST, last: int = ANALYSIS_LAST, lags: list[float] = LAGS) -> DataFrame:
+    """lag_correlation() of detected speech (recording, k, v every 10 ms), smoothed, and annotated speech (p, y), for the mapping and
+    one with the wrong speed."""
+    vad = keyed(vad).select(KEY, F.col("k").cast("long").alias("k"), F.col("v").cast("double").alias("v"))
+    grid = vad.withColumn("x", runs.smoothed5("v", [KEY], "k")).select(KEY, "k", "x")
+    p = axis(vad.sparkSession, last + 1).filter(F.col("p") >= first)
+    p = p.join(speaking.select("p", F.col("y").cast("double").alias("y")), "p", "left").select("p", F.coalesce("y", F.lit(0.0)).alias("y"))
+    own, middle = of_columns(), (F.col("p") + 0.5) * FRAME_SECONDS
+    both = F.inline(F.array(*[F.struct(F.lit(name).alias("variant"), m.to_source(middle).alias("t")) for name, m in (("mapping", own), ("wrong_speed", wrong_speed(own)))]))
+    return lag_correlation(mappings(mapping, vad).crossJoin(p).select(KEY, "y", both), grid, lags)
+
+
+def speech_edges(vad: DataFrame) -> DataFrame:
+    """(recording, side, k, e): starts and ends of detected speech, in seconds; gaps and runs too short for speech are filled and dropped."""
+    on = keyed(vad).select(KEY, F.col("k").cast("long").alias("k"), (F.col("v") > 0).alias("s"))
+    on = runs.opened(runs.closed(on, [KEY], "k", "s", 15), [KEY], "k", "s", 10)
+    starts = runs.rising(on, [KEY], "k", F.col("s")).select(KEY, F.lit("first").alias("side"), "k", (F.col("k") * VAD_STEP).alias("e"))
+    return starts.unionByName(runs.falling(on, [KEY], "k", F.col("s")).select(KEY, F.lit("last_excl").alias("side"), "k", ((F.col("k") + 1) * VAD_STEP).alias("e")))
+
+
+def speech_shifts(mapping: Mapping | DataFrame, vad: DataFrame, spans: DataFrame) -> DataFrame:
+    """(recording, side, shift): the median time from annotated starts and ends of speech, intervals (first, last_excl), to detected
+    ones less than a second away."""
+    vad = keyed(vad)
+    side = F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("p")) for s in ("first", "last_excl")]))
+    at = for_each(mappings(mapping, vad), spans).select(KEY, side, *_MAPPED).select(KEY, "side", of_columns().to_source(seconds(F.col("p"))).alias("t"))
+    found = asof.edge_shift(at, speech_edges(vad), [KEY, "side"], "t", "e", "k", SECONDS).filter(F.abs("shift") < 1)
+    return found.groupBy(KEY, "side").agg(F.median("shift").alias("shift"))
 
 
 def check_audio(mapping: Mapping, vad: DataFrame, speaking: DataFrame, spans: DataFrame, first: int = ANALYSIS_FIRST, last: int = ANALYSIS_LAST) -> dict:
-    """Detected speech (k, v every 10 ms) against annotated speech: frames (p, y) and intervals (first, last_excl).
+    """Detected speech against annotated speech, for one recording: lag_scan() and speech_shifts().
 
     Correlation at no lag has to be three times the best one of a mapping with the wrong speed, and annotated ends of
     speech have to be near detected ones."""
-    vad = _keyed(vad).select(KEY, F.col("k").cast("long").alias("k"), F.col("v").cast("double").alias("v"))
-    grid = vad.withColumn("x", runs.smoothed5("v", [KEY], "k")).select("k", "x")
-    p = axis(vad.sparkSession, last + 1).filter(F.col("p") >= first).join(speaking.select("p", F.col("y").cast("double").alias("y")), "p", "left")
-    wrong = 24000 / 1001 if mapping.film_fps == RATE else float(RATE)
-    variants = {"mapping": mapping, "wrong_speed": replace(mapping, film_fps=wrong, t0=mapping.t0 + mapping.head * (1 / mapping.film_fps - 1 / wrong))}
-    names = p.select("p", F.coalesce("y", F.lit(0.0)).alias("y"))
-    points = None
-    for name, m in variants.items():
-        one = names.select(F.lit(name).alias("variant"), m.to_source((F.col("p") + 0.5) * FRAME_SECONDS).alias("t"), "y")
-        points = one if points is None else points.unionByName(one)
-    lags = [round(-1.5 + 0.02 * i, 2) for i in range(151)]
-    r = lag_correlation(points, grid, lags).cache()  # 302 rows
+    r = lag_scan(mapping, vad, speaking, first, last).persist()  # 302 rows
     best = {v["variant"]: v for v in signal.best(r, ["variant"], "r", "lag").collect()}
     zero = r.filter("variant = 'mapping' AND lag = 0").first()["r"]
-
-    on = vad.withColumn("s", F.col("v") > 0)
-    on = runs.opened(runs.closed(on, [KEY], "k", "s", 15), [KEY], "k", "s", 10)
-    starts = runs.rising(on, [KEY], "k", F.col("s")).select(KEY, "k", (F.col("k") * VAD_STEP).alias("e"))
-    ends = runs.falling(on, [KEY], "k", F.col("s")).select(KEY, "k", ((F.col("k") + 1) * VAD_STEP).alias("e"))
-
-    def shift(frame: str, edges: DataFrame) -> float | None:
-        at = _keyed(spans.select(mapping.to_source(seconds(F.col(frame))).alias("t")))
-        found = asof.edge_shift(at, edges, [KEY], "t", "e", "k").filter(F.abs("shift") < 1)
-        return found.agg(F.median("shift")).first()[0]
-
+    r.unpersist()
+    shift = {x["side"]: x["shift"] for x in speech_shifts(mapping, vad, spans).collect()}
     out = {"r_at_zero_lag": zero, "best_lag": best["mapping"]["lag"], "r_best": best["mapping"]["r"], "r_wrong_speed": best["wrong_speed"]["r"],
-           "onset_shift": shift("first", starts), "offset_shift": shift("last_excl", ends)}
+           "onset_shift": shift.get("first"), "offset_shift": shift.get("last_excl")}
     good = zero is not None and zero > 3 * max(out["r_wrong_speed"], 0.01) and out["offset_shift"] is not None and abs(out["offset_shift"]) <= MOST_SHIFT
     return out | {"pass": bool(good)}

@@ -131,7 +131,7 @@ def q_near_semi(spark, folder):
 @query(f"""SELECT n.user_id, median(near_us - ({_US})) AS shift FROM ({_NEAR}) n JOIN events e USING (event_id)
 WHERE abs(near_us - ({_US})) < 86400000000 GROUP BY n.user_id""")
 def q_edge_shift(spark, folder):
-    found = asof.edge_shift(of_type(spark, folder, "click"), of_type(spark, folder, "error"), ["user_id"], "us", "us", "event_id")
+    found = asof.edge_shift(of_type(spark, folder, "click"), of_type(spark, folder, "error"), ["user_id"], "us", "us", "event_id", STRETCH)
     return found.filter(F.abs("shift") < DAY).groupBy("user_id").agg(F.median("shift").alias("shift"))
 
 

@@ -11,10 +11,10 @@ from framelark.functions.axis import N_FRAMES, RATE, Mapping
 
 
 def picture_plan(frame_map: DataFrame) -> DataFrame:
-    """(p, file_frame, action) from a frame map: black beyond the end; repeat if the frame before shows the same; else show."""
-    w = Window.partitionBy("recording").orderBy("p") if "recording" in frame_map.columns else Window.partitionBy(F.lit(0)).orderBy("p")
+    """(recording, p, file_frame, action) from a frame map: black beyond the end; repeat if the frame before shows the same; else show."""
+    w = Window.partitionBy("recording").orderBy("p")
     action = F.when(F.col("flag") == 2, "black").when(F.col("file_frame") == F.lag("file_frame").over(w), "repeat").otherwise("show")
-    return frame_map.select("p", "file_frame", action.alias("action"))
+    return frame_map.select("recording", "p", "file_frame", action.alias("action"))
 
 
 def dropped_frames(frames: DataFrame, plan: DataFrame) -> DataFrame:
