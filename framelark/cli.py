@@ -9,34 +9,52 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from framelark.functions.axis import IDENTITY, Mapping
-from framelark.operators import runs
 from framelark.plans import checks, cues, tracks
-from framelark.plans.fit import fit, frame_map
+from framelark.plans.project import Project, registered
 from framelark.sources import recordings, subtitles
 
 
-def onsets(spark: SparkSession, folder: str, label: str):
-    rows = recordings.canonical(spark, folder, "annotations").filter(F.col("label") == label)
-    return runs.rising(rows, ["label"], "p", runs.is_on(F.col("v"))).select("p")
+def project(spark: SparkSession, a: argparse.Namespace) -> Project:
+    return Project(spark, a.folder, a.out, a.signal, dict(x.split("=", 1) for x in a.subtitles), (a.cuts, a.scenes, a.titles))
+
+
+def setup(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Runs every step that is missing or out of date: align, verify, subs, tracks."""
+    return {"ran": project(spark, a).runner().setup(force=a.force)}
+
+
+def status(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Tells which steps are ok, stale or missing."""
+    return project(spark, a).runner().status()
+
+
+def run_step(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Runs one step."""
+    project(spark, a).runner().run(a.step)
+    return {"ran": [a.step]}
 
 
 def align(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Finds the mapping of a signal (i, pts, mad) and writes it with its frame map."""
-    frames = spark.read.parquet(a.signal)
-    others = onsets(spark, a.folder, a.scenes).unionByName(onsets(spark, a.folder, a.titles))
-    mapping, diagnostics = fit(frames, onsets(spark, a.folder, a.cuts), others)
-    frame_map(mapping, frames).write.mode("overwrite").parquet(f"{a.out}/frame_map")
-    spark.createDataFrame([(json.dumps(mapping.to_dict()),)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.out}/mapping")
-    return {"mapping": mapping.to_dict(), "fit": diagnostics}
+    own = Project(spark, a.folder, a.out, a.signal, labels=(a.cuts, a.scenes, a.titles))
+    own.align()
+    return own.document("mapping")
 
 
 def mapping_of(spark: SparkSession, path: str | None) -> Mapping:
-    return Mapping(**json.loads(spark.read.text(f"{path}/mapping").first()[0])) if path else IDENTITY
+    return Project(spark, "", path).mapping() if path else IDENTITY
 
 
 def verify(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Checks a mapping, or with none that the signal lies on the axis itself."""
-    return checks.check_cuts(mapping_of(spark, a.mapping), spark.read.parquet(a.signal), onsets(spark, a.folder, a.cuts), onsets(spark, a.folder, a.titles))
+    own = Project(spark, a.folder, a.mapping or "", a.signal)
+    return checks.check_cuts(mapping_of(spark, a.mapping), own.frames(), own.onsets(a.cuts), own.onsets(a.titles))
+
+
+def register_copy(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
+    """Puts the mapping of a project, under a file's fingerprint, into a registry of known copies."""
+    own = Project(spark, "", a.out)
+    return [r.asDict() for r in registered(spark, a.registry, a.fingerprint, a.description, own.document("mapping"), own.document("verification")).collect()]
 
 
 def subs(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -67,7 +85,14 @@ def parser() -> argparse.ArgumentParser:
         for x, default in labels if labelled else ():
             c.add_argument(x, default=default)
         c.set_defaults(run=run)
-
+        return c
+
+    for name, run in (("setup", setup), ("status", status), ("run", run_step)):
+        c = command(name, run, *(["step"] if name == "run" else []), "folder", "out", "--signal", labelled=True)
+        c.add_argument("--subtitles", action="append", default=[], metavar="LANGUAGE=FILES")
+        if name == "setup":
+            c.add_argument("--force", action="store_true")
+    command("register-copy", register_copy, "out", "registry", "fingerprint", "description")
     command("align", align, "folder", "signal", "out", labelled=True)
     command("verify", verify, "folder", "signal", "--mapping", labelled=True)
     command("subs", subs, "files", "out", "--mapping")

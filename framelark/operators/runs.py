@@ -88,3 +88,12 @@ def stabbed(points: DataFrame, spans: DataFrame, keys: Keys, at: str, first: str
     cut = cut.withColumn("_bucket", F.explode(F.sequence(to(first), F.floor((F.col(last_excl) - 1) / bucket).cast("long"))))
     joined = points.withColumn("_bucket", to(at)).join(cut, [*keys, "_bucket"])
     return joined.filter((F.col(first) <= F.col(at)) & (F.col(at) < F.col(last_excl))).drop("_bucket")
+
+
+def either(flags: list[DataFrame], keys: Keys, p: str, flag: str) -> DataFrame:
+    """(keys, p, flag, n): by place, whether any of several tables is on there, and how many are. A place that a table lacks is off."""
+    rows = None
+    for one in flags:
+        one = one.select(*keys, p, is_on(F.col(flag).cast("int")).alias("_on"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy(*keys, p).agg(F.bool_or("_on").alias(flag), F.count_if("_on").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelark.plans import event_queries
+from framelark.plans import event_queries, plan_queries  # noqa: F401  (registers its queries)
 from framelark.plans.event_queries import Query
 
 

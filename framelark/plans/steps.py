@@ -6,7 +6,8 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,6 +15,14 @@ def signature(parts: dict) -> str:
     return json.dumps(parts, sort_keys=True, separators=(",", ":"), default=str)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 @dataclass
 class Step:
     """inputs gives what the outputs follow from; run makes them; outputs are paths; needs are steps whose stamps count as inputs."""
@@ -31,18 +40,9 @@ class Runner:
     def __init__(self, spark: SparkSession, folder: str, steps: list[Step]):
         self.spark, self.folder, self.steps = spark, folder, steps
 
-    def _path(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def exists(self, path: str) -> bool:
-        p, fs = self._path(path)
-        return fs.exists(p)
-
     def stamp(self, step: Step) -> str | None:
         path = f"{self.folder}/{step.name}"
-        if not self.exists(path):
+        if not exists(self.spark, path):
             return None
         row = self.spark.read.schema("step string, signature string").json(path).first()
         return row["signature"] if row else None
@@ -56,13 +56,20 @@ class Runner:
 
     def state(self, step: Step) -> str:
         old = self.stamp(step)
-        if old is None or not all(self.exists(p) for p in step.outputs):
+        if old is None or not all(exists(self.spark, p) for p in step.outputs):
             return "missing"
         return "ok" if old == self.now(step) else "stale"
 
     def status(self) -> dict[str, str]:
         return {s.name: self.state(s) for s in self.steps}
 
+    def run(self, name: str) -> None:
+        """Runs one step, whatever its state."""
+        step = next(s for s in self.steps if s.name == name)
+        if step.run() is False:
+            raise RuntimeError(f"{step.name} did not pass")
+        self.write_stamp(step, self.now(step))
+
     def setup(self, skip: set[str] = frozenset(), force: bool = False) -> list[str]:
         """Runs what isn't ok, in order; a step that returns False stops the run without a stamp. Signatures are taken anew for each
         step, as those before it may have changed them."""
@@ -70,9 +77,7 @@ class Runner:
         for step in self.steps:
             if step.name in skip or (not force and self.state(step) == "ok"):
                 continue
-            if step.run() is False:
-                raise RuntimeError(f"{step.name} did not pass")
-            self.write_stamp(step, self.now(step))
+            self.run(step.name)
             ran.append(step.name)
         return ran
 
@@ -83,6 +88,17 @@ def states(steps: DataFrame) -> DataFrame:
     return steps.select("step", state.alias("state"))
 
 
+def merged_maps(a: Column, b: Column) -> Column:
+    """Both maps in one; where both have a key b's value counts."""
+    return F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+
+
+def file_signature(spark: SparkSession, path: str) -> list:
+    """Sizes and times of change of a table's files, to tell whether it has changed."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", F.col("modificationTime").cast("long").alias("t"))
+    return [[r["path"], r["length"], r["t"]] for r in files.orderBy("path").collect()]  # a row for each file
+
+
 def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """old with the rows of new in place of those with the same key."""
     return old.join(new.select(key), key, "left_anti").select(*old.columns).unionByName(new.select(*old.columns))

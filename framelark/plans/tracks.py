@@ -19,7 +19,8 @@ def _head(df: DataFrame, kind: str, id: str, name: str, group: str, description:
 def intervals(df: DataFrame, id: str, name: str, group: str = "", label_groups: dict[str, list[str]] | None = None, description: str = "") -> DataFrame:
     """From (label, order, a, b): labels with their intervals in the given order, rounded to milliseconds; and groups of labels,
     one with all labels if none are given."""
-    each = df.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("order", "a", "b"))), lambda s: F.array(F.round(s["a"], 3), F.round(s["b"], 3))).alias("spans"))
+    # a label without intervals, as a row of nulls, keeps an empty list
+    each = df.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("a").isNotNull(), F.struct("order", "a", "b")))), lambda s: F.array(F.round(s["a"], 3), F.round(s["b"], 3))).alias("spans"))
     all_ = each.groupBy().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "spans")))).alias("labels"))
     groups = F.create_map(F.lit(name), F.array_sort(F.map_keys("labels")))
     if label_groups:
@@ -81,9 +82,18 @@ def spikes(units: DataFrame, times: DataFrame, id: str, name: str, group: str =
     return _head(body.select(F.to_json(F.struct("patients")).alias("body")), "spikes", id, name, group, description)
 
 
+def group_of(labels: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """labels with the group each is in, null if in none; of several the first."""
+    pairs = [(label, name) for name, own in reversed(groups.items()) for label in own]
+    table = dict(pairs)
+    if not table:
+        return labels.withColumn("group", F.lit(None).cast("string"))
+    return labels.withColumn("group", F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[F.col("label")])
+
+
 def write_tracks(tracks: DataFrame, path: str) -> None:
-    """A folder of JSON lines, one for each track: its header and its body as a string."""
-    tracks.write.mode("append").json(path)
+    """JSON lines in a folder for each id: header and body as a string. A track that is there already is replaced, others stay."""
+    tracks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id").json(path)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -65,6 +65,22 @@ def unit_rows(units: DataFrame, by_region: bool, patients: list[int] | None = No
     return rows.withColumn("row", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1)  # as many rows as a screen has
 
 
+def first_patients(units: DataFrame, n: int = 3) -> DataFrame:
+    """The n patients with the smallest numbers: what is shown at first. The limit is the feature."""
+    return units.select("patient").distinct().orderBy("patient").limit(n)
+
+
+def window(spans: DataFrame, samples: DataFrame, spikes: DataFrame, t0: float, t1: float, width: int) -> DataFrame:
+    """All that a view of width pixels shows of t0 <= t < t1, as rows (track, label, bin, a, b, low, high, n): intervals and texts
+    (track, label, a, b) that touch it; of signals (track, t, v) each pixel's range; of spikes (patient, unit_id, t) their number by
+    unit and pixel, the patient as track and the unit as label."""
+    seen = visible(spans, "a", "b", t0, t1).select("track", "label", "a", "b")
+    drawn = min_max(samples, ["track"], "t", "v", t0, t1, width)
+    fired = spikes.filter((F.col("t") >= t0) & (F.col("t") < t1)).groupBy(F.col("patient").cast("string").alias("track"), F.col("unit_id").cast("string").alias("label"), bin_of("t", t0, t1, width).alias("bin"))
+    fired = fired.agg(F.count(F.lit(1)).alias("n"))
+    return seen.unionByName(drawn, allowMissingColumns=True).unionByName(fired, allowMissingColumns=True).select("track", "label", "bin", "a", "b", "low", "high", "n")
+
+
 def nearest_sample(t: float, t0: float, dt: float, n: int) -> int | None:
     """The sample under a pointer at t."""
     i = round((t - t0) / dt)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framelark.functions.axis import Mapping
-from framelark.plans import cues, media, steps, tracks, viewport
+from framelark.plans import builders, cues, media, steps, tracks, viewport
 from framelark.sources import assets, config, recordings, subtitles
 from framelark.streaming import clock as stream
 
@@ -52,7 +52,23 @@ def test_tracks(spark, tmp_path):
     track = tracks.spikes(units, spikes, "sp", "Spikes")
     assert [u["count"] for u in json.loads(track.first()["body"])["patients"][0]["units"]] == [3, 3, 0]
     tracks.write_tracks(track.unionByName(tracks.intervals(spans, "ann", "Annotations")), str(tmp_path / "tracks"))
-    assert [r["id"] for r in tracks.manifest(spark, str(tmp_path / "tracks")).collect()] == ["ann", "sp"]
+    tracks.write_tracks(tracks.intervals(spans.filter("label = 'a'"), "ann", "Only a"), str(tmp_path / "tracks"))  # takes the place of the first
+    assert [(r["id"], r["name"]) for r in tracks.manifest(spark, str(tmp_path / "tracks")).collect()] == [("ann", "Only a"), ("sp", "Spikes")]
+
+
+def test_tracks_of_a_project(spark):
+    flags = spark.createDataFrame([(p, 1 if 2 <= p < 5 else 2 if p == 9 else 0) for p in range(10)], "p long, flag smallint")
+    body = json.loads(builders.alignment_track(flags, Mapping(25.0, 0, 7, 3)).first()["body"])
+    assert body["labels"] == {"break": [[0.28, 0.32]], "maybe one frame off": [[0.08, 0.2]], "no picture": [[0.36, 0.4]]}
+    calm = json.loads(builders.alignment_track(flags.filter("p < 2"), Mapping(25.0, 0, 7, 3)).first()["body"])
+    assert calm["labels"]["no picture"] == []
+    marks = spark.createDataFrame([("tom", 0, 1), ("hall", 0, 99), ("hall", 1, 1)], "label string, p long, v short")
+    body = json.loads(builders.annotation_track(marks, {"People": ["tom"]}).first()["body"])
+    assert body == {"labels": {"hall": [[0.04, 0.08]], "tom": [[0.0, 0.04]]}, "label_groups": {"People": ["tom"], "Locations": ["hall"]}}
+    signal = spark.createDataFrame([(0, 0.5), (1, 2.0)], "i long, mad double")
+    assert json.loads(builders.frame_change_track(signal, 2).first()["body"])["values"] == [0.5, 2.0]
+    with pytest.raises(ValueError, match="2 frames"):
+        builders.frame_change_track(signal, 3)
 
 
 def test_viewport(spark):
@@ -118,7 +134,7 @@ def test_configuration_and_ragged_columns(spark):
 
 
 def test_media_plans(spark):
-    fm = spark.createDataFrame([(0, 5, 0), (1, 5, 1), (2, 7, 0), (3, 7, 2)], "p long, file_frame int, flag smallint")
+    fm = spark.createDataFrame([(0, 0, 5, 0), (0, 1, 5, 1), (0, 2, 7, 0), (0, 3, 7, 2)], "recording int, p long, file_frame int, flag smallint")
     assert [r["action"] for r in media.picture_plan(fm).orderBy("p").collect()] == ["show", "repeat", "show", "black"]
     frames = spark.createDataFrame([(i,) for i in range(5, 8)], "i long")
     assert [r["i"] for r in media.dropped_frames(frames, fm).collect()] == [6]
