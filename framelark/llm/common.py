@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelark.sources.shared import checkpointed, shared_folder
+
+__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "tables_of", "written"]
+
 #: A key that holds at least 1 / HOT_PARTS of all rows is hot; so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 1000
 
@@ -18,29 +21,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder that was set for the session.
-
-    Where neither is set a temporary folder takes its place, on one machine only: on a cluster no other could read it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="framelark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder. Spark deletes it where it is told to, by
-    spark.cleaner.referenceTracking.cleanCheckpoints."""
-    folder = shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str, light: Column | None = None) -> DataFrame:
     """rows with the columns of groups, which has one row for each binary key and counts in size how many of rows have it.
 
