@@ -82,7 +82,7 @@ def fits(frames: DataFrame, onsets: DataFrame, others: DataFrame) -> DataFrame:
     one, two = F.get("segments", F.lit(0)), F.get("segments", F.lit(1))
     found = found.withColumn("n", F.size("segments"))
 
-    # where the matches of both segments part best: those of the first before it, those of the second from there on
+    # agree counts, for a split at p, matches on their own side of it
     pair = found.filter("n = 2").select(KEY, "rate", one["offset"].alias("head"), (two["offset"] - one["offset"]).alias("gap"), (one["rest"] / F.col("rate")).alias("t0"), two["matched"].alias("all_b"), (one["matched"] + two["matched"]).alias("total"))
     both = matched.join(pair.select(KEY, "head", "all_b", "total"), KEY).groupBy(KEY, "p", "all_b", "total").agg(F.count_if(F.col("offset") == F.col("head")).alias("a"), F.count_if(F.col("offset") != F.col("head")).alias("b"))
     before = Window.partitionBy(KEY).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,6 +6,7 @@ brain_region, hemisphere, is_single_unit, cell_type) and spikes (patient, unit_i
 from __future__ import annotations
 
 import importlib
+import itertools
 from collections.abc import Iterable, Iterator, Mapping
 from types import ModuleType
 
@@ -150,3 +151,43 @@ def media_frames(spark: SparkSession, path: str, width: int = 96, height: int =
 def nearest_frames(frames: DataFrame, wanted: DataFrame) -> DataFrame:
     """Frames (i, pts, ...) that are wanted (i): random access as an equality join on the decoded table."""
     return frames.join(wanted.select("i").distinct(), "i", "left_semi")
+
+
+def grabbed(frames: DataFrame, wanted: DataFrame, tolerance: float, bucket: float = 600.0) -> DataFrame:
+    """wanted (path, t and more) with `frame`, a struct of the frame of that file (path, i, pts, ...) that is nearest in time, and
+    `error`: null, or why there is none: the file has no frames, or none within tolerance seconds (frame is null then)."""
+    from framelark.operators.asof import nearest
+
+    found = nearest(wanted, frames, ["path"], "t", "pts", "i", bucket)
+    far = F.abs(F.col("near.pts") - F.col("t")) > tolerance
+    error = F.when(F.col("near").isNull(), "no frames").when(far, F.concat(F.lit("no frame within "), F.lit(str(tolerance)), F.lit(" s")))
+    return found.withColumn("error", error).withColumn("frame", F.when(error.isNull(), F.col("near"))).drop("near")
+
+
+def media_samples(spark: SparkSession, path: str, stream: int = 0, rate: int = 16_000) -> DataFrame:
+    """(path, channel, first, x) of an audio stream of media files, resampled: arrays of samples with the number of their first one.
+    Needs PyAV; not run where that is missing."""
+    needed("av")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        import av
+
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                with av.open(io.BytesIO(content)) as media:
+                    resampler, first = av.AudioResampler(format="fltp", rate=rate), 0
+                    for frame in itertools.chain(media.decode(audio=stream), [None]):
+                        for part in resampler.resample(frame):
+                            x = part.to_ndarray()
+                            yield pd.DataFrame([{"path": name, "channel": c, "first": first, "x": row.astype(float).tolist()} for c, row in enumerate(x)])
+                            first += x.shape[1]
+
+    return files.mapInPandas(rows, "path string, channel int, first long, x array<double>")
+
+
+def samples(chunks: DataFrame) -> DataFrame:
+    """(path, channel, n, x): a row for each sample of media_samples()."""
+    return chunks.select("path", "channel", "first", F.posexplode("x").alias("at", "x")).select("path", "channel", (F.col("first") + F.col("at")).alias("n"), "x")

@@ -177,3 +177,12 @@ def test_tables_of_a_recording(spark):
         recordings.read_nwb(spark, "nowhere", "watchlogs")
     files = spark.createDataFrame([("/nwb/sub-10/a.nwb",), ("/nwb/sub-9/a.nwb",)], "path string")
     assert [r["path"] for r in recordings.first_session(files).collect()] == ["/nwb/sub-9/a.nwb"]
+
+
+def test_frames_are_grabbed(spark):
+    frames = spark.createDataFrame([("a", i, i / 25, [i]) for i in range(100)], "path string, i long, pts double, pixels array<int>")
+    wanted = spark.createDataFrame([("a", 1.01, "x"), ("a", 0.06, "y"), ("a", 9.0, "late"), ("b", 1.0, "other")], "path string, t double, why string")
+    got = {r["why"]: (r["frame"]["i"] if r["frame"] else None, r["error"]) for r in recordings.grabbed(frames, wanted, 0.5).collect()}
+    assert got == {"x": (25, None), "y": (1, None), "late": (None, "no frame within 0.5 s"), "other": (None, "no frames")}
+    chunks = spark.createDataFrame([("a", 0, 3, [0.5, 0.25])], "path string, channel int, first long, x array<double>")
+    assert [(r["n"], r["x"]) for r in recordings.samples(chunks).collect()] == [(3, 0.5), (4, 0.25)]
