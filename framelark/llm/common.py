@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from framelark.sources.shared import checkpointed, shared_folder
 
-__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "tables_of", "written"]
+__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "long_key", "tables_of", "written"]
 
 #: A key that holds at least 1 / HOT_PARTS of all rows is hot; so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 1000
@@ -21,6 +21,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def long_key(value: Column) -> Column:
+    """A long as eight bytes, in the order of its bits."""
+    return F.unhex(F.lpad(F.hex(value), 16, "0"))
+
+
 def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str, light: Column | None = None) -> DataFrame:
     """rows with the columns of groups, which has one row for each binary key and counts in size how many of rows have it.
 

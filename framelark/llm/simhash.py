@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from framelark.llm.common import checkpointed, left_join_by_key
+from framelark.llm.common import checkpointed, left_join_by_key, long_key
 from framelark.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -131,14 +131,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
     roots = components(links(nodes, dense))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    joined = checkpointed(rooted.select("fp", "n", "low", _key(F.col("root")).alias("root")))
+    joined = checkpointed(rooted.select("fp", "n", "low", long_key(F.col("root")).alias("root")))
     # a large component's fingerprints are many rows of one root: their join is dealt with like that of hot fingerprints
     smallest = checkpointed(joined.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("size")))
     of_print = left_join_by_key(joined.select("fp", "n", "root"), smallest, "root", "size")
-    of_print = checkpointed(of_print.select(_key(F.col("fp")).alias("key"), "component_id", "n"))
-    out = left_join_by_key(prints.select("doc_id", _key(F.col("fp")).alias("key")), of_print, "key", "n")
+    of_print = checkpointed(of_print.select(long_key(F.col("fp")).alias("key"), "component_id", "n"))
+    out = left_join_by_key(prints.select("doc_id", long_key(F.col("fp")).alias("key")), of_print, "key", "n")
     return out.select(F.col("doc_id").alias(id_col), F.lower(F.hex("key")).alias("fingerprint"), "component_id")
-
-
-def _key(fp: Column) -> Column:
-    return F.unhex(F.lpad(F.hex(fp), 16, "0"))
