@@ -33,17 +33,22 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unless another repeated window covers them.
 
     Null text counts as empty (one empty line). Texts of fewer lines than a window stay as they are, empty and white
-    lines are lines like others. Rows with a null id take no part and stay. Rows that repeat an id count as one document:
-    equal rows all keep what the first keeps. No rows give no rows. Other columns are ignored."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    windows = rows.filter("doc_id IS NOT NULL").select("doc_id", F.posexplode(window_hashes(F.col("text"), window)).alias("line", "h"))
+    lines are lines like others. Null ids come after all others. Rows that share an id, or have none, are documents of
+    their own where their texts differ, in the order of a hash of them; where id and text are equal, all such rows count
+    as one document and keep what it keeps. No rows give no rows. Other columns are ignored."""
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("own"))
+    windows = rows.select("doc_id", "own", F.posexplode(window_hashes(F.col("text"), window)).alias("line", "h"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own", "line")
     repeated = checkpointed(
-        windows.groupBy("h").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        windows.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     )
-    later = left_join_by_key(windows, repeated, "h", "n").filter("first IS NOT NULL AND struct(doc_id, line) > first")
+    later = left_join_by_key(windows, repeated, "h", "n").filter(F.col("first").isNotNull() & (place > F.col("first")))
     # one row for each document: its windows are as many as its lines at most
-    covered = later.groupBy("doc_id").agg(F.collect_set("line").alias("starts"))
-    joined = rows.join(covered, "doc_id", "left").withColumn("starts", F.coalesce("starts", F.array().cast("array<int>")))
+    covered = later.groupBy("doc_id", "own").agg(F.collect_set("line").alias("starts"))
+    covered = covered.select(F.col("doc_id").alias("of"), F.col("own").alias("of_own"), "starts")
+    joined = rows.join(covered, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("of_own")), "left")
+    joined = joined.withColumn("starts", F.coalesce("starts", F.array().cast("array<int>")))
     removed = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.lit(window - 1)))))
 
     def rest(lines: Column) -> Column:

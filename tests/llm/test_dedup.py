@@ -67,8 +67,18 @@ def test_lines(spark):
         assert got[i]["text"] == t, i
         assert got[i]["n_lines"] == len((texts[i] or "").split("\n"))
     assert line_dedup.line_dedup(docs(spark, [])).count() == 0
-    lone = line_dedup.line_dedup(docs(spark, ["a\nb\nc", "a\nb\nc"], [None, 4])).collect()
-    assert {r["text"] for r in lone} == {"a\nb\nc"}
+
+
+def test_lines_of_rows_without_an_id_of_their_own(spark):
+    abc, def_ = "a\nb\nc", "d\ne\nf"
+    lone = line_dedup.line_dedup(docs(spark, [abc, abc, abc + "\n" + def_], [None, 4, None])).collect()
+    assert sorted((str(r["doc_id"]), r["text"], r["n_removed"]) for r in lone) == [("4", abc, 0), ("None", "", 3), ("None", def_, 3)]
+    # one of two texts under an id holds the other's passage at another line: only that passage goes
+    one, two = "p\nq\nr\n" + abc, abc + "\n" + def_
+    rows = line_dedup.line_dedup(docs(spark, [one, two], [3, 3])).collect()
+    assert sorted(r["text"] for r in rows) in (sorted(["p\nq\nr", two]), sorted([one, def_]))
+    same = line_dedup.line_dedup(docs(spark, [one, one, two], [3, 3, 8])).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in same) == Counter({(3, one): 2, (8, def_): 1})
 
 
 def fingerprint(text):
@@ -127,6 +137,8 @@ def test_components_of_a_path_and_nothing(spark):
     got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
     assert got == {i: 0 for i in range(1, 101)} | {501: 500}
     assert graph.components(edges.filter("a < 0")).count() == 0
+    hubs = spark.createDataFrame([(2000, i) for i in range(900)] + [(i, 3000 + i % 7) for i in range(900)] + [(None, 5)], "a long, b long")
+    assert {r["root"] for r in graph.components(hubs).collect()} == {0} and graph.components(hubs).count() == 907
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
