@@ -20,8 +20,8 @@ from framelark.llm.decontaminate import mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT = 7, 0.1
-#: Characters of the texts that are encoded together, and words whose merges run in step.
-TOGETHER, IN_STEP = 500_000, 8_000
+#: Characters of the texts that are encoded together, occurrences that are cut at once, and words whose merges run in step.
+TOGETHER, AT_ONCE, IN_STEP = 500_000, 100_000, 8_000
 #: Longer words run by themselves, with a heap.
 LONG = 100
 #: Words whose cuts a Python worker remembers, about; beyond, it forgets those it has seen fewer than OFTEN times.
@@ -414,7 +414,16 @@ class Encoder:
         self.seen.all[: len(self.index)] += np.bincount(place, minlength=len(self.index))
         base = mixed(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + _key(self.seed))
         occurrence = mixed(np.repeat(base, n_words) + _spread(np.zeros(len(n_words), np.int64), n_words).astype(np.uint64))
-        hashed = self.hash.all[place]
+        hashed, parts = self.hash.all[place], []
+        for a in range(0, len(place), AT_ONCE):
+            b = a + AT_ONCE
+            parts.append(self._encoded(place[a:b], hashed[a:b], occurrence[a:b]))
+        ids, n = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])])
+
+    def _encoded(self, place: np.ndarray, hashed: np.ndarray, occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of occurrences of words, by the words' numbers and hashes, and how many each has."""
         cut = self._known(place, _drawn(self.seed, hashed, occurrence))
         begin, n = self.begin.all[cut], self.count.all[cut].astype(np.int64)
         rest, held = np.flatnonzero(cut < 0), self.flat.n
@@ -433,8 +442,7 @@ class Encoder:
             self.flat.add(ids)
         ids = self.flat.all[_spread(begin, n)]
         self.flat.n = held
-        ends = np.concatenate([[0], np.cumsum(n)])
-        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])])
+        return ids, n
 
 
 def decode_ids(p: Pieces, ids: np.ndarray) -> str:
