@@ -18,7 +18,7 @@ from framelark.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Bytes of a text that are split into words at once.
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: More fingerprints than this with the same half are linked by a second ball instead of pair by pair.
 DENSE = 64
 
