@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from framelark.llm import chat, decontaminate, exact_dedup, html_crf, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity
+from framelark.llm import chat, decontaminate, exact_dedup, html_crf, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity, vector_codes
 from framelark.llm.common import documents
 
 
@@ -52,9 +52,13 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op3_html_extraction, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op3_html_extraction, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate, op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.SQL, "op5_chat_format": chat.SQL, "op6_line_dedup": line_dedup.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op1_exact_dedup": exact_dedup.SQL, "op5_chat_format": chat.SQL, "op6_line_dedup": line_dedup.SQL, "op10_decontaminate": decontaminate.SQL, "op13_vector_codes": vector_codes.SQL}
