@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from framelark.llm import chat, decontaminate, exact_dedup, fingerprint, html_crf, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity, vector_codes
+from framelark.llm import alignment, chat, decontaminate, exact_dedup, fingerprint, html_crf, line_dedup, packing, quality, sentencepiece_dropout, simhash, toxicity, vector_codes
 from framelark.llm.common import documents
 
 
@@ -56,12 +56,16 @@ def op11_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, folder))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(documents(spark, folder))
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op3_html_extraction, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate, op11_fingerprint, op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece_dropout, op3_html_extraction, op4_pack_tokens, op5_chat_format, op6_line_dedup, op7_toxicity, op8_simhash, op9_quality, op10_decontaminate, op11_fingerprint, op12_alignment, op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
