@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from itertools import islice
@@ -21,13 +22,14 @@ BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piec
 HEAVY = 1 << 16
 #: A pair is the first tokenizer's id and then B_BITS bits of the second one's.
 B_BITS = 16
-#: Chunks that a task remembers, the longest of them in characters, and chunks of a text that are held at once.
-REMEMBERED, LONGEST, AT_ONCE = 100_000, 64, 100_000
+#: Chunks that a task remembers, the longest of them in characters, and characters of texts that are aligned together.
+REMEMBERED, LONGEST, AT_ONCE = 300_000, 64, 1 << 20
 #: A chunk ends before a space or line feed that follows none of: white space, what some hold for it, and U+2581.
-CHUNK = re.compile("[\\s\\S][^ \n]*(?:(?<=[\\s▁᠎])[ \n][^ \n]*)*")
+CHUNK = re.compile("[\\s\\S][^ \n]*(?:(?<=[\\s▁\u180e])[ \n][^ \n]*)*")
+NO_BORDER = re.compile("[\\s▁\u180e][ \n]")
 #: Of each byte, whether no token ends there, one of A, one of B, or one of both; a span reaches to the next "both".
 LABELS = bytes.maketrans(b"\0\1\2\3", b".ABX")
-SPAN = re.compile(rb"[.AB]*X")
+SPAN = re.compile(rb"[AB]*X")
 
 
 def byte_values() -> dict[str, int]:
@@ -41,6 +43,7 @@ class Pair:
     """Two tokenizers, A byte-level BPE and B pieces, with what their ids stand for in bytes."""
 
     def __init__(self, a: bytes, b: bytes):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel enough
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -55,6 +58,12 @@ class Pair:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if len(pieces) > 1 << B_BITS:
             raise ValueError(f"the second vocabulary has over {1 << B_BITS} ids")
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in of], np.int64) for of in (self.a_bytes, self.b_bytes))
+        # how each id is written: A's followed by a comma or, at the end of its part of a group, a bar; B's by a comma or semicolon
+        self.names = [f"{i}{end}" for n, ends in ((len(self.a_bytes), ",|"), (len(pieces), ",;")) for i in range(n) for end in ends]
+        self.name_sizes = np.array([len(x) for x in self.names], np.int64)
+        self.b_from = 2 * len(self.a_bytes)
+        self.space = self.b.piece_to_id("▁")
         # Texts may be cut into chunks if no token of A crosses a border between other characters and white space after them,
         # and no piece of B one before a space or line feed.
         shape = json.loads(a)
@@ -62,74 +71,162 @@ class Pair:
         byte_level = own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space") and not shape.get("normalizer")
         self.in_chunks = bool(byte_level) and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
 
-    def chunks(self, text: str) -> Iterator[str]:
-        """The parts of space+text that can be encoded alone."""
-        return (m[0] for m in CHUNK.finditer(" " + text)) if self.in_chunks else iter([" " + text])
-
-    def ids(self, chunks: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """A's and B's ids of each chunk. B puts a space before what it encodes: the chunk's own, or one that is taken off again."""
-        a = self.a.encode_batch(chunks, add_special_tokens=False)
-        b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        for chunk, x, y in zip(chunks, a, b, strict=True):
-            # a lone space encodes to nothing where B drops the space it put before an empty text
-            y = y if chunk != " " else [self.b.piece_to_id("▁")]
-            yield x.ids, y if chunk[0] == " " else y[1:]
-
-    def aligned(self, chunk: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, np.ndarray] | None:
-        """n_a, n_b, n_groups, the groups as text, the linked pairs; None if the tokens don't spell the chunk."""
-        data = chunk.encode()
+    def chunks(self, text: str) -> Iterator[list[str]]:
+        """The parts of space+text that can be encoded alone, some at a time. A part's first space is left out, unless it is
+        followed by white space."""
+        if not self.in_chunks:
+            yield [text if text[:1] not in (" ", "\n") else " " + text]
+            return
+        text = " " + text
+        if len(text) <= AT_ONCE and not NO_BORDER.search(text):  # each space and line feed starts a chunk
+            lines = text[1:].split("\n")
+            out = lines[0].split(" ")
+            for line in lines[1:]:
+                first, *rest = line.split(" ")
+                out.append("\n" + first)
+                out += rest
+            yield out
+            return
+        found = (m[0] for m in CHUNK.finditer(text))
+        while some := list(islice(found, AT_ONCE // 8)):
+            yield [c[1:] if c[0] == " " and not c[1:2].isspace() else c for c in some]
+
+    def can_follow(self, chunk: str) -> bool:
+        """Whether chunk can stand in a row with others and be encoded with them as one text."""
+        return self.in_chunks and chunk[0] in " \n" and chunk[-1] not in "▁\u180e" and not chunk[-1].isspace() and "▁" not in chunk
+
+    def aligned(self, chunks: list[str]) -> tuple[np.ndarray, list[str], np.ndarray] | None:
+        """Of chunks that can follow one another: n_a, n_b and n_groups of each, its groups as text, and the linked pairs of
+        all; None if the tokens don't spell them."""
+        text = "".join(chunks)
+        data = text.encode()
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        # B puts a space before what it encodes: the text's own, or one that is taken off again
+        b = self.b.encode(text[1:]) if text[0] == " " else self.b.encode(text)[1:]
+        if text == " ":  # B doesn't put a space before an empty text
+            b = [self.space]
         if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
             return None
-        labels = bytearray(len(data))
-        for ids, of, mark in ((a, self.a_bytes, 1), (b, self.b_bytes, 2)):
-            at = -1
-            for i in ids:
-                at += len(of[i])
-                labels[at] |= mark
-        groups, pairs, i, j = [], [], 0, 0
-        for span in SPAN.findall(labels.translate(LABELS)):
-            n, m = span.count(b"A") + 1, span.count(b"B") + 1
-            groups.append(f"{','.join(map(str, a[i : i + n]))}|{','.join(map(str, b[j : j + m]))}")
-            i, j = i + n, j + m
-            pairs.append(a[i - 1] << B_BITS | b[j - 1])
-        return len(a), len(b), len(groups), ";".join(groups), np.array(pairs, np.int64)
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        labels = np.zeros(len(data) + 1, np.uint8)
+        labels[a_ends] += 1
+        labels[b_ends] += 2
+        spans = SPAN.findall(labels.tobytes().translate(LABELS, b"\0"))
+        n, m = (np.array([s.count(mark) for s in spans], np.int64) + 1 for mark in (b"A", b"B"))
+        last_a, last_b = np.cumsum(n) - 1, np.cumsum(m) - 1
+        # what to write, token by token, a group's tokens of A before those of B
+        written_a, written_b = 2 * a, 2 * b + self.b_from
+        written_a[last_a] += 1
+        written_b[last_b] += 1
+        group = np.concatenate([np.repeat(np.arange(len(n)), n) * 2, np.repeat(np.arange(len(m)), m) * 2 + 1])
+        ids = np.concatenate([written_a, written_b])[np.argsort(group, kind="stable")]
+        out = "".join(map(self.names.__getitem__, ids.tolist()))
+        # chunks end where a token of both does
+        ends = np.cumsum([len(c.encode()) for c in chunks])
+        in_a, in_b, of = (np.searchsorted(e, ends, "right") for e in (a_ends, b_ends, a_ends[last_a]))
+        at = np.concatenate([[0], np.cumsum(self.name_sizes[ids])])[in_a + in_b].tolist()
+        sizes = np.diff(np.stack([in_a, in_b, of], 1), axis=0, prepend=0)
+        return sizes, [out[i : j - 1] for i, j in zip([0, *at], at, strict=False)], a[last_a] << B_BITS | b[last_b]
 
 
 class Memory:
     """What chunks were aligned to. Words recur, so most chunks are found here; it is emptied when it is full."""
 
     def __init__(self, pair: Pair):
-        self.pair, self.known = pair, {}
-
-    def of(self, chunks: list[str]) -> list[tuple | None]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        missing = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        found = {c: self.pair.aligned(c, a, b) for c, (a, b) in zip(missing, self.pair.ids(missing), strict=True)} if missing else {}
-        out = [self.known[c] if c in self.known else found[c] for c in chunks]
-        self.known.update((c, x) for c, x in found.items() if len(c) <= LONGEST)
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[str | None] = []
+        self.sizes, self.pairs, self.ends = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def places(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """For each list of chunks, where groups, sizes and pairs have them."""
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        missing = list({c for chunks in lists for c in chunks}.difference(self.place))
+        whole = [c if c[:1] in (" ", "\n") and c else " " + c for c in missing]
+        follow = [self.pair.can_follow(c) for c in whole]
+        self._learn([c for c, f in zip(missing, follow, strict=True) if f], [c for c, f in zip(whole, follow, strict=True) if f])
+        for c, w, f in zip(missing, whole, follow, strict=True):
+            if not f:
+                self._learn([c], [w])
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes[:, 2])])
+        out = [np.array([self.place[c] for c in chunks], np.int64) for chunks in lists]
+        for c in missing:
+            if len(c) > LONGEST:
+                del self.place[c]
         return out
 
-
-def align(memory: Memory, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
-    """n_a, n_b, n_groups, the groups' SHA-256, the distinct linked pairs and how many links each has."""
-    nothing = np.zeros(0, np.int64)
-    if not text:
-        return 0, 0, 0, "", nothing, nothing
-    n_a = n_b = n_groups = 0
-    digest, pairs, counts = hashlib.sha256(), nothing, nothing
-    chunks = memory.pair.chunks(text)
-    while some := list(islice(chunks, AT_ONCE)):
-        found = memory.of(some)
-        if None in found:
-            return 0, 0, 0, "", nothing, nothing
-        digest.update(((";" if n_groups else "") + ";".join([x[3] for x in found])).encode())
-        n_a, n_b, n_groups = n_a + sum(x[0] for x in found), n_b + sum(x[1] for x in found), n_groups + sum(x[2] for x in found)
-        pairs, place = np.unique(np.concatenate([pairs, *(x[4] for x in found)]), return_inverse=True)
-        weights = np.ones(len(place), np.int64)
-        weights[: len(counts)] = counts
-        counts = np.bincount(place, weights, len(pairs)).astype(np.int64)
-    return n_a, n_b, n_groups, digest.hexdigest(), pairs, counts
+    def _learn(self, names: list[str], chunks: list[str]) -> None:
+        if not names:
+            return
+        found = self.pair.aligned(chunks)
+        if found is None and len(names) > 1:
+            for name, chunk in zip(names, chunks, strict=True):
+                self._learn([name], [chunk])
+            return
+        sizes, groups, pairs = found or (np.zeros((1, 3), np.int64), [None], np.zeros(0, np.int64))
+        self.place.update(zip(names, range(len(self.groups), len(self.groups) + len(names)), strict=True))
+        self.groups += groups
+        self.sizes, self.pairs = np.concatenate([self.sizes, sizes]), np.concatenate([self.pairs, pairs])
+
+    def pairs_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The linked pairs of chunks, and how many each chunk has."""
+        n = self.sizes[places, 2]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return self.pairs[np.repeat(self.ends[places], n) + within], n
+
+
+class Text:
+    """A text's sums so far; spelt: whether all its tokens spell it."""
+
+    def __init__(self) -> None:
+        self.n_a = self.n_b = self.n_groups = 0
+        self.spelt, self.digest = True, hashlib.sha256()
+        self.pairs, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, memory: Memory, places: np.ndarray) -> None:
+        groups = [memory.groups[i] for i in places.tolist()]
+        if None in groups:
+            self.spelt = False
+            return
+        self.digest.update(((";" if self.n_groups else "") + ";".join(groups)).encode())
+        sums = memory.sizes[places].sum(0).tolist()
+        self.n_a, self.n_b, self.n_groups = self.n_a + sums[0], self.n_b + sums[1], self.n_groups + sums[2]
+        pairs, _ = memory.pairs_of(places)
+        self.pairs, place = np.unique(np.concatenate([self.pairs, pairs]), return_inverse=True)
+        weights = np.concatenate([self.counts, np.ones(len(pairs), np.int64)])
+        self.counts = np.bincount(place, weights, len(self.pairs)).astype(np.int64)
+
+    def row(self) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
+        if not self.spelt or not self.n_groups:
+            return 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return self.n_a, self.n_b, self.n_groups, self.digest.hexdigest(), self.pairs, self.counts
+
+
+def align(memory: Memory, texts: list[str | None]) -> list[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+    """For each text n_a, n_b, n_groups, the groups' SHA-256, the distinct linked pairs and how many links each has."""
+    out = [Text() for _ in texts]
+    held: list[tuple[Text, list[str]]] = []
+    n = 0
+
+    def add() -> None:
+        for (text, _), places in zip(held, memory.places([chunks for _, chunks in held]), strict=True):
+            text.add(memory, places)
+        held.clear()
+
+    for one, text in zip(out, texts, strict=True):
+        for chunks in memory.pair.chunks(text) if text else ():
+            held.append((one, chunks))
+            n += sum(map(len, chunks))
+            if n > AT_ONCE:
+                add()
+                n = 0
+    add()
+    return [one.row() for one in out]
 
 
 def _flat(lists: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -146,7 +243,7 @@ def _aligned(docs: DataFrame, a: bytes, b: bytes) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                n_a, n_b, n_groups, sha, pairs, counts = zip(*(align(memory, t.as_py()) for t in part.column(1)), strict=True)
+                n_a, n_b, n_groups, sha, pairs, counts = zip(*align(memory, part.column(1).to_pylist()), strict=True)
                 columns = [part.column(0), *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(sha, pa.string()), _flat(pairs, pa.int64()), _flat(counts, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
