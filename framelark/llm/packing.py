@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,6 +12,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the vocabulary's texts were cut before merging.
@@ -19,10 +21,15 @@ END = 50256
 ROW = 2048
 #: Tokens of the documents that are packed together; a task holds about so many at once.
 GROUP = 4_000_000
-#: Characters that are tokenised at once; texts are cut where a line ends or else at a space.
+#: Characters that are tokenised at once, or more up to the next border: white space after something else. No token crosses it.
 PIECE = 1 << 20
+#: Runs of white space of so many characters are encoded without the pattern, which can't match runs of a million.
+RUN = 100_000
+#: What the pattern takes for white space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BORDER = re.compile(f"(?<=[^\\s{WHITE}])[{WHITE}]")
 
-SCHEMA = "doc_ids array<long>, doc_starts array<int>, ids binary, cu_seqlens array<int>, position_resets array<int>, n_tokens int, n_segments int"
+SCHEMA = "doc_starts array<int>, ids binary, cu_seqlens array<int>, position_resets array<int>, n_tokens int, n_segments int"
 
 
 class Capacities:
@@ -76,15 +83,26 @@ def best_fit_decreasing(lengths: np.ndarray, row: int) -> list[list[int]]:
     return out
 
 
-def pieces(text: str, size: int = PIECE) -> Iterator[str]:
-    """text in parts of about size characters, which joined are the text; cut before a line feed or a space if there is one."""
+def pieces(text: str, size: int = PIECE, run: int = RUN) -> Iterator[tuple[str, bool]]:
+    """text in parts that can be encoded alone, and of each whether it is one match of the pattern.
+
+    Before white space that follows something else a match always ends, and what it is doesn't depend on what follows. A
+    long run of white space is a match without its last character, which goes with what follows, if anything does."""
+
+    def plain(start: int, end: int) -> Iterator[tuple[str, bool]]:
+        while end - start > size and (border := _BORDER.search(text, start + size, end)):
+            yield text[start : border.start()], False
+            start = border.start()
+        if start < end:
+            yield text[start:end], False
+
     at = 0
-    while len(text) - at > size:
-        cut = max(text.rfind("\n", at + 1, at + size), text.rfind(" ", at + 1, at + size))
-        cut = at + size if cut <= at else cut
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
+    for long in re.finditer(f"(?<![{WHITE}])[{WHITE}]{{{run},}}", text):
+        yield from plain(at, long.start())
+        at = long.end() - (long.end() < len(text))
+        if at > long.start():
+            yield text[long.start() : at], True
+    yield from plain(at, len(text))
 
 
 @lru_cache(1)
@@ -94,10 +112,11 @@ def _encoding(vocabulary: bytes) -> tiktoken.Encoding:
 
 
 def token_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    return np.concatenate([*(encoding.encode_to_numpy(p, disallowed_special=()) for p in pieces(text)), [END]]).astype(np.uint16)
+    parts = (encoding._encode_single_piece(p) if alone else encoding.encode_to_numpy(p, disallowed_special=()) for p, alone in pieces(text))
+    return np.concatenate([*parts, [END]]).astype(np.uint16)
 
 
-def packed(docs: list[tuple[int | None, np.ndarray]], row: int) -> Iterator[dict]:
+def packed(docs: list[tuple[object, np.ndarray]], row: int) -> Iterator[dict]:
     """Rows of at most row tokens that hold all tokens of docs. A document of more is cut every row tokens."""
     segments = [(doc, at, ids[at : at + row]) for doc, ids in docs for at in range(0, len(ids), row)]
     for members in best_fit_decreasing(np.array([len(s[2]) for s in segments]), row):
@@ -121,14 +140,14 @@ def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows and a rest; by doc_starts all segments of a document make its tokens again. Which documents share a row depends
     on how the input is split into tasks, what they hold doesn't.
 
-    Null and empty texts are a lone END. Null ids stay null; repeated rows are packed each. No rows give no rows. Other
-    columns are ignored."""
+    Null and empty texts are a lone END. Ids may be of any type; null ids stay null; repeated rows are packed each. No rows
+    give no rows. Other columns are ignored."""
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # the vocabulary, under a megabyte
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, held, n = _encoding(shared.value), [], 0
-        schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int32())), ("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())),
+        encoding, held, n, ids = _encoding(shared.value), [], 0, None
+        rest = pa.schema([("doc_starts", pa.list_(pa.int32())), ("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())),
                             ("position_resets", pa.list_(pa.int32())), ("n_tokens", pa.int32()), ("n_segments", pa.int32())])
 
         def full() -> Iterator[pa.RecordBatch]:
@@ -136,9 +155,10 @@ def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             made = list(packed(held, row))
             held, n = [], 0
             for at in range(0, len(made), 1000):
-                yield pa.RecordBatch.from_pylist(made[at : at + 1000], schema)
+                yield pa.RecordBatch.from_pylist(made[at : at + 1000], pa.schema([("doc_ids", pa.list_(ids)), *rest]))
 
         for batch in batches:
+            ids = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 held.append((doc, token_ids(encoding, text.as_py() or "")))
                 n += len(held[-1][1])
@@ -147,7 +167,8 @@ def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if held:
             yield from full()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rows, SCHEMA)
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return own.mapInArrow(rows, T.StructType([T.StructField("doc_ids", T.ArrayType(own.schema["doc_id"].dataType)), *T.StructType.fromDDL(SCHEMA).fields]))
 
 
 def write_packed(packed_rows: DataFrame, path: str) -> None:

@@ -132,7 +132,7 @@ def test_packed_rows_hold_every_token(spark, tmp_path):
         ids = np.concatenate([found[i][k] for k in sorted(found[i])])
         assert ids.tolist() == [*encoding.encode_ordinary(text or ""), packing.END]
     assert packing.pack_tokens(rows.limit(0)).count() == 0
-    assert "".join(packing.pieces("a b\n" * 1000, 37)) == "a b\n" * 1000
+    assert "".join(p for p, _ in packing.pieces("a b\n" * 1000, 37)) == "a b\n" * 1000
 
 
 CONTROL = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[NEXT]", "[ROLE]", "[/ROLE]", "␛", "␛␛", "[", "<", "\n", " ", "ok", "[␛INST]"]
@@ -189,3 +189,31 @@ def test_adjacent_turns_share_a_block(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert chat.format_chat(df).first()["formatted"] == "<s>[INST] a[NEXT]b [/INST] c</s>"
+
+
+def test_ids_do_not_depend_on_pieces(monkeypatch):
+    """Every size of pieces and of runs, on texts with white space of all kinds at either end and inside, and long words."""
+    with open(packing.VOCABULARY, "rb") as f:
+        encoding = packing._encoding(f.read())
+    rng = random.Random(8)
+    bits = [" ", "  ", "\n", "\n\n", "\t ", "\x1c", "\x85", "\u3000", "\u200b", "it's", "'", "12", "word", "naïve", "日本", "x" * 30, "!?", " " * 40, "\n" * 40]
+    texts = ["", " ", "\n" * 50, "x" * 60] + ["".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(150)]
+    for text in texts:
+        whole = encoding.encode_ordinary(text)
+        for size in range(1, 51):
+            parts = list(packing.pieces(text, size, 1 + size % 7))
+            assert "".join(p for p, _ in parts) == text
+            assert [i for p, alone in parts for i in (encoding._encode_single_piece(p) if alone else encoding.encode_ordinary(p))] == whole, (text, size)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "b" + " " * 1_500_000 + "\n" * 700_000 + "c"])
+def test_very_long_runs(text):
+    with open(packing.VOCABULARY, "rb") as f:
+        encoding = packing._encoding(f.read())
+    ids = packing.token_ids(encoding, text)
+    assert ids[-1] == packing.END and encoding.decode(ids[:-1].tolist()) == text
+
+
+def test_packing_with_other_ids(spark):
+    rows = packing.pack_tokens(spark.createDataFrame([("a", "x y"), (None, None)], "doc_id string, text string").repartition(1)).collect()
+    assert sorted(map(str, rows[0]["doc_ids"])) == ["None", "a"]
