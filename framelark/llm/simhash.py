@@ -26,7 +26,7 @@ DENSE = 64
 def word_lists(data: bytes, overlap: int) -> Iterator[list[bytes]]:
     """The words of data, a few megabytes at a time; each list repeats the last `overlap` words before it."""
     carried: list[bytes] = []
-    at = 0
+    at, told = 0, False
     while at < len(data):
         space = re.compile(rb"[\x20\x09-\x0D]").search(data, min(len(data), at + PIECE))
         end = space.start() if space else len(data)
@@ -35,7 +35,10 @@ def word_lists(data: bytes, overlap: int) -> Iterator[list[bytes]]:
         if at < len(data) and len(words) <= overlap:
             carried = words
             continue
+        if told and len(words) == len(carried):  # only white space has come
+            continue
         yield words
+        told = True
         carried = words[len(words) - overlap :] if overlap else []
 
 

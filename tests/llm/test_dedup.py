@@ -204,3 +204,26 @@ def test_null_ids_are_looked_up(spark):
     rows = spark.createDataFrame([(None, leak), (None, "clean words"), (3, leak), (3, "clean words")], "doc_id long, text string")
     got = Counter((r["doc_id"], r["n_hit"], r["contaminated"]) for r in decontaminate.decontaminate(rows, bench).collect())
     assert got == Counter([(None, 20, True), (None, 0, False), (3, 20, True), (3, 0, False)])
+
+
+def test_shingles_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(6)
+    texts = [b"", b" ", b"a", b"a ", b" a b ", b"a b c\n"] + [b"".join(rng.choice([b" ", b"\n ", b"ab", b"C", b"\t", b"word"]) for _ in range(rng.randrange(40))) for _ in range(300)]
+    for text in texts:
+        words = text.lower().split()
+        plain = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(max(1, len(words) - 2))] if words else []
+        for piece in range(1, 51):
+            monkeypatch.setattr(simhash, "PIECE", piece)
+            assert [int(h) for part in simhash.shingle_hashes(text) for h in part] == plain, (text, piece)
+
+
+def test_fingerprint_of_a_text_of_several_pieces(spark):
+    text = "".join(f"w{i} " for i in range(400_000))
+    assert len(text) > 3 * simhash.PIECE // 2
+    words = text.split()
+    ones = np.zeros(64, int)
+    for i in range(len(words) - 2):
+        ones += np.unpackbits(np.frombuffer(xxhash.xxh64_digest(" ".join(words[i : i + 3]), 42), np.uint8))
+    got = by_id(simhash.near_duplicates(docs(spark, [text, text[:-1], "a b c"])))
+    want = np.packbits(2 * ones > len(words) - 2).tobytes().hex()
+    assert got[0]["fingerprint"] == got[1]["fingerprint"] == want and got[1]["component_id"] == 0
