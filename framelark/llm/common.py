@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelark.sources.shared import checkpointed, shared_folder
 
-__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "long_key", "tables_of", "written"]
+__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "long_key", "own_tables", "written"]
 
 #: A key that holds at least 1 / HOT_PARTS of all rows is hot; so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 1000
@@ -48,30 +50,39 @@ def left_join_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str, li
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in columns])
 
 
-_TABLES: dict[str, set[str]] = {}
+#: Folders of the tables that the innermost own_tables() of this thread has seen written.
+_OWN: ContextVar[list[str] | None] = ContextVar("own tables", default=None)
 
 
-def tables_of(spark: SparkSession) -> set[str]:
-    """The folders of the tables that the application has written() and not yet emptied()."""
-    return set(_TABLES.get(spark.sparkContext.applicationId, ()))
+@contextmanager
+def own_tables() -> Iterator[list[str]]:
+    """The folders of what is written() inside, by this thread; those that aren't emptied() go on to an own_tables() around it."""
+    around, own = _OWN.get(), []
+    token = _OWN.set(own)
+    try:
+        yield own
+    finally:
+        _OWN.reset(token)
+        if around is not None:
+            around += own
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as a Parquet table in the shared folder and read again."""
+    """df, written as a Parquet table in the shared folder and read again. It stays until it is emptied()."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _TABLES.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    if (own := _OWN.get()) is not None:
+        own.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def emptied(spark: SparkSession, paths: set[str], but: DataFrame) -> None:
-    """Writes nothing over the tables that aren't needed any more, all but the one that `but` reads, to free their space."""
+def emptied(spark: SparkSession, own: list[str], but: DataFrame) -> None:
+    """Writes nothing over the tables in own that aren't needed any more, all but those that `but` reads, to free their space."""
     needed = {f.rsplit("/", 2)[-2] for f in but.inputFiles()}
-    for path in paths:
-        if path.rsplit("/", 1)[-1] not in needed:
-            spark.range(0).write.mode("overwrite").parquet(path)
-            _TABLES[spark.sparkContext.applicationId].discard(path)
+    for path in [p for p in own if p.rsplit("/", 1)[-1] not in needed]:
+        spark.range(0).write.mode("overwrite").parquet(path)
+        own.remove(path)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

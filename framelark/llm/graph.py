@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelark.llm.common import checkpointed, emptied, left_join_by_key, long_key, tables_of, written
+from framelark.llm.common import checkpointed, emptied, left_join_by_key, long_key, own_tables, written
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -36,14 +36,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round, links move to the smallest neighbour, so paths shorten and hubs appear. A hub's links aren't gathered: only
     one minimum for each node and task is shuffled for it, and it is broadcast to them. Rounds are about the logarithm of
     the longest path. Only a count and a checksum come to the driver. Nulls aren't links."""
-    spark, others = edges.sparkSession, tables_of(edges.sparkSession)
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    now, before = written(now, "links"), None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
-        if tuple(seen) == before or not seen[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = tuple(seen)
-        # a table, as a checkpoint keeps its plan's estimated size, which joins multiply from round to round
-        now = written(_small_star(checkpointed(_large_star(now))), "links")
-        emptied(spark, tables_of(spark) - others, now)
+    with own_tables() as own:
+        now, before = written(now, "links"), None
+        while True:
+            seen = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
+            if tuple(seen) == before or not seen[0]:
+                return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            before = tuple(seen)
+            # a table, as a checkpoint keeps its plan's estimated size, which joins multiply from round to round
+            now = written(_small_star(checkpointed(_large_star(now))), "links")
+            emptied(now.sparkSession, own, now)

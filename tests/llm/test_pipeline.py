@@ -123,3 +123,26 @@ def test_stages_decide_by_row(spark, tmp_path):
     assert after(corpus_pipeline.one_of_near_copies, linked) == Counter([(1, words), (2, other), (None, third)])
     leaked = [(1, words), (1, leak), (None, leak), (None, other), (None, other)]
     assert after(corpus_pipeline.without_benchmark, leaked) == Counter([(1, words), (None, other), (None, other)])
+
+
+def test_two_runs_at_once(spark):
+    """Each frees its own tables only."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(lambda: corpus_pipeline.run(spark, SF)) for _ in range(2)]
+        one, two = (Counter((r["doc_id"], r["text"]) for r in f.result().collect()) for f in runs)
+    assert one == two and one
+
+
+def test_tables_of_others_stay(spark):
+    from framelark.llm.common import emptied, own_tables, written
+
+    kept = written(spark.range(3), "a")
+    with own_tables() as own:
+        first, second = written(spark.range(4), "b"), written(spark.range(5), "c")
+        with own_tables():
+            third = written(spark.range(6), "d")
+        emptied(spark, own, second)
+    assert (kept.count(), second.count()) == (3, 5) and len(own) == 1
+    assert all(spark.read.schema(d.schema).parquet(d.inputFiles()[0].rsplit("/", 1)[0]).count() == 0 for d in (first, third) if d.inputFiles())
