@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelark.llm import decontaminate, exact_dedup, quality, sentencepiece_dropout, simhash
-from framelark.llm.common import documents, emptied, tables_of, written
+from framelark.llm.common import documents, emptied, own_tables, written
 
 
 def _columns_of(docs: DataFrame) -> list:
@@ -80,8 +80,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, others = documents(spark, sf_dir), tables_of(spark)
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-        emptied(spark, tables_of(spark) - others, docs)  # what this stage was made from
+    """Encoded documents that all stages keep. Each run frees the tables of its own stages and of no other run."""
+    docs = documents(spark, sf_dir)
+    with own_tables() as own:
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), name)
+            emptied(spark, own, docs)  # what this stage was made from
     return STAGES[-1][1](spark, docs, sf_dir)
