@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -22,7 +23,7 @@ FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 PARTS, TIMES, BUCKETS = (5, 6), (1, 2, 4, 8), 1 << 22
 #: Buckets that the classifier weighs, at most; labelled documents that must hold one; and its least log likelihood ratio.
 FEATURES, LEAST_DOCS, LEAST_RATIO = 2048, 3, 10.0
-#: Weights of the penalties on score changes under swaps and on large weights.
+#: Weights of the penalties on score changes under swaps and mentions, for each identity term, and on large weights.
 SWAP_PENALTY, L2 = 4.0, 1e-5
 #: Parts of the training rows, each of which a model fitted on the others scores, to find the cut.
 PARTITIONS = 3
@@ -58,20 +59,18 @@ def swapped(clean: bytes) -> bytes:
 
 
 def mentioned(clean: bytes, draw: int) -> bytes:
-    """clean with an identity term between two of its words; draw chooses both."""
-    term = _TERMS[draw % len(_TERMS)]
-    at = clean.find(b" ", draw // len(_TERMS) % len(clean))
+    """clean with an identity term between two of its words, once or more; draw chooses term, place and how often."""
+    term, draw = b" " + _TERMS[draw % len(_TERMS)], draw // len(_TERMS)
+    times, draw = TIMES[draw % len(TIMES)], draw // len(TIMES)
+    at = clean.find(b" ", draw % len(clean))
     at = len(clean) - 1 if at < 0 else at
-    return clean[:at] + b" " + term + clean[at:]
+    return clean[:at] + term * times + clean[at:]
 
 
-def counterfactuals(clean: bytes, draw: int, telling: set[bytes]) -> list[tuple[bytes, bytes]]:
+def counterfactuals(clean: bytes, draw: int) -> list[tuple[bytes, bytes]]:
     """Texts whose scores should be equal: a text and its swap, if it mentions a group; the text and itself with a mention put
-    in, which alone makes no text toxic; and that one and its swap. Pairs that no score can tell apart are left out."""
-    other, term = swapped(clean), _TERMS[draw % len(_TERMS)]
-    if other == clean and term not in telling and _NEXT[term] not in telling:
-        return []
-    put_in = mentioned(clean, draw)
+    in, which alone makes no text toxic; and that one and its swap."""
+    other, put_in = swapped(clean), mentioned(clean, draw)
     pairs = [(clean, put_in), (put_in, swapped(put_in))]
     return pairs if other == clean else [(clean, other), *pairs]
 
@@ -88,9 +87,9 @@ def parts_of(clean: bytes) -> np.ndarray:
             while n < size and len(packed) > 1:
                 packed, n = packed[:-1] << np.uint64(8) | wide[n:], n + 1
             if n == size:
-                k = len(packed)
+                k = min(len(packed), PIECE)  # parts that start in this piece
                 inner = spaces[size - 1 : size - 1 + k] - spaces[1 : 1 + k]
-                out.append(packed[inner == 0] * np.uint64(8) + np.uint64(size))
+                out.append(packed[:k][inner == 0] * np.uint64(8) + np.uint64(size))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -105,6 +104,12 @@ def buckets(clean: bytes) -> np.ndarray:
     return _hashed([parts[counts >= n] for n in TIMES])
 
 
+def identity_buckets() -> np.ndarray:
+    """Those of the parts of all identity terms that stand in a text at all; some hundred."""
+    parts = np.unique(np.concatenate([parts_of(b" " + t + b" ") for t in _TERMS]))
+    return _hashed([parts, *[parts[:0]] * (len(TIMES) - 1)])
+
+
 class Classifier:
     """Score = logistic(bias + the sum of the weights of those chosen buckets that a text has)."""
 
@@ -125,10 +130,6 @@ class Classifier:
         found = self.place[buckets(clean)]
         return found[found >= 0]
 
-    def telling(self) -> set[bytes]:
-        """The identity terms that can change a score: those with a part in a chosen bucket, however often it stands in a text."""
-        return {t for t in _TERMS if (self.place[_hashed([parts_of(b" " + t + b" ")] * len(TIMES))] >= 0).any()}
-
     def score(self, clean: bytes) -> float:
         z = self.bias + self.weights[self.features(clean)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
@@ -149,6 +150,10 @@ def fit_weights(
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows).astype(np.int64)
     pairs = [(a, b) for a, b in zip(rows, swaps, strict=True) if b is not None] + list(pairs)
+    # equal pairs are taken once, with their share of all
+    alike = Counter((np.asarray(a, np.int64).tobytes(), np.asarray(b, np.int64).tobytes()) for a, b in pairs)
+    share = np.array(list(alike.values())) / max(len(pairs), 1)
+    pairs = [tuple(np.frombuffer(x, np.int64) for x in p) for p in alike]
     d_at = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
     d_col = np.concatenate([np.concatenate([a, b]) for a, b in pairs]).astype(np.int64) if pairs else np.zeros(0, np.int64)
     d_value = np.concatenate([np.repeat([1.0, -1.0], [len(a), len(b)]) for a, b in pairs]) * scale[d_col] if pairs else np.zeros(0)
@@ -156,7 +161,7 @@ def fit_weights(
     each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     # no step is longer than the inverse of a bound on the curvature
     norm = np.bincount(at, value**2, len(y)) + 1
-    norm_swap = np.bincount(d_at, d_value**2, len(pairs)).max() if pairs else 0.0
+    norm_swap = (share * np.bincount(d_at, d_value**2, len(pairs))).sum() if pairs else 0.0
     rate = 1 / (0.25 * max((each * norm).sum(), 1e-9) + 2 * penalty * norm_swap + L2)
     w, b, vw, vb, prev = np.zeros(n), 0.0, np.zeros(n), 0.0, 1.0
     for _ in range(steps):
@@ -164,7 +169,7 @@ def fit_weights(
         g = each * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         grad = np.bincount(col, value * g[at], n) + L2 * vw
         if pairs:
-            change = np.bincount(d_at, d_value * vw[d_col], len(pairs)) * (2 * penalty / len(pairs))
+            change = np.bincount(d_at, d_value * vw[d_col], len(pairs)) * (2 * penalty * share)
             grad += np.bincount(d_col, d_value * change[d_at], n)
         nw, nb, now = vw - rate * grad, vb - rate * g.sum(), (1 + np.sqrt(1 + 4 * prev * prev)) / 2
         vw, vb = nw + (prev - 1) / now * (nw - w), nb + (prev - 1) / now * (nb - b)
@@ -192,7 +197,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _best(counts: DataFrame, sizes: dict[tuple[int, int], int], without: int | None) -> dict[int, float]:
-    """The FEATURES buckets with the largest likelihood ratio in favour of label 1, and the ratio, from all parts but one."""
+    """The FEATURES buckets with the largest likelihood ratio in favour of label 1, and the ratio, from all parts but one. With
+    them go the identity terms' buckets, at the least ratio, so that swaps and mentions always change what the model sees."""
     parts = [k for k in range(PARTITIONS) if k != without]
     c, t = (sum((F.col(f"n{2 * k + y}") for k in parts), F.lit(0)) for y in (0, 1))
     n0, n1 = (sum(sizes.get((k, y), 0) for k in parts) for y in (0, 1))
@@ -202,7 +208,7 @@ def _best(counts: DataFrame, sizes: dict[tuple[int, int], int], without: int | N
     ratio = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
     best = counts.filter((t >= LEAST_DOCS) & (t / n1 > c / n0)).select("bucket", ratio.alias("ratio"))
     best = best.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "bucket").limit(FEATURES).collect()
-    return {r["bucket"]: r["ratio"] for r in best}
+    return dict.fromkeys(identity_buckets().tolist(), LEAST_RATIO) | {r["bucket"]: r["ratio"] for r in best}
 
 
 def _in_model(features: np.ndarray, model: np.ndarray) -> np.ndarray:
@@ -231,10 +237,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: flo
     shared = docs.sparkSession.sparkContext.broadcast(Classifier(union))
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        has, telling = shared.value.features, shared.value.telling()
+        has = shared.value.features
         for batch in batches:
             clean = [cleaned(t) for t in batch["text"]]
-            pairs = [[(has(a), has(b)) for a, b in counterfactuals(c, d, telling)] for c, d in zip(clean, batch["draw"].tolist(), strict=True)]
+            pairs = [[(has(a), has(b)) for a, b in counterfactuals(c, d)] for c, d in zip(clean, batch["draw"].tolist(), strict=True)]
             lost = [[np.setdiff1d(a, b).tolist() for a, b in p] for p in pairs]
             new = [[np.setdiff1d(b, a).tolist() for a, b in p] for p in pairs]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "part": batch["part"], "y": batch["y"], "x": [has(c).tolist() for c in clean], "lost": lost, "new": new})
@@ -252,7 +258,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: flo
         place[np.searchsorted(union, picked)] = np.arange(len(picked))
         scale = np.array(list(best.values())) / max(best.values(), default=1)
         differ = [(a, b) for i in own for a, b in ((_in_model(p, place), _in_model(q, place)) for p, q in pairs[i]) if len(a) + len(b)]
-        w, b = fit_weights([_in_model(x[i], place) for i in own], [None] * len(own), y[own], scale, penalty, pairs=differ)
+        # a term is in one of len(_TERMS) pairs, so its changes weigh `penalty` on average
+        w, b = fit_weights([_in_model(x[i], place) for i in own], [None] * len(own), y[own], scale, penalty * len(_TERMS), pairs=differ)
         return picked, place, w, b
 
     def logits(model: tuple, own: np.ndarray) -> np.ndarray:

@@ -1,3 +1,4 @@
+import math
 import itertools
 import zlib
 
@@ -150,20 +151,57 @@ def test_swaps_are_penalised():
     assert toxicity.swapped(b" womenfolk ") == b" womenfolk "
 
 
-def test_pairs_left_out_are_equal():
-    """A pair that no score can tell apart has the same features on both sides."""
+def test_every_row_has_pairs_that_differ():
     rng = np.random.default_rng(0)
-    own = toxicity.buckets(toxicity.cleaned("the old women met deaf muslims"))
-    model = toxicity.Classifier(own)
-    telling = model.telling()
-    assert {b"women", b"muslims"} <= telling and b"gitanos" not in telling
+    model = toxicity.Classifier(toxicity.identity_buckets())
+    assert 100 < len(model.chosen) < 2000
     for draw in rng.integers(0, 1 << 40, 300).tolist():
-        clean = toxicity.cleaned("plain words and again plain words")
-        pairs = toxicity.counterfactuals(clean, draw, telling)
-        every = toxicity.counterfactuals(clean, draw, set(toxicity._TERMS))
-        assert len(every) == 2 and toxicity.swapped(every[1][0]) == every[1][1] != every[1][0]
-        if not pairs:
-            assert all(model.features(a).tolist() == model.features(b).tolist() for a, b in every)
+        for text, n in (("plain words and again plain words", 2), ("old women", 3)):
+            pairs = toxicity.counterfactuals(toxicity.cleaned(text), draw)
+            assert len(pairs) == n and toxicity.swapped(pairs[-1][0]) == pairs[-1][1]
+            again = toxicity._TERMS[draw % len(toxicity._TERMS)].decode() in text.split()  # then a mention adds nothing new
+            assert again or all(model.features(a).tolist() != model.features(b).tolist() for a, b in pairs)
+
+
+def test_equal_pairs_count_by_their_share():
+    rows, y, scale = [np.array([0, 1])] * 30 + [np.array([], int)] * 30, np.array([1.0] * 30 + [0.0] * 30), np.ones(2)
+    one, two = (np.array([1]), np.array([], int)), (np.array([0]), np.array([], int))
+    w, _ = toxicity.fit_weights(rows, [None] * 60, y, scale, pairs=[one] * 9 + [two])
+    v, _ = toxicity.fit_weights(rows, [None] * 60, y, scale, pairs=[one] * 900 + [two] * 100)
+    assert w == pytest.approx(v) and 0 < w[1] < w[0]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_pairs_reach_the_fit_of_given_tables(spark, folder, monkeypatch):
+    seen = []
+    plain = toxicity.fit_weights
+    monkeypatch.setattr(toxicity, "fit_weights", lambda rows, swaps, y, scale, penalty, pairs: (seen.append((len(rows), len(pairs))), plain(rows, swaps, y, scale, penalty, 100, pairs))[1])
+    toxicity.train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    assert len(seen) == 1 + toxicity.PARTITIONS and all(pairs >= 2 * rows > 0 for rows, pairs in seen)
+
+
+def test_bias_planted_in_given_tables(spark):
+    """Toxic texts of the given table are made to name a group: only without the penalty does its name alone raise a score."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id", "toxic"), "doc_id", "left")
+    named = F.pmod(F.xxhash64("doc_id"), F.lit(100)) < F.when(F.col("toxic") == 1, 80).otherwise(2)
+    docs = docs.withColumn("text", F.when(named, F.concat("text", F.lit(" muslims women muslims women"))).otherwise(F.col("text"))).drop("toxic").cache()
+    neutral = [r["text"] for r in docs.join(labels, "doc_id").filter((F.col("toxic") == 0) & ~F.col("text").contains("muslims")).orderBy("doc_id").limit(40).collect()]
+    rise = {}
+    for penalty in (0.0, 4.0):
+        model = toxicity.train(docs, labels, penalty=penalty)
+        logit = lambda t: (lambda p: math.log(p / (1 - p)))(model.score(toxicity.cleaned(t)))  # noqa: B023, E731
+        rise[penalty] = np.mean([abs(logit(t + " muslims women muslims women") - logit(t)) for t in neutral])
+    assert rise[4.0] < 0.2 * rise[0.0]
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 6, 7, 20])
+def test_parts_do_not_depend_on_pieces(piece, monkeypatch):
+    clean = toxicity.cleaned("Idiot idiots, idiot! É x aaaaaaaaaaaaaa b " * 3)
+    whole = np.sort(toxicity.parts_of(clean))
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    assert (np.sort(toxicity.parts_of(clean)) == whole).all()
 
 
 def biased(spark, n=1200):
