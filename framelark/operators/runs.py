@@ -1,4 +1,7 @@
-"""Runs, edges and neighbourhoods of ordered rows. Each window is bounded by entity keys; order columns must be unique within them."""
+"""Runs, edges and neighbourhoods of ordered rows, dealt by entity and stretches of the order.
+
+Where an order column is called index it numbers an entity's rows without gaps; columns made from windows are for use inside
+stretches.by_stretches()."""
 
 from __future__ import annotations
 
@@ -6,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from framelark.operators.stretches import SIZE, by_stretches, merged, numbered, stretch
+
 Keys = list[str]
 
 
@@ -18,32 +23,34 @@ def is_on(value: Column) -> Column:
     return F.coalesce(value == 1, F.lit(False))
 
 
-def rising(df: DataFrame, keys: Keys, order: str, on: Column) -> DataFrame:
+def rising(df: DataFrame, keys: Keys, index: str, on: Column, size: int = SIZE) -> DataFrame:
     """Rows that are on after one that isn't, or first."""
-    w = over(keys, order)
-    return df.withColumn("_on", on).withColumn("_edge", F.col("_on") & ~F.lag("_on", 1, False).over(w)).filter("_edge").drop("_on", "_edge")
+    edge = lambda d, k: d.withColumn("_edge", F.col("_on") & ~F.lag("_on", 1, False).over(over(k, index)))
+    return by_stretches(df.withColumn("_on", on), keys, index, 1, 0, edge, size).filter("_edge").drop("_on", "_edge")
 
 
-def falling(df: DataFrame, keys: Keys, order: str, on: Column) -> DataFrame:
+def falling(df: DataFrame, keys: Keys, index: str, on: Column, size: int = SIZE) -> DataFrame:
     """Rows that are on before one that isn't, or last."""
-    w = over(keys, order)
-    return df.withColumn("_on", on).withColumn("_edge", F.col("_on") & ~F.lead("_on", 1, False).over(w)).filter("_edge").drop("_on", "_edge")
+    edge = lambda d, k: d.withColumn("_edge", F.col("_on") & ~F.lead("_on", 1, False).over(over(k, index)))
+    return by_stretches(df.withColumn("_on", on), keys, index, 0, 1, edge, size).filter("_edge").drop("_on", "_edge")
 
 
-def intervals(df: DataFrame, keys: Keys, p: str, on: Column) -> DataFrame:
-    """Half-open intervals (first, last_excl) of consecutive integers p that are on."""
-    rows = df.filter(on).select(*keys, F.col(p).cast("long").alias("_p"))
-    rows = rows.withColumn("_island", F.col("_p") - F.row_number().over(over(keys, "_p")))
-    return rows.groupBy(*keys, "_island").agg(F.min("_p").alias("first"), (F.max("_p") + 1).alias("last_excl")).drop("_island")
+def intervals(df: DataFrame, keys: Keys, p: str, on: Column, size: int = SIZE) -> DataFrame:
+    """Half-open intervals (first, last_excl) of consecutive integers p that are on. p may have gaps, which end intervals."""
+    rows = df.filter(on).select(*keys, F.col(p).cast("long").alias("_p")).withColumn("_stretch", stretch(F.col("_p"), size))
+    rows = rows.withColumn("_island", F.col("_p") - F.row_number().over(over([*keys, "_stretch"], "_p")))
+    local = rows.groupBy(*keys, "_stretch", "_island").agg(F.min("_p").alias("first"), (F.max("_p") + 1).alias("last_excl"), F.count(F.lit(1)).alias("n"))
+    return merged(local, keys, size).drop("n")
 
 
-def bands(df: DataFrame, keys: Keys, order: str | list[str], value: str) -> DataFrame:
+def bands(df: DataFrame, keys: Keys, order: str | list[str], value: str, size: int = SIZE) -> DataFrame:
     """(value, first, last, n) of each run of equal values, by row number from 0; nulls equal one another."""
-    w = over(keys, order)
-    rows = df.withColumn("_i", (F.row_number().over(w) - 1).cast("long"))
-    starts = ~F.col(value).eqNullSafe(F.lag(value).over(w)) | (F.col("_i") == 0)
+    rows = numbered(df, keys, order, "_i").withColumn("_stretch", stretch(F.col("_i"), size))
+    w = over([*keys, "_stretch"], "_i")
+    starts = ~F.col(value).eqNullSafe(F.lag(value).over(w)) | (F.row_number().over(w) == 1)
     rows = rows.withColumn("_run", F.sum(starts.cast("long")).over(w))
-    return rows.groupBy(*keys, "_run", value).agg(F.min("_i").alias("first"), F.max("_i").alias("last"), F.count(F.lit(1)).alias("n")).drop("_run")
+    local = rows.groupBy(*keys, "_stretch", "_run", value).agg(F.min("_i").alias("first"), (F.max("_i") + 1).alias("last_excl"), F.count(F.lit(1)).alias("n"))
+    return merged(local, keys, size, value).select(*keys, value, "first", (F.col("last_excl") - 1).alias("last"), "n")
 
 
 def dilated(flag: Column, keys: Keys, order: str, before: int, after: int) -> Column:
@@ -56,18 +63,37 @@ def eroded(flag: Column, keys: Keys, order: str, before: int, after: int) -> Col
     return F.coalesce(F.sum(flag.cast("int")).over(over(keys, order).rowsBetween(-before, after)), F.lit(0)) == before + after + 1
 
 
-def closed(df: DataFrame, keys: Keys, order: str, flag: str, size: int) -> DataFrame:
-    """Gaps shorter than size are filled. The window of an even size reaches one further back for erosion, forth for dilation."""
+def spread(df: DataFrame, keys: Keys, index: str, flag: str, name: str, before: int, after: int, size: int = SIZE) -> DataFrame:
+    """df with dilated() of a flag."""
+    return by_stretches(df, keys, index, before, after, lambda d, k: d.withColumn(name, dilated(F.col(flag), k, index, before, after)), size)
+
+
+def closed(df: DataFrame, keys: Keys, index: str, flag: str, size: int, rows: int = SIZE) -> DataFrame:
+    """Gaps shorter than size are filled. The window of an even size reaches one further back for erosion, forth for dilation.
+    rows: of a stretch."""
     low, high = size // 2, size - 1 - size // 2
-    df = df.withColumn(flag, dilated(F.col(flag), keys, order, high, low))
-    return df.withColumn(flag, eroded(F.col(flag), keys, order, low, high))
 
+    def both(d: DataFrame, k: Keys) -> DataFrame:
+        d = d.withColumn(flag, dilated(F.col(flag), k, index, high, low))
+        return d.withColumn(flag, eroded(F.col(flag), k, index, low, high))
 
-def opened(df: DataFrame, keys: Keys, order: str, flag: str, size: int) -> DataFrame:
-    """Runs shorter than size are dropped."""
+    return by_stretches(df, keys, index, low + high, low + high, both, rows)
+
+
+def opened(df: DataFrame, keys: Keys, index: str, flag: str, size: int, rows: int = SIZE) -> DataFrame:
+    """Runs shorter than size are dropped. rows: of a stretch."""
     low, high = size // 2, size - 1 - size // 2
-    df = df.withColumn(flag, eroded(F.col(flag), keys, order, low, high))
-    return df.withColumn(flag, dilated(F.col(flag), keys, order, high, low))
+
+    def both(d: DataFrame, k: Keys) -> DataFrame:
+        d = d.withColumn(flag, eroded(F.col(flag), k, index, low, high))
+        return d.withColumn(flag, dilated(F.col(flag), k, index, high, low))
+
+    return by_stretches(df, keys, index, low + high, low + high, both, rows)
+
+
+def smoothed(df: DataFrame, keys: Keys, index: str, x: str, name: str, size: int = SIZE) -> DataFrame:
+    """df with smoothed5() of x."""
+    return by_stretches(df, keys, index, 2, 2, lambda d, k: d.withColumn(name, smoothed5(x, k, index)), size)
 
 
 def smoothed5(x: str, keys: Keys, order: str) -> Column:

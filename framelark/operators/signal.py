@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.operators.runs import Keys, dilated, over
+from framelark.operators.stretches import SIZE, by_stretches, numbered
 
 
 def mean_abs_difference(a: Column, b: Column) -> Column:
@@ -15,10 +16,17 @@ def mean_abs_difference(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(total / F.size(a))
 
 
-def frame_signal(frames: DataFrame, keys: Keys, order: str, pixels: str) -> DataFrame:
+#: Frames of a stretch where rows hold pictures.
+PICTURES = 500
+
+
+def frame_signal(frames: DataFrame, keys: Keys, index: str, pixels: str, size: int = PICTURES) -> DataFrame:
     """frames with `mad`, the mean absolute pixel difference from the frame before; 0 for the first. pixels goes."""
-    before = F.lag(pixels).over(over(keys, order))
-    return frames.withColumn("mad", mean_abs_difference(F.col(pixels), before).cast("float")).drop(pixels)
+
+    def compared(d: DataFrame, k: Keys) -> DataFrame:
+        return d.withColumn("mad", mean_abs_difference(F.col(pixels), F.lag(pixels).over(over(k, index))).cast("float")).drop(pixels)
+
+    return by_stretches(frames, keys, index, 1, 0, compared, size)
 
 
 def neighbours(value: str, keys: Keys, order: str) -> tuple[Column, Column]:
@@ -27,10 +35,10 @@ def neighbours(value: str, keys: Keys, order: str) -> tuple[Column, Column]:
     return F.coalesce(F.lag(value).over(w), F.lit(0.0)), F.coalesce(F.lead(value).over(w), F.lit(0.0))
 
 
-def cuts(df: DataFrame, keys: Keys, order: str, value: str, least: float = 8.0, times: float = 3.0) -> DataFrame:
+def cuts(df: DataFrame, keys: Keys, index: str, value: str, least: float = 8.0, times: float = 3.0, size: int = SIZE) -> DataFrame:
     """Rows whose value is above least and above `times` the larger neighbour."""
-    a, b = neighbours(value, keys, order)
-    return df.withColumn("_high", F.greatest(a, b)).filter((F.col(value) > least) & (F.col(value) > times * F.col("_high"))).drop("_high")
+    df = by_stretches(df, keys, index, 1, 1, lambda d, k: d.withColumn("_high", F.greatest(*neighbours(value, k, index))), size)
+    return df.filter((F.col(value) > least) & (F.col(value) > times * F.col("_high"))).drop("_high")
 
 
 def repeats(value: str, keys: Keys, order: str, share: float = 0.15, motion: float = 1.5) -> Column:
@@ -40,16 +48,19 @@ def repeats(value: str, keys: Keys, order: str, share: float = 0.15, motion: flo
     return (F.col(value) < share * low) & (low > motion)
 
 
-def near_repeats(df: DataFrame, keys: Keys, order: str, value: str, reach: int = 8) -> DataFrame:
+def near_repeats(df: DataFrame, keys: Keys, index: str, value: str, reach: int = 8, size: int = SIZE) -> DataFrame:
     """df with `burst`: whether a repeat is at most reach rows away."""
-    df = df.withColumn("_repeat", repeats(value, keys, order))
-    return df.withColumn("burst", dilated(F.col("_repeat"), keys, order, reach, reach)).drop("_repeat")
+
+    def near(d: DataFrame, k: Keys) -> DataFrame:
+        d = d.withColumn("_repeat", repeats(value, k, index))
+        return d.withColumn("burst", dilated(F.col("_repeat"), k, index, reach, reach)).drop("_repeat")
+
+    return by_stretches(df, keys, index, reach + 1, reach + 1, near, size)
 
 
-def rank01(df: DataFrame, keys: Keys, value: str, tie: str) -> DataFrame:
-    """df with `score`, 0 to (n - 1) / n by rising value; equal values in the order of tie."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("score", (F.row_number().over(over(keys, [value, tie])) - 1) / n)
+def rank01(df: DataFrame, keys: Keys, value: str, tie: str, parts: int | None = None) -> DataFrame:
+    """df with `score`, 0 to (n - 1) / n by rising value; equal values in the order of tie. Without keys, of all rows."""
+    return numbered(df, keys, [value, tie], "_i", "_n", parts).withColumn("score", F.col("_i") / F.col("_n")).drop("_i", "_n")
 
 
 def best(df: DataFrame, keys: Keys, value: str, index: str, last: bool = False) -> DataFrame:

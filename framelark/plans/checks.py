@@ -107,7 +107,7 @@ def lag_scan(mapping: Mapping | DataFrame, vad: DataFrame, speaking: DataFrame,
     """lag_correlation() of detected speech (recording, k, v every 10 ms), smoothed, and annotated speech (p, y), for the mapping and
     one with the wrong speed."""
     vad = keyed(vad).select(KEY, F.col("k").cast("long").alias("k"), F.col("v").cast("double").alias("v"))
-    grid = vad.withColumn("x", runs.smoothed5("v", [KEY], "k")).select(KEY, "k", "x")
+    grid = runs.smoothed(vad, [KEY], "k", "v", "x").select(KEY, "k", "x")
     p = axis(vad.sparkSession, last + 1).filter(F.col("p") >= first)
     p = p.join(speaking.select("p", F.col("y").cast("double").alias("y")), "p", "left").select("p", F.coalesce("y", F.lit(0.0)).alias("y"))
     own, middle = of_columns(), (F.col("p") + 0.5) * FRAME_SECONDS

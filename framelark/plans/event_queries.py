@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import asof, peaks, runs, signal
+from framelark.operators import asof, peaks, runs, signal, stretches
 from framelark.plans import cues, media, steps, tracks, viewport
 from framelark.sources import recordings, subtitles
 from framelark.sources.tables import table
@@ -22,6 +22,8 @@ HOUR = 3_600_000_000.0
 DAY = 24 * HOUR
 #: Stretches of the time axis, in microseconds, that as-of joins are dealt by beside the user.
 STRETCH = 7 * DAY
+#: Rows of a stretch, few, so that the queries cross many borders.
+ROWS = 10
 MAPPING = axis.Mapping(24000 / 1001, 25, 97_210, 11_020)
 
 _US = "epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')"
@@ -73,18 +75,18 @@ def q_timecode(spark, folder):
 
 @query(f"WITH {_ON} SELECT user_id, p FROM on_")
 def q_onsets(spark, folder):
-    return runs.rising(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o")).select("user_id", "p")
+    return runs.rising(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o"), ROWS).select("user_id", "p")
 
 
 @query(f"WITH {_SEQ} SELECT user_id, p FROM (SELECT *, lead(o, 1, false) OVER (PARTITION BY user_id ORDER BY p) AS b FROM s) WHERE o AND NOT b")
 def q_falling(spark, folder):
-    return runs.falling(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o")).select("user_id", "p")
+    return runs.falling(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o"), ROWS).select("user_id", "p")
 
 
 @query(f"""WITH {_SEQ}, i AS (SELECT user_id, p, p - row_number() OVER (PARTITION BY user_id ORDER BY p) AS g FROM s WHERE o)
 SELECT user_id, min(p) AS first, max(p) + 1 AS last_excl FROM i GROUP BY user_id, g""")
 def q_runs(spark, folder):
-    return runs.intervals(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o"))
+    return runs.intervals(sequence(spark, folder).select("user_id", "p", "o"), ["user_id"], "p", F.col("o"), ROWS)
 
 
 _CLOCK = """c AS (SELECT user_id, us, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY us, event_id)) * CAST(0.04 AS DOUBLE) AS pts FROM e WHERE event_type = 'view'),
@@ -182,7 +184,18 @@ _NB = "coalesce(lag(value) OVER w, 0) AS a, coalesce(lead(value) OVER w, 0) AS b
 
 @query(f"WITH {_SEQ} SELECT user_id, p FROM (SELECT *, {_NB} FROM s WINDOW w AS (PARTITION BY user_id ORDER BY p)) WHERE value > 8 AND value > 3 * greatest(a, b)")
 def q_local_max(spark, folder):
-    return signal.cuts(sequence(spark, folder).select("user_id", "p", "value"), ["user_id"], "p", "value").select("user_id", "p")
+    return signal.cuts(sequence(spark, folder).select("user_id", "p", "value"), ["user_id"], "p", "value", size=ROWS).select("user_id", "p")
+
+
+@query("SELECT event_id, CAST(row_number() OVER (ORDER BY value, event_id) - 1 AS DOUBLE) / count(*) OVER () AS score FROM events")
+def q_rank_all(spark, folder):
+    return signal.rank01(events(spark, folder).select("event_id", "value"), [], "value", "event_id").select("event_id", "score")
+
+
+@query("""SELECT event_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) - 1 AS BIGINT) AS n, round(sum(value) OVER (PARTITION BY event_type ORDER BY value, event_id ROWS UNBOUNDED PRECEDING), 3) AS upto FROM events""")
+def q_running(spark, folder):
+    rows = stretches.numbered(events(spark, folder).select("event_id", "event_type", "value"), ["event_type"], ["value", "event_id"])
+    return stretches.running(rows, ["event_type"], "n", "value", "upto", ROWS).select("event_id", "n", F.round("upto", 3).alias("upto"))
 
 
 @query(f"WITH {_SEQ} SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY value, p) - 1 AS DOUBLE) / count(*) OVER (PARTITION BY user_id) AS score FROM s")
@@ -192,7 +205,7 @@ def q_rank01(spark, folder):
 
 @query(f"WITH {_SEQ} SELECT event_id, max(o) OVER (PARTITION BY user_id ORDER BY p ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING) AS near_error FROM s")
 def q_dilate(spark, folder):
-    return sequence(spark, folder).select("event_id", runs.dilated(F.col("o"), ["user_id"], "p", 8, 8).alias("near_error"))
+    return runs.spread(sequence(spark, folder), ["user_id"], "p", "o", "near_error", 8, 8, ROWS).select("event_id", "near_error")
 
 
 @query(f"""WITH {_SEQ}, n AS (SELECT *, value >= 20 AS f FROM s),
@@ -202,15 +215,15 @@ x AS (SELECT *, count(*) FILTER (WHERE h) OVER (PARTITION BY user_id ORDER BY p
 SELECT event_id, max(i) OVER (PARTITION BY user_id ORDER BY p ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS steady FROM x""")
 def q_close_open(spark, folder):
     flagged = sequence(spark, folder).withColumn("f", F.col("value") >= 20)
-    closed = runs.closed(flagged, ["user_id"], "p", "f", 3)
-    return runs.opened(closed, ["user_id"], "p", "f", 4).select("event_id", F.col("f").alias("steady"))
+    closed = runs.closed(flagged, ["user_id"], "p", "f", 3, ROWS)
+    return runs.opened(closed, ["user_id"], "p", "f", 4, ROWS).select("event_id", F.col("f").alias("steady"))
 
 
 @query(f"""WITH {_SEQ}, n AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS c FROM s),
 i AS (SELECT event_id, user_id, c, unnest([p - 2, p - 1, p, p + 1, p + 2]) AS q FROM n)
 SELECT i.event_id, round(sum(s.value) / 5, 6) AS smooth FROM i JOIN s ON s.user_id = i.user_id AND s.p = CASE WHEN q < 0 THEN -q - 1 WHEN q >= c THEN 2 * c - 1 - q ELSE q END GROUP BY 1""")
 def q_box5(spark, folder):
-    return sequence(spark, folder).select("event_id", F.round(runs.smoothed5("value", ["user_id"], "p"), 6).alias("smooth"))
+    return runs.smoothed(sequence(spark, folder), ["user_id"], "p", "value", "smooth", ROWS).select("event_id", F.round("smooth", 6).alias("smooth"))
 
 
 @query(f"WITH {_E} SELECT user_id, CAST(floor(us / 86400000000.0) AS BIGINT) AS bin, min(value) AS low, max(value) AS high, count(*) AS n FROM e WHERE us >= 0 AND us < 31536000000000 GROUP BY 1, 2")
@@ -300,7 +313,7 @@ def q_heat(spark, folder):
 @query(f"""WITH {_SEQ}, c AS (SELECT *, p - row_number() OVER (PARTITION BY user_id, event_type ORDER BY p) AS g FROM s)
 SELECT user_id, event_type, min(p) AS first, max(p) AS last, count(*) AS n FROM c GROUP BY user_id, event_type, g""")
 def q_bands(spark, folder):
-    return runs.bands(events(spark, folder), ["user_id"], ["ts", "event_id"], "event_type")
+    return runs.bands(events(spark, folder).select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], "event_type", ROWS)
 
 
 @query("""WITH c AS (SELECT user_id AS patient, event_type, count(*) AS count FROM events GROUP BY 1, 2), u AS (SELECT *, dense_rank() OVER (ORDER BY event_type) AS unit_id FROM c)
@@ -334,7 +347,7 @@ r AS (SELECT *, value < CAST(0.15 AS DOUBLE) * least(a, b) AND least(a, b) > 1.5
 u AS (SELECT *, max(rep) OVER (PARTITION BY user_id ORDER BY p ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING) AS burst FROM r)
 SELECT event_id, CAST(CASE WHEN p > 70 THEN 2 WHEN burst THEN 1 ELSE 0 END AS SMALLINT) AS flag FROM u""")
 def q_frame_flags(spark, folder):
-    marked = signal.near_repeats(sequence(spark, folder), ["user_id"], "p", "value")
+    marked = signal.near_repeats(sequence(spark, folder), ["user_id"], "p", "value", size=ROWS)
     return marked.select("event_id", F.when(F.col("p") > 70, 2).when(F.col("burst"), 1).otherwise(0).cast("smallint").alias("flag"))
 
 
@@ -363,7 +376,8 @@ def q_controls(spark, folder):
 @query("""WITH v AS (SELECT vec_id, label, embedding AS e, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM embeddings)
 SELECT vec_id, CAST(round(coalesce(list_sum([abs(CAST(e[i] AS DOUBLE) - CAST(b[i] AS DOUBLE)) for i in range(1, len(e) + 1)]) / len(e), 0), 4) AS DOUBLE) AS mad FROM v""")
 def q_mad_vec(spark, folder):
-    moved = signal.frame_signal(table(spark, folder, "embeddings"), ["label"], "vec_id", "embedding")
+    frames = stretches.numbered(table(spark, folder, "embeddings"), ["label"], "vec_id", "i")
+    moved = signal.frame_signal(frames, ["label"], "i", "embedding", ROWS)
     return moved.select("vec_id", F.round(F.col("mad").cast("double"), 4).alias("mad"))
 
 
