@@ -106,14 +106,42 @@ def smoothed5(x: str, keys: Keys, order: str) -> Column:
     return (back2 + F.coalesce(back, here) + here + F.coalesce(forth, here) + forth2) / 5
 
 
-def stabbed(points: DataFrame, spans: DataFrame, keys: Keys, at: str, first: str, last_excl: str, bucket: int) -> DataFrame:
-    """points joined with the spans that hold them, first <= at < last_excl. Both meet by keys and a bucket of the axis, so the
-    join is an equality join; a span is copied once for each bucket it touches. bucket should be about a usual span."""
-    to = lambda c: F.floor(F.col(c) / bucket).cast("long")
-    cut = spans.filter(F.col(first) < F.col(last_excl))
-    cut = cut.withColumn("_bucket", F.explode(F.sequence(to(first), F.floor((F.col(last_excl) - 1) / bucket).cast("long"))))
-    joined = points.withColumn("_bucket", to(at)).join(cut, [*keys, "_bucket"])
-    return joined.filter((F.col(first) <= F.col(at)) & (F.col(at) < F.col(last_excl))).drop("_bucket")
+#: Halvings of the axis, at most: a span's cells are of lengths 1 to 2^LEVELS.
+LEVELS = 62
+
+
+def cells_of(first: Column, last: Column, level: int) -> Column:
+    """Array of those cells of length 2^level, by number, that the integers first to last, both included, are cut into: none,
+    one at the left end, one at the right end, or both. Over all levels cells don't overlap and cover exactly the span."""
+    a, b = -F.shiftright(-first, level), F.shiftright(last + 1, level)  # whole cells of this level from a to b
+    left, right = (a < b) & (F.pmod(a, F.lit(2)) == 1), (a < b) & (F.pmod(b, F.lit(2)) == 1)
+    return F.filter(F.array(F.when(left, a), F.when(right, b - 1)), lambda c: c.isNotNull())
+
+
+def stabbed(points: DataFrame, spans: DataFrame, keys: Keys, at: str, first: str, last_excl: str, unit: float = 1) -> DataFrame:
+    """points joined with the spans that hold them, first <= at < last_excl.
+
+    A span is cut into cells of power-of-two lengths, in units of the axis, of each length two at most: a span as long as the whole
+    axis is copied 2 log n times. A point looks for the cell of each length that some span has, so the join is an equality
+    join by keys, length and cell; what lengths there are, LEVELS at most, is asked first. Near its ends a cell may reach a
+    unit further than its span, so both are compared once more."""
+    place = lambda c: F.floor(F.col(c) / unit).cast("long")
+    cut = spans.filter(F.col(first) < F.col(last_excl)).withColumns({"_a": place(first), "_b": place(last_excl)})
+    # an end on a border leaves the cell behind it out
+    cut = cut.withColumn("_b", F.when((F.col("_b") * unit >= F.col(last_excl)) & (F.col("_b") > F.col("_a")), F.col("_b") - 1).otherwise(F.col("_b")))
+    # no cell is longer than its span, and log2 is rounded up
+    longest = cut.agg(F.max(F.col("_b") - F.col("_a") + 1)).first()[0]
+    levels = range(min(int(longest).bit_length(), LEVELS) if longest else 0)
+
+    def at_level(k: int) -> Column:
+        return F.transform(cells_of(F.col("_a"), F.col("_b"), k), lambda c: F.struct(F.lit(k).alias("_level"), c.alias("_cell")))
+
+    each = F.flatten(F.array(*map(at_level, levels))) if levels else F.array().cast("array<struct<_level:int,_cell:bigint>>")
+    cut = cut.select(*spans.columns, F.inline(each))
+    used = sorted(r[0] for r in cut.select("_level").distinct().collect())  # LEVELS rows at most
+    probes = F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright(place(at), k).alias("_cell")) for k in used] or [F.struct(F.lit(-1).alias("_level"), F.lit(0).cast("long").alias("_cell"))])
+    joined = points.select("*", F.inline(probes)).join(cut, [*keys, "_level", "_cell"])
+    return joined.filter((F.col(first) <= F.col(at)) & (F.col(at) < F.col(last_excl))).drop("_level", "_cell")
 
 
 def either(flags: list[DataFrame], keys: Keys, p: str, flag: str) -> DataFrame:

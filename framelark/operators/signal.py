@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framelark.operators.runs import Keys, dilated, over
+from framelark.operators.selection import selected
 from framelark.operators.stretches import SIZE, by_stretches, numbered
 
 
@@ -73,14 +73,9 @@ def best(df: DataFrame, keys: Keys, value: str, index: str, last: bool = False)
 
 def floor_percentile(df: DataFrame, keys: Keys, value: str, share: float = 0.995) -> DataFrame:
     """One row for each key: low = the smaller of 0 and the smallest value; high = the value at floor(share * (n - 1)) of the
-    sorted ones, and 1 if that is 0. Null and NaN values are left out."""
-    rows = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, F.col(value).alias("_v"))
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys)
-    upto = F.sum("_n").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.withColumn("_upto", upto).withColumn("_at", F.floor(share * (F.sum("_n").over(w) - 1)))
-    out = counts.groupBy(*keys).agg(F.least(F.lit(0.0), F.min("_v")).alias("low"), F.min(F.when(F.col("_upto") > F.col("_at"), F.col("_v"))).alias("high"))
-    return out.withColumn("high", F.when(F.col("high") == 0, F.lit(1.0)).otherwise(F.col("high")))
+    sorted ones, and 1 if that is 0. Null and NaN values are left out. No group is sorted."""
+    found = selected(df, keys, value, lambda n: {"low": F.lit(0), "high": F.floor(share * (n - 1))})
+    return found.select(*keys, F.least(F.lit(0.0), "low").alias("low"), F.when(F.col("high") == 0, F.lit(1.0)).otherwise(F.col("high")).alias("high"))
 
 
 def loudest_nearby(df: DataFrame, at: DataFrame, keys: Keys, index: str, value: str, reach: int = 5) -> DataFrame:

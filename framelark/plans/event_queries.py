@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import asof, peaks, runs, signal, stretches
+from framelark.operators import asof, peaks, runs, selection, signal, stretches
 from framelark.plans import cues, media, steps, tracks, viewport
 from framelark.sources import recordings, subtitles
 from framelark.sources.tables import table
@@ -245,9 +245,27 @@ def q_peak(spark, folder):
     return signal.best(bins, ["user_id"], "n", "bin").join(last, "user_id")
 
 
-@query("SELECT event_type, median(value) AS middle, min(value) AS low, max(value) AS high FROM events WHERE abs(value) < 30 GROUP BY 1")
+@query("SELECT event_type, count(*) AS n, median(value) AS middle, min(value) AS low, max(value) AS high FROM events WHERE abs(value) < 30 GROUP BY 1")
 def q_median(spark, folder):
-    return events(spark, folder).filter(F.abs("value") < 30).groupBy("event_type").agg(F.median("value").alias("middle"), F.min("value").alias("low"), F.max("value").alias("high"))
+    wanted = lambda n: {"a": F.floor((n - 1) / 2), "b": F.floor(n / 2), "low": F.lit(0), "high": n - 1}
+    found = selection.selected(events(spark, folder).filter(F.abs("value") < 30), ["event_type"], "value", wanted)
+    return found.select("event_type", "n", ((F.col("a") + F.col("b")) / 2).alias("middle"), "low", "high")
+
+
+@query("SELECT median(l_extendedprice) AS median, count(*) AS n FROM lineitem")
+def q_median_all(spark, folder):
+    return selection.median(table(spark, folder, "lineitem"), [], "l_extendedprice")
+
+
+@query(f"""WITH {_E}, sp AS (SELECT event_id AS span, us AS a, us + (event_id % 17) * 86400000000 * CASE WHEN event_id % 50 = 0 THEN 20 ELSE 0.01 END AS b FROM e WHERE event_type = 'error' AND value > 20)
+SELECT k.event_id, count(*) AS n, min(span) AS first_span FROM e k JOIN sp ON a <= us AND us < b WHERE event_type = 'click' GROUP BY 1""")
+def q_stab_long(spark, folder):
+    """Spans of minutes and of most of the axis, of no entity."""
+    errors = of_type(spark, folder, "error").join(events(spark, folder).filter("value > 20").select("event_id"), "event_id")
+    long = F.when(F.col("event_id") % 50 == 0, F.lit(20.0)).otherwise(F.lit(0.01))
+    spans = errors.select(F.col("event_id").alias("span"), F.col("us").alias("a"), (F.col("us") + F.col("event_id") % 17 * DAY * long).alias("b"))
+    held = runs.stabbed(of_type(spark, folder, "click").select("event_id", "us"), spans, [], "us", "a", "b", HOUR)
+    return held.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("first_span"))
 
 
 _SPANS = "sp AS (SELECT user_id, us // 86400000000 AS day, min(us) AS a, max(us) AS b FROM e WHERE event_type = 'error' GROUP BY 1, 2)"
@@ -260,7 +278,7 @@ def error_spans(spark, folder):
 
 @query(f"WITH {_E}, {_SPANS} SELECT e.event_id, sp.day FROM e JOIN sp ON e.user_id = sp.user_id AND a <= us AND us < b")
 def q_stab(spark, folder):
-    return runs.stabbed(events(spark, folder), error_spans(spark, folder), ["user_id"], "us", "a", "b", int(DAY)).select("event_id", "day")
+    return runs.stabbed(events(spark, folder), error_spans(spark, folder), ["user_id"], "us", "a", "b", HOUR).select("event_id", "day")
 
 
 @query(f"WITH {_SEQ}, x AS (SELECT user_id, value, lead(value) OVER (PARTITION BY user_id ORDER BY p) AS y FROM s) SELECT user_id, round(corr(value, y), 6) AS r FROM x WHERE y IS NOT NULL GROUP BY 1")
