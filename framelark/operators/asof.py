@@ -118,8 +118,9 @@ def edge_shift(points: DataFrame, edges: DataFrame, keys: Keys, at: str, edge_at
 def grid_value(points: DataFrame, grid: DataFrame, t: Column, step: float, half: float = 0.5, keys: Keys = ()) -> DataFrame:
     """points with `x`, interpolated at time t from a regular grid (keys, k, x) whose sample k stands at (k + half) * step.
 
-    The ends reach on unchanged. As the grid is regular there is nothing to search: one join on k, with the next sample beside.
-    Each key's last k comes from a table with one row for each key."""
+    The grid's ends, of whatever k, reach on unchanged; a point at a missing sample, or of a key without a grid, has no x. As the grid
+    is regular there is nothing to search: one join on k, with the next sample beside. Each key's first and last k come
+    from a table with one row for each key."""
     keys = list(keys)
     w = Window.partitionBy(*keys, F.floor(F.col("_k") / 4096)).orderBy("_k")
     own = grid.select(*keys, F.col("k").cast("long").alias("_k"), F.col("x").alias("_x0"))
@@ -127,9 +128,9 @@ def grid_value(points: DataFrame, grid: DataFrame, t: Column, step: float, half:
     border = own.filter(F.col("_k") % 4096 == 0).select(*keys, (F.col("_k") - 1).alias("_k"), F.col("_x0").alias("_x2"))
     own = own.withColumn("_x1", F.when(F.lead("_k").over(w) == F.col("_k") + 1, F.lead("_x0").over(w)))
     own = own.join(border, [*keys, "_k"], "left").withColumn("_x1", F.coalesce("_x1", "_x2")).drop("_x2")
-    ends = own.groupBy(*keys).agg(F.max("_k").alias("_end"))
-    rows = points.join(ends, keys) if keys else points.crossJoin(F.broadcast(ends))  # one row without keys
+    ends = own.groupBy(*keys).agg(F.min("_k").alias("_start"), F.max("_k").alias("_end"))
+    rows = points.join(ends, keys, "left") if keys else points.crossJoin(F.broadcast(ends))  # one row without keys
     place = t / step - half
-    rows = rows.withColumn("_k", F.least(F.greatest(F.floor(place), F.lit(0)), F.col("_end")).cast("long")).drop("_end").join(own, [*keys, "_k"])
+    rows = rows.withColumn("_k", F.least(F.greatest(F.floor(place), F.col("_start")), F.col("_end")).cast("long")).drop("_start", "_end").join(own, [*keys, "_k"], "left")
     share = F.least(F.greatest(place - F.col("_k"), F.lit(0.0)), F.lit(1.0))
     return rows.withColumn("x", F.col("_x0") + share * (F.coalesce("_x1", "_x0") - F.col("_x0"))).drop("_k", "_x0", "_x1")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions.axis import ANALYSIS_FIRST, ANALYSIS_LAST, FRAME_SECONDS, RATE, Mapping, axis, seconds
-from framelark.operators import asof, runs, signal
+from framelark.operators import asof, lags, runs, signal
 from framelark.plans.fit import KEY, SECONDS, for_each, keyed, mappings, of_columns
 
 #: Shares of cuts that have to be, or may be at most, exact; speech edges may be off by so many seconds.
@@ -85,14 +85,6 @@ def check_cuts(mapping: Mapping, frames: DataFrame, onsets: DataFrame, titles: D
     return out | {"empty": verdict["empty"] if verdict else True, "pass": verdict["passes"] if verdict else True}
 
 
-def lag_correlation(points: DataFrame, grid: DataFrame, lags: list[float], step: float = VAD_STEP) -> DataFrame:
-    """(recording, variant, lag, r): Pearson correlation of y with the grid at t + lag, for points (recording, variant, t, y) and
-    grid (recording, k, x). Each point is looked up once for each lag, in one join."""
-    wide = points.withColumn("lag", F.explode(F.array(*map(F.lit, lags))))
-    placed = asof.grid_value(wide, grid, F.col("t") + F.col("lag"), step, keys=[KEY])
-    return placed.groupBy(KEY, "variant", "lag").agg(F.corr("x", "y").alias("r"))
-
-
 LAGS = [round(-1.5 + 0.02 * i, 2) for i in range(151)]
 
 
@@ -103,8 +95,8 @@ def wrong_speed(mapping: Mapping) -> Mapping:
     return replace(mapping, film_fps=other, t0=mapping.t0 + mapping.head * (1 / fps - 1 / other))
 
 
-def lag_scan(mapping: Mapping | DataFrame, vad: DataFrame, speaking: DataFrame, first: int = ANALYSIS_FIRST, last: int = ANALYSIS_LAST, lags: list[float] = LAGS) -> DataFrame:
-    """lag_correlation() of detected speech (recording, k, v every 10 ms), smoothed, and annotated speech (p, y), for the mapping and
+def lag_scan(mapping: Mapping | DataFrame, vad: DataFrame, speaking: DataFrame, first: int = ANALYSIS_FIRST, last: int = ANALYSIS_LAST, at: list[float] = LAGS) -> DataFrame:
+    """lags.lag_correlation() of detected speech (recording, k, v every 10 ms), smoothed, and annotated speech (p, y), for the mapping and
     one with the wrong speed."""
     vad = keyed(vad).select(KEY, F.col("k").cast("long").alias("k"), F.col("v").cast("double").alias("v"))
     grid = runs.smoothed(vad, [KEY], "k", "v", "x").select(KEY, "k", "x")
@@ -112,7 +104,7 @@ def lag_scan(mapping: Mapping | DataFrame, vad: DataFrame, speaking: DataFrame,
     p = p.join(speaking.select("p", F.col("y").cast("double").alias("y")), "p", "left").select("p", F.coalesce("y", F.lit(0.0)).alias("y"))
     own, middle = of_columns(), (F.col("p") + 0.5) * FRAME_SECONDS
     both = F.inline(F.array(*[F.struct(F.lit(name).alias("variant"), m.to_source(middle).alias("t")) for name, m in (("mapping", own), ("wrong_speed", wrong_speed(own)))]))
-    return lag_correlation(mappings(mapping, vad).crossJoin(p).select(KEY, "y", both), grid, lags)
+    return lags.lag_correlation(mappings(mapping, vad).crossJoin(p).select(KEY, "y", both), grid, [KEY], "variant", at, VAD_STEP)
 
 
 def speech_edges(vad: DataFrame) -> DataFrame:

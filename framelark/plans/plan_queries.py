@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import peaks, runs
+from framelark.operators import lags, peaks, runs, stretches
 from framelark.plans import builders, checks, fit, media, spikes, steps, tracks, viewport
 from framelark.plans.event_queries import _E, _ON, _SEQ, DAY, HOUR, MAPPING, events, of_type, query, sequence
 from framelark.sources import recordings
@@ -53,16 +53,19 @@ def q_check_cuts(spark, folder):
     return stats.filter("segment <> 'random'")
 
 
-@query(f"""WITH {_SEQ}, g AS (SELECT user_id AS recording, p AS k, value AS x FROM s), e AS (SELECT user_id AS recording, max(p) AS m FROM s GROUP BY 1),
-q AS (SELECT s.user_id AS recording, lag, value * value AS y, (((p + 0.5) * CAST(0.01 AS DOUBLE) + CAST(0.003 AS DOUBLE)) + lag) / CAST(0.01 AS DOUBLE) - 0.5 AS place FROM s, (VALUES (CAST(-0.02 AS DOUBLE)), (0.0), (0.01)) AS l(lag)),
+@query("""WITH s AS (SELECT event_type AS recording, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS p FROM events), e AS (SELECT recording, max(p) AS m FROM s GROUP BY 1),
+v AS (SELECT * FROM (VALUES ('mapping', CAST(1 AS DOUBLE)), ('wrong_speed', CAST(1.04 AS DOUBLE))) AS v(variant, speed)), l AS (SELECT CAST(round(range * CAST(0.02 AS DOUBLE) - 1.5, 2) AS DOUBLE) AS lag FROM range(151)),
+q AS (SELECT s.recording, variant, lag, value * value AS y, (((p + 0.5) * CAST(0.01 AS DOUBLE) + CAST(0.003 AS DOUBLE)) * speed + lag) / CAST(0.01 AS DOUBLE) - 0.5 AS place FROM s, v, l),
 r AS (SELECT q.*, least(greatest(floor(place), 0), m) AS k FROM q JOIN e USING (recording))
-SELECT r.recording, 'mapping' AS variant, lag, round(corr(a.x + least(greatest(place - r.k, 0), 1) * (coalesce(b.x, a.x) - a.x), y), 6) AS r
-FROM r JOIN g a ON a.recording = r.recording AND a.k = r.k LEFT JOIN g b ON b.recording = r.recording AND b.k = r.k + 1 GROUP BY 1, 3""")
+SELECT r.recording, variant, lag, round(corr(a.value + least(greatest(place - r.k, 0), 1) * (coalesce(b.value, a.value) - a.value), y), 6) AS r
+FROM r JOIN s a ON a.recording = r.recording AND a.p = r.k LEFT JOIN s b ON b.recording = r.recording AND b.p = r.k + 1 GROUP BY 1, 2, 3""")
 def q_lag_scan(spark, folder):
-    s = sequence(spark, folder).withColumnRenamed("user_id", "recording")
-    grid = s.select("recording", F.col("p").alias("k"), F.col("value").alias("x"))
-    points = s.select("recording", F.lit("mapping").alias("variant"), ((F.col("p") + 0.5) * 0.01 + 0.003).alias("t"), (F.col("value") * F.col("value")).alias("y"))
-    return checks.lag_correlation(points, grid, [-0.02, 0.0, 0.01]).withColumn("r", F.round("r", 6))
+    s = stretches.numbered(events(spark, folder).select(F.col("event_type").alias("recording"), "ts", "event_id", "value"), ["recording"], ["ts", "event_id"], "k")
+    t = (F.col("k") + 0.5) * 0.01 + 0.003
+    both = F.inline(F.array(*[F.struct(F.lit(name).alias("variant"), (t * speed).alias("t")) for name, speed in (("mapping", 1.0), ("wrong_speed", 1.04))]))
+    points = s.select("recording", (F.col("value") * F.col("value")).alias("y"), both)
+    found = lags.lag_correlation(points, s.select("recording", "k", F.col("value").alias("x")), ["recording"], "variant", checks.LAGS, 0.01, block=2.0)
+    return found.withColumn("r", F.round("r", 6))
 
 
 @query(f"""WITH {_E}, h AS (SELECT k.user_id, CAST(round_even(k.us / 3.6e9 - x.us / 3.6e9, 0) AS BIGINT) AS f FROM e k JOIN e x USING (user_id) WHERE k.event_type = 'click' AND x.event_type = 'error'),
