@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions.axis import N_FRAMES, RATE, Mapping
+from framelark.operators import ordered
+from framelark.plans.fit import KEY, MAPPING, of_columns
 
 
 def picture_plan(frame_map: DataFrame) -> DataFrame:
@@ -22,15 +24,22 @@ def dropped_frames(frames: DataFrame, plan: DataFrame) -> DataFrame:
     return frames.join(plan.select(F.col("file_frame").alias("i")).distinct(), "i", "left_anti")
 
 
-def sound_plan(spark: SparkSession, mapping: Mapping, rate: int = 48_000) -> DataFrame:
-    """(segment, first_sample, n_samples, from_time, speed): output samples of each stretch, exact to the sample, and where in the
-    source it starts. Stretches without frames are left out."""
-    cut = min(mapping.brk, N_FRAMES)
-    rows = [(0, 0, cut), (1, cut, N_FRAMES)]
-    df = spark.createDataFrame([r for r in rows if r[2] > r[1]], "segment int, p0 long, p1 long")
+def sound_plans(mappings: DataFrame, rate: int = 48_000) -> DataFrame:
+    """(recording, segment, first_sample, n_samples, from_time, speed) for each of mappings (recording, MAPPING): output samples of each
+    stretch, exact to the sample, and where in the source it starts. Stretches without frames are left out."""
+    cut = F.least(F.col("brk"), F.lit(N_FRAMES)).cast("long")
+    stretch = lambda k, p0, p1: F.struct(F.lit(k).alias("segment"), p0.alias("p0"), p1.alias("p1"))
+    both = F.inline(F.array(stretch(0, F.lit(0).cast("long"), cut), stretch(1, cut, F.lit(N_FRAMES).cast("long"))))
     samples = lambda p: F.floor(p * rate / RATE).cast("long")
-    return df.select("segment", samples(F.col("p0")).alias("first_sample"), (samples(F.col("p1")) - samples(F.col("p0"))).alias("n_samples"),
-                     mapping.source_time(F.col("p0")).alias("from_time"), F.lit(RATE / mapping.film_fps).alias("speed"))
+    rows = mappings.select(KEY, *MAPPING, both).filter("p1 > p0")
+    return rows.select(KEY, "segment", samples(F.col("p0")).alias("first_sample"), (samples(F.col("p1")) - samples(F.col("p0"))).alias("n_samples"),
+                       of_columns().source_time(F.col("p0")).alias("from_time"), (RATE / F.col("film_fps")).alias("speed"))
+
+
+def sound_plan(spark: SparkSession, mapping: Mapping, rate: int = 48_000) -> DataFrame:
+    """sound_plans() of one mapping."""
+    one = spark.range(1).select(F.lit(0).alias(KEY), F.inline(F.array(mapping.struct())))
+    return sound_plans(one, rate).drop(KEY)
 
 
 def mono(samples: DataFrame) -> DataFrame:
@@ -38,9 +47,10 @@ def mono(samples: DataFrame) -> DataFrame:
     return samples.groupBy("n").agg(F.avg("x").alias("x"))
 
 
-def mux_order(packets: DataFrame) -> DataFrame:
-    """Packets (stream, dts, and more) by decode time; at one time the lower stream first."""
-    return packets.orderBy("dts", "stream")
+def mux_plan(packets: DataFrame, size: str = "size", keys: list[str] = ()) -> DataFrame:
+    """Packets (keys, stream, seq, dts, and more) with where each goes: place, by decode time, at one time the lower stream first and
+    within it the lower seq; and offset, the bytes before it. Packets without a decode time are in no file. keys: of files."""
+    return ordered.laid_out(packets.filter(F.col("dts").isNotNull()), list(keys), ["dts", "stream", "seq"], size)
 
 
 def sheet_frames(candidates: DataFrame, n: int, first: int, last: int, seed: int = 0) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import lags, peaks, runs, stretches
+from framelark.operators import lags, ordered, peaks, runs, stretches
 from framelark.plans import builders, checks, fit, media, spikes, steps, tracks, viewport
 from framelark.plans.event_queries import _E, _ON, _SEQ, DAY, HOUR, MAPPING, events, of_type, query, sequence
 from framelark.sources import recordings
@@ -123,17 +123,35 @@ def q_annotation_track(spark, folder):
     return body.select(F.explode("b.labels").alias("label", "spans")).select("label", F.explode("spans").alias("s")).select("label", F.col("s")[0].alias("a"), F.col("s")[1].alias("b"))
 
 
-@query("SELECT round(turn * CAST(2.5 AS DOUBLE), 3) AS a, round(turn * CAST(2.5 AS DOUBLE) + 2, 3) AS b, text FROM conversations WHERE conv_id < 50")
+@query("SELECT conv_id, round(turn * CAST(2.5 AS DOUBLE), 3) AS a, round(turn * CAST(2.5 AS DOUBLE) + 2, 3) AS b, text FROM conversations")
 def q_text_track(spark, folder):
-    rows = table(spark, folder, "conversations").filter("conv_id < 50").select((F.col("turn") * 2.5).alias("start"), (F.col("turn") * 2.5 + 2).alias("end"), "text")
-    return builders.cue_track(rows, "en").select(F.inline(F.from_json("body", "segments array<struct<a:double,b:double,text:string>>")["segments"]))
+    """A document for each conversation, in parts of a few segments; each part is read alone."""
+    rows = table(spark, folder, "conversations").select("conv_id", (F.col("turn") * 2.5).alias("a"), (F.col("turn") * 2.5 + 2).alias("b"), "text")
+    parts = tracks.text_parts(rows, ["conv_id"], 3)
+    inside = F.regexp_replace(F.regexp_replace("text", r'^(\{"segments":\[|,)', ""), r"\]\}$", "")
+    return parts.select("conv_id", F.inline(F.from_json(F.concat(F.lit("["), inside, F.lit("]")), "array<struct<a:double,b:double,text:string>>")))
 
 
 @query("SELECT event_id AS i, round(round(CAST(CAST(value AS FLOAT) AS DOUBLE), 5), 3) AS v FROM events")
 def q_series_track(spark, folder):
-    track = tracks.series(events(spark, folder).select(F.col("event_id").alias("i"), F.col("value").alias("v")), "s", "S", 0.0, 0.04)
-    body = track.select(F.posexplode(F.from_json("body", "values array<double>")["values"]).alias("i", "v"))
-    return body.select(F.col("i").cast("long").alias("i"), F.round("v", 3).alias("v"))
+    """One document of all events, in parts of some hundred values."""
+    parts = tracks.series_parts(events(spark, folder).select(F.col("event_id").alias("i"), F.col("value").alias("v")), 0.0, 0.04, part=500)
+    inside = F.regexp_replace(F.regexp_replace("text", r"^(.*\[|,)", ""), r"\]\}$", "")
+    body = parts.select("part", F.posexplode(F.from_json(F.concat(F.lit("["), inside, F.lit("]")), "array<double>")).alias("at", "v"))
+    return body.select((F.col("part") * 500 + F.col("at")).alias("i"), F.round("v", 3).alias("v"))
+
+
+@query("""WITH p AS (SELECT l_linenumber AS stream, l_orderkey * 10000000 + l_partkey AS seq, l_shipdate AS dts, CAST(l_quantity AS BIGINT) AS size FROM lineitem)
+SELECT stream, seq, row_number() OVER w - 1 AS place, CAST(sum(size) OVER w - size AS BIGINT) AS "offset" FROM p WINDOW w AS (ORDER BY dts, stream, seq ROWS UNBOUNDED PRECEDING)""")
+def q_mux(spark, folder):
+    rows = table(spark, folder, "lineitem").select(F.col("l_linenumber").alias("stream"), (F.col("l_orderkey") * 10_000_000 + F.col("l_partkey")).alias("seq"), F.col("l_shipdate").alias("dts"), F.col("l_quantity").cast("long").alias("size"))
+    return media.mux_plan(rows).select("stream", "seq", "place", "offset")
+
+
+@query(f"""{_SPIKES} SELECT patient, row_number() OVER (PARTITION BY patient ORDER BY unit_id, t) - 1 AS place, CAST(CAST(t AS FLOAT) AS DOUBLE) AS value FROM t""")
+def q_spike_bytes(spark, folder):
+    _, fired, clock = recorded(spark, folder)
+    return ordered.read_numbers(tracks.spike_parts(spikes.spike_times(fired, clock, 2e11, 7 * DAY), 16), ["patient"])
 
 
 @query("SELECT DISTINCT CAST(c_custkey % 40 AS INTEGER) AS patient FROM customer")
@@ -148,10 +166,14 @@ def q_chosen_stream(spark, folder):
     return steps.chosen_stream(streams, "NATION_7")
 
 
-@query("""SELECT 0 AS segment, CAST(0 AS BIGINT) AS first_sample, CAST(97210 * 1920 AS BIGINT) AS n_samples, 25 / (CAST(24000 AS DOUBLE) / 1001) + 0 AS from_time, 25 / (CAST(24000 AS DOUBLE) / 1001) AS speed
-UNION ALL SELECT 1, CAST(97210 * 1920 AS BIGINT), CAST((125743 - 97210) * 1920 AS BIGINT), (97210 + 25 + 11020) / (CAST(24000 AS DOUBLE) / 1001) + 0, 25 / (CAST(24000 AS DOUBLE) / 1001)""")
+@query("""WITH m AS (SELECT p_partkey AS recording, CASE p_size % 3 WHEN 0 THEN CAST(25 AS DOUBLE) WHEN 1 THEN CAST(24000 AS DOUBLE) / 1001 ELSE CAST(24 AS DOUBLE) END AS fps, p_size AS head, p_partkey * 97 % 140000 AS brk, p_size * 11 AS gap FROM part),
+s AS (SELECT recording, fps, head, brk, gap, 0 AS segment, 0 AS p0, least(brk, 125743) AS p1 FROM m UNION ALL SELECT recording, fps, head, brk, gap, 1, least(brk, 125743), 125743 FROM m)
+SELECT recording, segment, CAST(p0 * 1920 AS BIGINT) AS first_sample, CAST((p1 - p0) * 1920 AS BIGINT) AS n_samples, (p0 + head + CASE WHEN p0 >= brk THEN gap ELSE 0 END) / fps + 0 AS from_time, 25 / fps AS speed FROM s WHERE p1 > p0""")
 def q_sound_plan(spark, folder):
-    return media.sound_plan(spark, MAPPING)
+    size = F.col("p_size").cast("long")
+    fps = F.when(size % 3 == 0, 25.0).when(size % 3 == 1, 24000 / 1001).otherwise(24.0)
+    m = table(spark, folder, "part").select(F.col("p_partkey").alias("recording"), fps.alias("film_fps"), size.alias("head"), (F.col("p_partkey") * 97 % 140_000).alias("brk"), (size * 11).alias("gap"), F.lit(0.0).alias("t0"))
+    return media.sound_plans(m)
 
 
 @query("""SELECT c_nationkey AS patient, c_custkey AS unit_id, CAST(row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) - 1 AS INTEGER) AS row FROM customer WHERE c_acctbal > 0 AND c_nationkey IN (3, 7, 11)""")

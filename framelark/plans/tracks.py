@@ -1,14 +1,19 @@
 """Tracks for viewers: four kinds of JSON document, a binary of spike times, and a manifest of what there is.
 
-Each function takes a DataFrame and gives rows (id, header fields, body JSON); write_tracks() stores them. A track is one
-document, so its rows meet in one row."""
+Each function takes a DataFrame and gives rows (id, header fields, body JSON); write_tracks() stores them. There a track is one
+row, which is for tracks that a viewer loads whole. interval_parts(), text_parts(), series_parts() and spike_parts() give the same
+bodies in ordered parts, for tracks of any length; write_document() stores those."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framelark.operators import ordered
+
 HEADER = ["id", "name", "type", "group", "description"]
 
 
@@ -37,9 +42,7 @@ def text(df: DataFrame, id: str, name: str, group: str = "", description: str =
 
 def series(df: DataFrame, id: str, name: str, t0: float, dt: float, group: str = "", unit: str = "", description: str = "") -> DataFrame:
     """From (i, v): values in single precision, rounded to five digits; those that aren't finite become null."""
-    v = F.col("v").cast("float").cast("double")
-    finite = F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")), F.round(v, 5))
-    body = df.select(F.struct("i", finite.alias("v")).alias("s")).groupBy().agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["v"]).alias("values"))
+    body = df.select(F.struct("i", finite(F.col("v")).alias("v")).alias("s")).groupBy().agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["v"]).alias("values"))
     return _head(body.select(F.to_json(F.struct(F.lit(t0).alias("t0"), F.lit(dt).alias("dt"), F.lit(unit).alias("unit"), "values"), {"ignoreNullFields": "false"}).alias("body")), "series", id, name, group, description)
 
 
@@ -50,26 +53,48 @@ def spike_offsets(spikes: DataFrame) -> DataFrame:
     return counts.withColumn("offset", F.sum("count").over(w) - F.col("count"))
 
 
+def spike_parts(spikes: DataFrame, part: int = ordered.NUMBERS) -> DataFrame:
+    """(patient, part, offset, data): each unit's times sorted, as little-endian single-precision numbers, units one after the
+    other; parts joined in order are a patient's binary."""
+    return ordered.numbers(spikes.select("patient", "unit_id", "t"), ["patient"], ["unit_id", "t"], "t", part)
+
+
 def spike_binary(spikes: DataFrame) -> DataFrame:
-    """(patient, data): each unit's times sorted, as little-endian single-precision numbers, units one after the other."""
-    as_bytes = _float_bytes(F.col("t").cast("float"))
-    each = spikes.groupBy("patient", "unit_id").agg(F.array_sort(F.collect_list(F.struct(F.col("t").cast("float").alias("t"), as_bytes.alias("x")))).alias("times"))
-    each = each.withColumn("hex", F.array_join(F.transform("times", lambda s: s["x"]), ""))
-    joined = each.groupBy("patient").agg(F.array_sort(F.collect_list(F.struct("unit_id", "hex"))).alias("units"))
-    return joined.select("patient", F.unhex(F.array_join(F.transform("units", lambda u: u["hex"]), "")).alias("data"))
-
-
-def _float_bytes(x: Column) -> Column:
-    """Hex of the four bytes of a single-precision number, least significant first. The number is taken apart by arithmetic:
-    SQL has no cast to its bits. Not for NaN and infinity."""
-    d = F.abs(x.cast("double"))
-    e = F.greatest(F.floor(F.log2(F.when(d > 0, d).otherwise(F.lit(1.0)))), F.lit(-126)).cast("int")
-    e = F.when(d >= F.pow(F.lit(2.0), e + 1), e + 1).when((d < F.pow(F.lit(2.0), e)) & (e > -126), e - 1).otherwise(e)
-    whole = F.rint(d / F.pow(F.lit(2.0), (e - 23).cast("double"))).cast("long")
-    bits = F.when(d == 0, F.lit(0)).when(whole < (1 << 23), whole).otherwise(whole - (1 << 23) + (e + 127).cast("long") * (1 << 23))
-    bits = bits + F.when(x < 0, F.lit(1 << 31)).otherwise(F.lit(0))
-    byte = lambda i: F.lpad(F.hex(F.floor(bits / (1 << 8 * i)).cast("long") % 256), 2, "0")
-    return F.concat(*[byte(i) for i in range(4)])
+    """(patient, data): spike_parts() joined, for binaries that fit into a row."""
+    parts = spike_parts(spikes).groupBy("patient").agg(F.array_sort(F.collect_list(F.struct("part", F.hex("data").alias("x")))).alias("parts"))
+    return parts.select("patient", F.unhex(F.array_join(F.transform("parts", lambda p: p["x"]), "")).alias("data"))
+
+
+def finite(v: Column) -> Column:
+    """In single precision, rounded to five digits; null if it isn't finite."""
+    v = v.cast("float").cast("double")
+    return F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")), F.round(v, 5))
+
+
+def series_parts(df: DataFrame, t0: float, dt: float, unit: str = "", keys: list[str] = (), part: int = ordered.PART) -> DataFrame:
+    """(keys, part, offset, text): the body that series() gives, of each key, from (keys, i, v)."""
+    head = f'{{"t0":{json.dumps(t0)},"dt":{json.dumps(dt)},"unit":{json.dumps(unit)},"values":['
+    text = F.coalesce(_json(finite(F.col("v"))), F.lit("null"))
+    return ordered.document(df.select(*keys, "i", "v"), list(keys), "i", text, head, "]}", part=part)
+
+
+def text_parts(df: DataFrame, keys: list[str] = (), part: int = ordered.PART) -> DataFrame:
+    """(keys, part, offset, text): the body that text() gives, of each key, from (keys, a, b, text)."""
+    rows = df.select(*keys, F.round("a", 3).alias("a"), F.round("b", 3).alias("b"), "text")
+    return ordered.document(rows, list(keys), ["a", "b", "text"], F.to_json(F.struct("a", "b", "text")), '{"segments":[', "]}", part=part)
+
+
+def interval_parts(df: DataFrame, part: int = ordered.PART) -> DataFrame:
+    """(label, part, offset, text): of each label the array of its intervals, rounded to milliseconds, from (label, order, a, b);
+    a row of nulls keeps a label without intervals."""
+    pair = F.when(F.col("a").isNotNull(), F.to_json(F.array(F.round("a", 3), F.round("b", 3))))
+    return ordered.document(df.select("label", "order", "a", "b"), ["label"], ["order", "a"], pair, part=part)
+
+
+def _json(v: Column) -> Column:
+    """A number as JSON; null stays null."""
+    inside = F.to_json(F.array(v))
+    return F.when(v.isNotNull(), inside.substr(F.lit(2), F.length(inside) - 2))
 
 
 def spikes(units: DataFrame, times: DataFrame, id: str, name: str, group: str = "", description: str = "") -> DataFrame:

@@ -142,7 +142,7 @@ def test_media_plans(spark):
     assert plan[0]["n_samples"] == 97210 * 48000 // 25 and plan[0]["n_samples"] + plan[1]["n_samples"] == 125743 * 1920
     assert plan[0]["speed"] == pytest.approx(25 * 1001 / 24000)
     packets = spark.createDataFrame([(1, 5), (0, 5), (1, 2)], "stream int, dts long")
-    assert [(r["stream"], r["dts"]) for r in media.mux_order(packets).collect()] == [(1, 2), (0, 5), (1, 5)]
+    assert [(r["stream"], r["dts"]) for r in media.mux_plan(packets.withColumn("seq", F.lit(0)).withColumn("size", F.lit(3))).orderBy("place").collect()] == [(1, 2), (0, 5), (1, 5)]
     picks = media.sheet_frames(spark.range(100).withColumnRenamed("id", "p"), 6, 10, 90)
     assert picks.count() == 6 and picks.agg(F.min("p")).first()[0] > 10
     assert "<td>&lt;x&gt;</td>" in media.report_html("t", [{"a": "<x>"}])
