@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelark.sources.shared import checkpointed, shared_folder
 
-__all__ = ["checkpointed", "documents", "emptied", "left_join_by_key", "let", "long_key", "own_tables", "written"]
+__all__ = ["checkpointed", "documents", "emptied", "given_back", "left_join_by_key", "let", "long_key", "own_tables", "written"]
 
 #: A key that holds at least 1 / HOT_PARTS of all rows is hot; so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 1000
@@ -85,5 +87,13 @@ def emptied(spark: SparkSession, own: list[str], but: DataFrame) -> None:
         own.remove(path)
 
 
+def given_back() -> None:
+    """Gives the memory that this Python worker has freed back to the system. Workers live on between tasks and stages, and
+    what they keep for later counts against the executor meanwhile."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelark.llm.common import given_back
 from framelark.llm.decontaminate import mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -454,11 +455,6 @@ def _pieces(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-@lru_cache(1)
-def _encoder(model: bytes, seed: int, dropout: float) -> Encoder:
-    return Encoder(_pieces(model), seed, dropout)
-
-
 def _model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -479,7 +475,7 @@ def encode(
     id_at, text_at = names.index(id_col), names.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, seed, dropout)
+        encoder = Encoder(_pieces(shared.value), seed, dropout)
         for batch in batches:
             key, text = batch.column(id_at), batch.column(text_at)
             first, held, texts = 0, 0, []
@@ -498,6 +494,8 @@ def encode(
                     out.append(pa.array([decode_ids(encoder.pieces, x) == t for x, t in zip(np.split(ids, ends[:-1]), texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(out, [*names, "ids", *["lossless"] * check])
                 first, held, texts = i + 1, 0, []
+        del encoder  # what it remembers is as large as the rest of a worker
+        given_back()
 
     schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *[T.StructField("lossless", T.BooleanType())] * check])
     return kept.toDF(*[f"_{i}" for i in range(len(names))]).mapInArrow(rows, schema)  # any column name will do
