@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions.axis import N_FRAMES, RATE, Mapping
-from framelark.operators import ordered
+from framelark.operators import ordered, resample
 from framelark.plans.fit import KEY, MAPPING, of_columns
 
 
@@ -69,6 +69,12 @@ def report_html(title: str, rows: list[dict]) -> str:
     return f"<!DOCTYPE html><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>{head}</tr>{body}</table>"
 
 
-def resample_position(n: Column, mapping: Mapping, rate: int, source_rate: int) -> Column:
-    """Source sample position, fractional, of output sample n of the first stretch."""
-    return mapping.to_source(n / rate) * source_rate
+def retimed_sound(samples: DataFrame, mappings: DataFrame, source_rate: float, rate: int = 48_000, keys: list[str] = ()) -> DataFrame:
+    """(recording, keys, segment, first_sample, y): sound (recording, keys, start, x) of source_rate on the axis, at rate samples
+    a second, by sound_plans(). keys: what parts a recording's sound beside, such as channels."""
+    plans = sound_plans(mappings, rate)
+    step = F.col("speed") * source_rate / rate
+    plan = plans.select(KEY, "segment", "first_sample", "n_samples", F.rint(F.col("from_time") * source_rate).alias("start"), step.alias("step"))
+    if keys:
+        plan = samples.select(KEY, *keys).distinct().join(plan, KEY)
+    return resample.resampled(samples, plan, [KEY, *keys])

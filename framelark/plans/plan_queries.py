@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import lags, ordered, peaks, runs, stretches
+from framelark.operators import lags, ordered, peaks, resample, runs, stretches
 from framelark.plans import builders, checks, fit, media, spikes, steps, tracks, viewport
 from framelark.plans.event_queries import _E, _ON, _SEQ, DAY, HOUR, MAPPING, events, of_type, query, sequence
 from framelark.sources import recordings
@@ -176,6 +176,24 @@ def q_sound_plan(spark, folder):
     return media.sound_plans(m)
 
 
+@query("""WITH s AS (SELECT event_type AS recording, value AS x, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events),
+c AS (SELECT recording, count(*) AS n FROM s GROUP BY 1), p AS (SELECT recording, 0 AS segment, 0 AS first_sample, n // 3 AS n_samples, CAST(5 AS DOUBLE) AS start FROM c UNION ALL SELECT recording, 1, n // 3, n // 2, CAST(n // 2 AS DOUBLE) FROM c),
+o AS (SELECT recording, segment, first_sample + k.range AS sample, start, start + k.range * CAST(1.25 AS DOUBLE) AS place FROM p, range(100000) k WHERE k.range < n_samples),
+t AS (SELECT o.*, floor(place) + w.range AS i, place - floor(place) - w.range AS d FROM o, range(-10, 11) w),
+w AS (SELECT t.*, CASE WHEN abs(d) < 10 THEN 0.8 * CASE WHEN d = 0 THEN 1 ELSE sin(pi() * 0.8 * d) / (pi() * 0.8 * d) END * (0.42 + 0.5 * cos(pi() * abs(d) / 10) + 0.08 * cos(2 * pi() * abs(d) / 10)) ELSE 0 END AS weight FROM t)
+SELECT w.recording, segment, sample, round(coalesce(sum(weight * x), 0), 6) AS y FROM w LEFT JOIN s ON s.recording = w.recording AND s.i = w.i AND w.i >= start GROUP BY 1, 2, 3""")
+def q_resample(spark, folder):
+    """Events' values by kind as sound, in chunks of 100, four fifths as fast, a third of them and, after a cut, a half."""
+    s = stretches.numbered(events(spark, folder).select(F.col("event_type").alias("recording"), "ts", "event_id", "value"), ["recording"], ["ts", "event_id"], "i")
+    chunks = s.groupBy("recording", (F.floor(F.col("i") / 100) * 100).alias("start")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda v: v["value"]).alias("x"))
+    n = F.col("n")
+    part = lambda k, first, size, start: F.struct(F.lit(k).alias("segment"), F.floor(first).alias("first_sample"), F.floor(size).alias("n_samples"), start.cast("double").alias("start"), F.lit(1.25).alias("step"))
+    plan = s.groupBy("recording").agg(F.count(F.lit(1)).alias("n")).select("recording", F.inline(F.array(part(0, F.lit(0.0), n / 3, F.lit(5)), part(1, n / 3, n / 2, F.floor(n / 2)))))
+    made = resample.resampled(chunks, plan, ["recording"], crossings=8, block=300, cell=256)
+    rows = made.select("recording", "segment", "first_sample", F.posexplode("y").alias("at", "y"))
+    return rows.select("recording", "segment", (F.col("first_sample") + F.col("at")).alias("sample"), F.round("y", 6).alias("y"))
+
+
 @query("""SELECT c_nationkey AS patient, c_custkey AS unit_id, CAST(row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) - 1 AS INTEGER) AS row FROM customer WHERE c_acctbal > 0 AND c_nationkey IN (3, 7, 11)""")
 def q_unit_rows(spark, folder):
     units = table(spark, folder, "customer").select(F.col("c_nationkey").alias("patient"), F.col("c_mktsegment").alias("region"), F.col("c_custkey").alias("unit_id"), (F.col("c_acctbal") > 0).alias("single_unit"))
