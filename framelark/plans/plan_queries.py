@@ -11,6 +11,7 @@ from framelark.plans import builders, checks, fit, media, spikes, steps, tracks,
 from framelark.plans.event_queries import _E, _ON, _SEQ, DAY, HOUR, MAPPING, events, of_type, query, sequence
 from framelark.sources import recordings
 from framelark.sources.tables import table
+from framelark.streaming import rechunk
 
 #: A recording for each user: its events are frames, some thousand seconds apart, and the axis has 200 frames.
 SLOW = axis.Mapping(0.0001, 3, 120, 20, 0.0)
@@ -194,6 +195,19 @@ def q_resample(spark, folder):
     return rows.select("recording", "segment", (F.col("first_sample") + F.col("at")).alias("sample"), F.round("y", 6).alias("y"))
 
 
+@query("""WITH s AS (SELECT event_type AS k, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events), n AS (SELECT k, max(i) AS m FROM s GROUP BY 1)
+SELECT k, i // 64 AS number, count(*) AS n, arg_min(value, i) AS first, round(sum(value * (i % 64)), 4) AS weighted FROM s JOIN n USING (k) WHERE k <> 'view' OR (i // 64 + 1) * 64 <= m + 1 GROUP BY 1, 2""")
+def q_rechunk(spark, folder):
+    """Events' values by kind in chunks of 50, cut anew into chunks of 64; views haven't ended, so their rest isn't out."""
+    s = stretches.numbered(events(spark, folder).select(F.col("event_type").alias("k"), "ts", "event_id", "value"), ["k"], ["ts", "event_id"], "i", "m")
+    chunks = s.groupBy("k", F.floor(F.col("i") / 50).alias("seq")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda v: v["value"]).alias("x"), ((F.max("i") + 1 == F.max("m")) & (F.col("k") != "view")).alias("last")
+    )
+    made = rechunk.rechunked_batch(chunks, ["k"], 64)
+    weighted = F.aggregate(F.transform("x", lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v)
+    return made.select("k", "number", F.size("x").cast("long").alias("n"), F.col("x")[0].alias("first"), F.round(weighted, 4).alias("weighted"))
+
+
 @query("""SELECT c_nationkey AS patient, c_custkey AS unit_id, CAST(row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) - 1 AS INTEGER) AS row FROM customer WHERE c_acctbal > 0 AND c_nationkey IN (3, 7, 11)""")
 def q_unit_rows(spark, folder):
     units = table(spark, folder, "customer").select(F.col("c_nationkey").alias("patient"), F.col("c_mktsegment").alias("region"), F.col("c_custkey").alias("unit_id"), (F.col("c_acctbal") > 0).alias("single_unit"))

@@ -13,7 +13,7 @@ from framelark.functions.axis import IDENTITY, Mapping
 from framelark.operators import runs
 from framelark.plans import builders, checks, cues, steps, tracks
 from framelark.plans.fit import fit, frame_map
-from framelark.sources import recordings, subtitles
+from framelark.sources import recordings, subtitles, versions
 
 
 @dataclass(frozen=True)
@@ -37,13 +37,13 @@ class Project:
 
     def document(self, name: str) -> dict | None:
         """A document that a step has stored."""
-        if not steps.exists(self.spark, f"{self.out}/{name}"):
-            return None
-        return json.loads(self.spark.read.text(f"{self.out}/{name}").first()[0])
+        row = versions.read(self.spark, f"{self.out}/{name}", "value string").first()
+        return None if row is None else json.loads(row["value"])
 
     def store(self, name: str, value: dict) -> None:
+        """Puts a document in place of an older one, at once: a run that is ended meanwhile leaves the older one."""
         row = self.spark.createDataFrame([(json.dumps(value, default=str),)], "value string")
-        row.coalesce(1).write.mode("overwrite").text(f"{self.out}/{name}")
+        versions.write(row.coalesce(1), f"{self.out}/{name}")
 
     def mapping(self) -> Mapping:
         stored = self.document("mapping")
@@ -98,11 +98,9 @@ class Project:
 
 
 def registered(spark: SparkSession, registry: str, fingerprint: str, description: str, document: dict, verification: dict | None) -> DataFrame:
-    """Puts a copy into the registry, a table of JSON lines (fingerprint, description, mapping, verification), in place of an older
-    entry of the same fingerprint, and gives the new registry."""
+    """Puts a copy into the registry, a table (fingerprint, description, mapping, verification) of versions, in place of an older entry
+    of the same fingerprint, and gives the new registry. Until that stands, the older one can be read."""
     schema = "fingerprint string, description string, mapping string, verification string"
     new = spark.createDataFrame([(fingerprint, description, json.dumps(document["mapping"]), json.dumps(verification))], schema)
-    old = spark.read.schema(schema).json(registry) if steps.exists(spark, registry) else new.limit(0)
-    rows = steps.upserted(old, new, "fingerprint").collect()  # copies that somebody has registered by hand
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(registry)
-    return spark.read.schema(schema).json(registry)
+    versions.write(steps.upserted(versions.read(spark, registry, schema), new, "fingerprint"), registry)
+    return versions.read(spark, registry, schema)

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelark.sources import versions
+
 
 def signature(parts: dict) -> str:
     return json.dumps(parts, sort_keys=True, separators=(",", ":"), default=str)
@@ -34,6 +36,9 @@ class Step:
     needs: list[str] = field(default_factory=list)
 
 
+_STAMP = "step string, signature string"
+
+
 class Runner:
     """Steps in order, with their stamps in a table (step, signature) in a folder that Spark can write to."""
 
@@ -41,14 +46,11 @@ class Runner:
         self.spark, self.folder, self.steps = spark, folder, steps
 
     def stamp(self, step: Step) -> str | None:
-        path = f"{self.folder}/{step.name}"
-        if not exists(self.spark, path):
-            return None
-        row = self.spark.read.schema("step string, signature string").json(path).first()
+        row = versions.read(self.spark, f"{self.folder}/{step.name}", _STAMP).first()
         return row["signature"] if row else None
 
     def write_stamp(self, step: Step, value: str) -> None:
-        self.spark.createDataFrame([(step.name, value)], "step string, signature string").coalesce(1).write.mode("overwrite").json(f"{self.folder}/{step.name}")
+        versions.write(self.spark.createDataFrame([(step.name, value)], _STAMP).coalesce(1), f"{self.folder}/{step.name}")
 
     def now(self, step: Step) -> str:
         by_name = {s.name: s for s in self.steps}
@@ -94,9 +96,10 @@ def merged_maps(a: Column, b: Column) -> Column:
 
 
 def file_signature(spark: SparkSession, path: str) -> list:
-    """Sizes and times of change of a table's files, to tell whether it has changed."""
+    """Number and bytes of a table's files, the last time of change and a hash over all of them, to tell whether it has changed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", F.col("modificationTime").cast("long").alias("t"))
-    return [[r["path"], r["length"], r["t"]] for r in files.orderBy("path").collect()]  # a row for each file
+    each = F.xxhash64("path", "length", "t")
+    return list(files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.max("t"), F.coalesce(F.bit_xor(each), F.lit(0))).first())
 
 
 def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
