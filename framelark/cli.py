@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from framelark.functions.axis import IDENTITY, Mapping
-from framelark.plans import checks, cues, tracks
+from framelark.plans import checks, cues, steps, tracks
 from framelark.plans.project import Project, registered
 from framelark.sources import recordings, subtitles
 
@@ -69,6 +69,13 @@ def manifest(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
     return [r.asDict() for r in tracks.manifest(spark, a.tracks).collect()]
 
 
+def to_fetch(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Which of the wanted files (a table path, size, sha256) aren't there; writes them to out and tells how many bytes they have."""
+    missing = steps.to_fetch(spark.read.parquet(a.wanted), spark.read.parquet(a.present))
+    missing.write.mode("overwrite").parquet(a.out)
+    return steps.fetch_total(spark.read.parquet(a.out)).first().asDict()
+
+
 def probe(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
     return [r.asDict() for r in recordings.probe_media(spark, a.files).collect()]
 
@@ -97,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
     command("verify", verify, "folder", "signal", "--mapping", labelled=True)
     command("subs", subs, "files", "out", "--mapping")
     command("manifest", manifest, "tracks")
+    command("to-fetch", to_fetch, "wanted", "present", "out")
     command("probe", probe, "files")
     return out
 

@@ -75,3 +75,8 @@ def tick_step(seconds_for_pixel: Any, steps: list[float], last: float = 600.0) -
     for s in reversed(steps):
         out = F.when(_c(seconds_for_pixel) / s <= 12, F.lit(float(s))).otherwise(out)
     return out
+
+
+def data_uri(kind: str, data: Column) -> Column:
+    """Bytes as a data URI of a media type, in one line."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.regexp_replace(F.base64(data), "\\s", ""))

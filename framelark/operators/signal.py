@@ -48,14 +48,15 @@ def repeats(value: str, keys: Keys, order: str, share: float = 0.15, motion: flo
     return (F.col(value) < share * low) & (low > motion)
 
 
-def near_repeats(df: DataFrame, keys: Keys, index: str, value: str, reach: int = 8, size: int = SIZE) -> DataFrame:
-    """df with `burst`: whether a repeat is at most reach rows away."""
+def marked_repeats(df: DataFrame, keys: Keys, index: str, value: str, reach: int = 8) -> DataFrame:
+    """df with `burst`: whether a repeat is at most reach rows away. For use inside stretches.by_stretches()."""
+    df = df.withColumn("_repeat", repeats(value, keys, index))
+    return df.withColumn("burst", dilated(F.col("_repeat"), keys, index, reach, reach)).drop("_repeat")
 
-    def near(d: DataFrame, k: Keys) -> DataFrame:
-        d = d.withColumn("_repeat", repeats(value, k, index))
-        return d.withColumn("burst", dilated(F.col("_repeat"), k, index, reach, reach)).drop("_repeat")
 
-    return by_stretches(df, keys, index, reach + 1, reach + 1, near, size)
+def near_repeats(df: DataFrame, keys: Keys, index: str, value: str, reach: int = 8, size: int = SIZE) -> DataFrame:
+    """marked_repeats() dealt by stretches."""
+    return by_stretches(df, keys, index, reach + 1, reach + 1, lambda d, k: marked_repeats(d, k, index, value, reach), size)
 
 
 def rank01(df: DataFrame, keys: Keys, value: str, tie: str, parts: int | None = None) -> DataFrame:

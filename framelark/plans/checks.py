@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from framelark.functions.axis import ANALYSIS_FIRST, ANALYSIS_LAST, FRAME_SECONDS, RATE, Mapping, axis, seconds
 from framelark.operators import asof, lags, runs, signal
 from framelark.plans.fit import KEY, SECONDS, for_each, keyed, mappings, of_columns
+from framelark.sources.shared import checkpointed
 
 #: Shares of cuts that have to be, or may be at most, exact; speech edges may be off by so many seconds.
 LEAST_EXACT, MOST_EXACT_OF_CONTROL, MOST_SHIFT = 0.80, 0.10, 0.15
@@ -38,13 +39,15 @@ def cut_stats(mapping: Mapping | DataFrame, frames: DataFrame, onsets: DataFrame
     """(recording, variant, segment, n, exact, within_1): how many annotated cuts the mapped recording cuts on, by segment A or B,
     for the mapping and its controls; for titles; and for as many random frames as there are cuts (segments titles and random).
     mapping may be a table as of fits(). All variants run in one job."""
-    frames = keyed(frames)
+    # each is used several times below
+    frames = checkpointed(keyed(frames).select(KEY, "i", "pts", "mad"))
     ends = frames.groupBy(KEY).agg(F.max("pts").alias("end"))
-    own = mappings(mapping, frames).join(ends, KEY)
+    own = checkpointed(mappings(mapping, ends).join(ends, KEY))
     time = of_columns().source_time(F.col("p"))
     cuts = for_each(own, onsets.select(*[c for c in (KEY, "p") if c in onsets.columns])).filter(time < F.col("end")).select(KEY, F.col("p").cast("long").alias("p"))
+    cuts = checkpointed(cuts)
     segment = F.when(F.col("p") < F.col("brk"), "A").otherwise("B")
-    rows = cuts.join(variants(mapping, frames), KEY).select(KEY, "variant", segment.alias("segment"), "p", *_MAPPED)
+    rows = cuts.join(variants(mapping, ends), KEY).select(KEY, "variant", segment.alias("segment"), "p", *_MAPPED)
     drawn = F.pmod(F.xxhash64("p", F.lit(seed)), F.lit(ANALYSIS_LAST - ANALYSIS_FIRST)) + ANALYSIS_FIRST
     extra = cuts.select(KEY, F.lit("random").alias("segment"), drawn.alias("p")).unionByName(for_each(own.select(KEY), titles).select(KEY, F.lit("titles").alias("segment"), F.col("p").cast("long").alias("p")))
     extra = extra.join(own, KEY).select(KEY, F.lit("mapping").alias("variant"), "segment", "p", *_MAPPED)
@@ -52,7 +55,7 @@ def cut_stats(mapping: Mapping | DataFrame, frames: DataFrame, onsets: DataFrame
     w = Window.partitionBy(KEY, "variant", "segment", "p").orderBy("p")
     rows = rows.unionByName(extra).withColumn("copy", F.row_number().over(w)).select(KEY, "variant", "segment", "p", "copy", time.alias("t"))
     o = F.col("offset")
-    return cut_offsets(frames, rows).groupBy(KEY, "variant", "segment").agg(
+    return cut_offsets(frames, checkpointed(rows)).groupBy(KEY, "variant", "segment").agg(
         F.count(F.lit(1)).alias("n"), F.avg((o == 0).cast("double")).alias("exact"), F.avg((F.abs(o) <= 1).cast("double")).alias("within_1")
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions.axis import N_FRAMES, Mapping, axis
-from framelark.operators import asof, peaks, signal
+from framelark.operators import asof, peaks, runs, signal, stretches
 from framelark.sources.shared import checkpointed
 
 #: Film rates that are tried, the earlier wins ties.
@@ -148,10 +148,16 @@ def frame_map(mapping: Mapping | DataFrame, frames: DataFrame, n: int = N_FRAMES
     """(recording, p, file_frame, file_time, flag) for each frame of the axis: the nearest frame of the recording; flag 2 beyond its
     end, else 1 within a burst of repeated frames, else 0. mapping may be a table as of fits()."""
     frames = keyed(frames).select(KEY, "i", "pts", F.col("mad").cast("double").alias("mad"))
-    burst = signal.near_repeats(frames, [KEY], "i", "mad").select(KEY, "i", "pts", "burst")
-    step = F.lead("pts").over(Window.partitionBy(KEY).orderBy("pts", "i")) - F.col("pts")
-    ends = frames.select(KEY, "pts", step.alias("step")).groupBy(KEY).agg((F.max("pts") + F.coalesce(F.median("step"), F.lit(0.0)) / 2).alias("end"))
-    rows = mappings(mapping, frames).join(ends, KEY).crossJoin(axis(frames.sparkSession, n)).select(KEY, "p", "end", of_columns().source_time(F.col("p")).alias("file_time"))
+
+    def marked(d: DataFrame, k: list[str]) -> DataFrame:
+        d = signal.marked_repeats(d, k, "i", "mad")
+        return d.withColumn("step", F.lead("pts").over(runs.over(k, "i")) - F.col("pts"))
+
+    burst = checkpointed(stretches.by_stretches(frames, [KEY], "i", 9, 9, marked).select(KEY, "i", "pts", "burst", "step"))
+    # steps take few values, which the median counts
+    ends = burst.groupBy(KEY).agg((F.max("pts") + F.coalesce(F.median("step"), F.lit(0.0)) / 2).alias("end"))
+    burst = burst.drop("step")
+    rows = mappings(mapping, ends).join(ends, KEY).crossJoin(axis(frames.sparkSession, n)).select(KEY, "p", "end", of_columns().source_time(F.col("p")).alias("file_time"))
     near = asof.nearest(rows, burst, [KEY], "file_time", "pts", "i", SECONDS)
     flag: Column = F.when(F.col("file_time") > F.col("end"), 2).when(F.col("near.burst"), 1).otherwise(0)
     return near.select(KEY, "p", F.col("near.i").cast("int").alias("file_frame"), "file_time", flag.cast("smallint").alias("flag"))

@@ -43,14 +43,16 @@ def q_frame_map(spark, folder):
 v AS (SELECT recording, p, variant, CASE WHEN p < 120 THEN 'A' ELSE 'B' END AS segment, stop, m,
 (p + 3 + CASE variant WHEN 'head_minus_1' THEN -1 WHEN 'head_plus_1' THEN 1 ELSE 0 END + CASE WHEN p >= 120 AND variant <> 'no_gap' THEN 20 ELSE 0 END) / CAST(0.0001 AS DOUBLE) + 0 AS t
 FROM c JOIN h USING (recording), (VALUES ('mapping'), ('head_minus_1'), ('head_plus_1'), ('no_gap')) AS x(variant)
-WHERE (p + 3 + CASE WHEN p >= 120 THEN 20 ELSE 0 END) / CAST(0.0001 AS DOUBLE) + 0 < stop),
+WHERE (p + 3 + CASE WHEN p >= 120 THEN 20 ELSE 0 END) / CAST(0.0001 AS DOUBLE) + 0 < stop
+UNION ALL SELECT f.recording, i * 3 + 1, 'mapping', 'titles', stop, m, (i * 3 + 1 + 3 + CASE WHEN i * 3 + 1 >= 120 THEN 20 ELSE 0 END) / CAST(0.0001 AS DOUBLE) + 0 FROM f JOIN h USING (recording) WHERE o),
 n AS (SELECT v.recording, p, variant, segment, m, arg_min(f.i, (abs(pts - t), pts)) AS i FROM v JOIN f USING (recording) GROUP BY ALL),
 w AS (SELECT n.*, w.range - 5 AS w FROM n, range(11) w),
 b AS (SELECT w.recording, p, variant, segment, arg_min(w, (-mad, w)) AS o FROM w JOIN f ON f.recording = w.recording AND f.i = least(greatest(w.i + w, 0), m) GROUP BY ALL)
 SELECT recording, variant, segment, count(*) AS n, avg(CAST(o = 0 AS INTEGER)) AS exact, avg(CAST(abs(o) <= 1 AS INTEGER)) AS within_1 FROM b GROUP BY 1, 2, 3""")
 def q_check_cuts(spark, folder):
-    none = spans_of_errors(spark, folder).limit(0)
-    stats = checks.cut_stats(SLOW, frames(spark, folder).drop("o"), spans_of_errors(spark, folder), none)
+    """Frames that are drawn are left out here: SQL has another hash."""
+    titles = spans_of_errors(spark, folder).select("recording", (F.col("p") / 2 * 3 + 1).cast("long").alias("p"))
+    stats = checks.cut_stats(SLOW, frames(spark, folder).drop("o"), spans_of_errors(spark, folder), titles)
     return stats.filter("segment <> 'random'")
 
 
@@ -69,6 +71,43 @@ def q_lag_scan(spark, folder):
     return found.withColumn("r", F.round("r", 6))
 
 
+@query("""WITH s AS (SELECT event_type AS recording, value > 12 AS s, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS k FROM events),
+a AS (SELECT recording, k, max(s) OVER (PARTITION BY recording ORDER BY k ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS s FROM s),
+b AS (SELECT recording, k, count(*) FILTER (WHERE s) OVER (PARTITION BY recording ORDER BY k ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) = 15 AS s FROM a),
+c AS (SELECT recording, k, count(*) FILTER (WHERE s) OVER (PARTITION BY recording ORDER BY k ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) = 10 AS s FROM b),
+d AS (SELECT recording, k, max(s) OVER (PARTITION BY recording ORDER BY k ROWS BETWEEN 4 PRECEDING AND 5 FOLLOWING) AS s FROM c),
+x AS (SELECT *, lag(s, 1, false) OVER w AS before, lead(s, 1, false) OVER w AS after FROM d WINDOW w AS (PARTITION BY recording ORDER BY k)),
+e AS (SELECT recording, 'first' AS side, k * CAST(0.01 AS DOUBLE) AS e FROM x WHERE s AND NOT before UNION ALL SELECT recording, 'last_excl', (k + 1) * CAST(0.01 AS DOUBLE) FROM x WHERE s AND NOT after),
+p AS (SELECT event_id, event_type AS recording, 'first' AS side, event_id % 400 AS p FROM events UNION ALL SELECT event_id, event_type, 'last_excl', event_id % 400 + 2 + event_id % 7 FROM events),
+t AS (SELECT event_id, recording, side, (p * CAST(0.04 AS DOUBLE) * 25 + 3 + CASE WHEN p * CAST(0.04 AS DOUBLE) * 25 >= 120 THEN 20 ELSE 0 END) / CAST(25 AS DOUBLE) + 0 AS t FROM p),
+n AS (SELECT event_id, t.recording, side, arg_min(e - t, (abs(e - t), e)) AS shift FROM t JOIN e USING (recording, side) GROUP BY 1, 2, 3)
+SELECT recording, side, round(median(shift), 9) AS shift FROM n WHERE abs(shift) < 1 GROUP BY 1, 2""")
+def q_speech_shifts(spark, folder):
+    """Ends of spans against ends of speech, where values above 12 are speech."""
+    e = events(spark, folder).withColumnRenamed("event_type", "recording")
+    vad = stretches.numbered(e.select("recording", "ts", "event_id", (F.col("value") > 12).cast("int").alias("v")), ["recording"], ["ts", "event_id"], "k")
+    first = F.col("event_id") % 400
+    spans = e.select("recording", first.alias("first"), (first + 2 + F.col("event_id") % 7).alias("last_excl"))
+    found = checks.speech_shifts(axis.Mapping(25.0, 3, 120, 20, 0.0), vad.select("recording", "k", "v"), spans)
+    return found.select("recording", "side", F.round("shift", 9).alias("shift"))
+
+
+@query("SELECT doc_id, 'data:text/plain;base64,' || to_base64(encode(text)) AS uri FROM documents")
+def q_data_uri(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", text.data_uri("text/plain", F.encode("text", "utf-8")).alias("uri"))
+
+
+@query("""SELECT event_type AS label, CAST(i // 20 AS BIGINT) AS part, count(*) AS n, round(min(round(us / 1e6, 3)), 3) AS low, round(max(round(us / 1e6 + 2, 3)), 3) AS high
+FROM (SELECT event_type, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS us, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS i FROM events) GROUP BY 1, 2""")
+def q_interval_parts(spark, folder):
+    """A document of intervals for each kind of event, in parts of 20, each of which is read alone."""
+    spans = events(spark, folder).select(F.col("event_type").alias("label"), F.col("event_id").alias("order"), (F.col("us") / 1e6).alias("a"), (F.col("us") / 1e6 + 2).alias("b"))
+    parts = tracks.interval_parts(spans, 20)
+    inside = F.concat(F.lit("["), F.regexp_replace(F.regexp_replace("text", r"^(\[|,)(?=\[)", ""), r"\]\]$", "]"), F.lit("]"))
+    rows = parts.select("label", "part", F.explode(F.from_json(inside, "array<array<double>>")).alias("s"))
+    return rows.groupBy("label", "part").agg(F.count(F.lit(1)).alias("n"), F.round(F.min(F.col("s")[0]), 3).alias("low"), F.round(F.max(F.col("s")[1]), 3).alias("high"))
+
+
 @query(f"""WITH {_E}, h AS (SELECT k.user_id, CAST(round_even(k.us / 3.6e9 - x.us / 3.6e9, 0) AS BIGINT) AS f FROM e k JOIN e x USING (user_id) WHERE k.event_type = 'click' AND x.event_type = 'error'),
 c AS (SELECT user_id, f, count(*) AS n FROM h WHERE f >= -30 AND f < 300 GROUP BY 1, 2),
 a AS (SELECT user_id, arg_min(f, (-n, f)) AS f1, max(n) AS n1 FROM c GROUP BY 1),

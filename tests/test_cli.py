@@ -56,3 +56,12 @@ def test_copies_are_registered(spark, tmp_path, capsys):
         (row,) = json.loads(capsys.readouterr().out)
         assert (row["description"], json.loads(row["mapping"])["gap"]) == (description, 7)
     assert own.mapping() == Mapping(25.0, 1, 100, 7) and Project(spark, "", str(tmp_path / "none")).mapping() == IDENTITY
+
+
+def test_what_is_to_be_fetched(spark, tmp_path, capsys):
+    files = [("a", 3, "x"), ("b", 5, "y"), ("c", 7, "z")]
+    spark.createDataFrame(files, "path string, size long, sha256 string").write.parquet(str(tmp_path / "wanted"))
+    spark.createDataFrame([("a", 3, "x"), ("b", 4, "y")], "path string, size long, sha256 string").write.parquet(str(tmp_path / "present"))
+    cli.main(["to-fetch", str(tmp_path / "wanted"), str(tmp_path / "present"), str(tmp_path / "missing")])
+    assert json.loads(capsys.readouterr().out) == {"files": 2, "bytes": 12}
+    assert {r["path"] for r in spark.read.parquet(str(tmp_path / "missing")).collect()} == {"b", "c"}
