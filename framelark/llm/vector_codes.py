@@ -17,7 +17,7 @@ from framelark.llm.common import checkpointed, left_join_by_key, written
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 #: Entries of a ball that are compared one by one.
-LEAF = 8
+LEAF = 32
 #: Whole components are held to so much; a distance to one of them is beyond a long in any case.
 MOST = 1 << 62
 #: Share by which distances and radii are widened, far more than what rounding takes from them.
