@@ -45,22 +45,26 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 class Node:
     """A block element: fresh, those of its words (its tag, names and roles) that none of its ancestors has; near, the words of
-    itself or its nearest ancestor that has any beyond those of plain text; main, whether it is in an article or main element."""
+    itself or its nearest ancestor that has any beyond those of plain text; home, the innermost article or main element that it is
+    or is in."""
 
-    __slots__ = ("parent", "tag", "fresh", "near", "main", "score")
+    __slots__ = ("parent", "tag", "fresh", "near", "home", "score")
 
-    def __init__(self, parent: Node | None, tag: str, fresh: tuple[str, ...], near: tuple[str, ...], main: bool):
-        self.parent, self.tag, self.fresh, self.near, self.main = parent, tag, fresh, near, main
+    def __init__(self, parent: Node | None, tag: str, fresh: tuple[str, ...], near: tuple[str, ...]):
+        self.parent, self.tag, self.fresh, self.near = parent, tag, fresh, near
+        self.home: Node | None = self if tag in ("article", "main") else parent.home if parent else None
         self.score: float | None = None
 
 
 @dataclass(frozen=True, slots=True)
 class Block:
-    """text without markup, white space as one space; node: the block element it is in; linked: its share of link text."""
+    """text without markup, white space as one space; node: the block element it is in; linked: its share of link text; links:
+    how many links begin in it."""
 
     text: str
     node: Node
     linked: float
+    links: int = 0
 
 
 @lru_cache(1 << 14)
@@ -100,10 +104,10 @@ class _Page:
     def __init__(self) -> None:
         self.out: list[Block] = []
         self.text: list[str] = []
-        self.linked = self.links = 0
+        self.linked = self.links = self.begun = 0
         self.tags: list[str] = []
         self.words: list[tuple[str, ...]] = []
-        self.nodes = [Node(None, "", (), (), False)]
+        self.nodes = [Node(None, "", (), ())]
         self.blocks: list[int] = []  # places of block elements on the stack
         self.places: dict[str, list[int]] = {}
         self.active: dict[str, int] = {}  # words of open elements
@@ -119,9 +123,9 @@ class _Page:
         if self.text:
             joined = " ".join("".join(self.text).split())
             if joined:
-                self.out.append(Block(joined, self.nodes[-1], min(1.0, self.linked / len(joined))))
+                self.out.append(Block(joined, self.nodes[-1], min(1.0, self.linked / len(joined)), self.begun))
             self.text.clear()
-        self.linked = 0
+        self.linked = self.begun = 0
 
     def last(self, tags: tuple[str, ...]) -> int:
         return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
@@ -134,11 +138,12 @@ class _Page:
                 self.active[w] = self.active.get(w, 0) + 1
             up = self.nodes[-1]
             named = words if tag not in PLAIN else words[1:]
-            self.nodes.append(Node(up, tag, fresh, named or up.near, up.main or tag in ("article", "main")))
+            self.nodes.append(Node(up, tag, fresh, named or up.near))
             self.blocks.append(len(self.tags))
             self.words.append(words)
         elif tag == "a":
             self.links += 1
+            self.begun += 1
         self.places.setdefault(tag, []).append(len(self.tags))
         self.tags.append(tag)
 

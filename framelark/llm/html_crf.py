@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -19,13 +20,32 @@ _MARK = re.compile("[©|»›]")
 _COUNTS = [f"#words{i}" for i in range(7)]
 _LINKED = [f"#linked{i}" for i in range(3)]
 _BOX = [[f"#box{i}.{j}" for j in range(3)] for i in range(7)]
-_SHARE = {place: [f"#{place}.share{i}" for i in range(5)] for place in ("in", "out", "none")}
+_SHARE = {place: [f"#{place}.share{i}" for i in range(5)] for place in ("in", "small", "out", "none")}
 _TITLE = ("#untitled", "#above", "#below")
+_LINKS, _AGAIN = [f"#links{i}" for i in range(4)], {place: [f"#{place}.again{i}" for i in range(3)] for place in ("in", "small", "out", "none")}
+#: Dates in digits, years, and times since.
+_DATE = re.compile(r"(?<![\d.])\d{1,4}[./-]\d{1,2}[./-]\d{1,4}(?![.\d])|\b(?:19|20)\d\d\b|\b\d+ (?:min|hour|day|week|month|year|stunde|tag|woche|monat|jahr|heure|jour|semaine|mois|hora|d[ií]a|semana|mes)", re.IGNORECASE)
+#: Elements of which pages make boxes that recur.
+_BOXES = frozenset("div article section li".split())
+
+
+def recurring(page: list[Block]) -> list[int]:
+    """For each block how many boxes beside its own hold blocks of the same elements, as comments and teasers do: boxes of one
+    parent, with two blocks at least."""
+    boxes: dict[int, tuple[Node, list[str]]] = {}
+    for b in page:
+        up = b.node.parent
+        if up is not None and up.tag in _BOXES:
+            boxes.setdefault(id(up), (up, []))[1].append(b.node.tag)
+    shape = {k: (id(up.parent), tuple(tags)) for k, (up, tags) in boxes.items() if len(tags) > 1}
+    counts = Counter(shape.values())
+    return [counts[shape[k]] - 1 if (k := id(b.node.parent)) in shape else 0 for b in page]
 
 
 def text_features(page: list[Block]) -> list[list[str]]:
     """For each block: features of its text, of the box it is in (its element's parent: words, links, share of the page's text
-    beyond links), whether the page has an article or main element and the block is inside, and where its first h1 is."""
+    beyond links), whether the page has an article or main element and the block is inside, in a large or a small one, where its first h1 is, how many links
+    it has, and whether its box recurs."""
     n_words = [b.text.count(" ") + 1 for b in page]
     boxes: dict[int, list[float]] = {}
     total = 1e-9
@@ -34,22 +54,29 @@ def text_features(page: list[Block]) -> list[list[str]]:
         box[0] += n
         box[1] += n * b.linked
         total += n * (1 - b.linked)
-    any_main = any(b.node.main for b in page)
+    homes: dict[int, int] = {}
+    for b, n in zip(page, n_words, strict=True):
+        if b.node.home is not None:
+            homes[id(b.node.home)] = homes.get(id(b.node.home), 0) + n
+    largest = max(homes.values(), default=0)
     title = next((i for i, b in enumerate(page) if b.node.tag == "h1"), len(page))
     out = []
+    again = recurring(page)
     for i, (b, n) in enumerate(zip(page, n_words, strict=True)):
         words, linked = boxes[id(b.node.parent or b.node)]
         share = (words - linked) / total
-        place = "in" if b.node.main else "out" if any_main else "none"
+        place = ("in" if 2 * homes[id(b.node.home)] >= largest else "small") if b.node.home is not None else "out" if largest else "none"
         found = [
             _COUNTS[min(6, n.bit_length() - 1)], _LINKED[int(2 * b.linked + 0.5)], "#end" if b.text[-1] in ".!?…:;”\"'" else "#open",
             _BOX[min(6, int(words).bit_length() - 1)][int(2 * linked / words + 0.5)], _SHARE[place][0 if share < 0.05 else 1 if share < 0.2 else 2 if share < 0.5 else 3 if share < 0.95 else 4],
-            _TITLE[0] if title == len(page) else _TITLE[2 if i >= title else 1],
+            _TITLE[0] if title == len(page) else _TITLE[2 if i >= title else 1], _LINKS[min(3, b.links)], _AGAIN[place][min(2, again[i])],
         ]
         if "," in b.text:
             found.append("#comma")
         if _MARK.search(b.text):
             found.append("#mark")
+        if n < 12 and _DATE.search(b.text):
+            found.append("#date")
         out.append(found)
     return out
 
@@ -116,7 +143,7 @@ def all_features(page: list[Block]) -> list[list[str]]:
     return [node_features(b.node) + found for b, found in zip(page, text_features(page), strict=True)]
 
 
-def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 150, l2: float = 0.02, rate: float = 0.2) -> Field:
+def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 110, l2: float = 0.02, rate: float = 0.2) -> Field:
     """Maximises the labels' log-likelihood less L2 by Adam steps; forward and backward sums run over all pages at once."""
     rows = [found for page, _ in pages for found in all_features(page)]
     names = sorted({f for row in rows for f in row})
@@ -157,7 +184,7 @@ def fit(pages: list[tuple[list[Block], list[bool]]], steps: int = 150, l2: float
 
 
 @lru_cache(4)
-def trained(seed: int = 1, pages: int = 700) -> Field:
+def trained(seed: int = 1, pages: int = 1900) -> Field:
     """Fits on made-up labelled pages; each must fall into as many blocks as it has labels."""
     rng, rows = np.random.default_rng(seed), []
     for _ in range(pages):
