@@ -80,7 +80,7 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_registered_names(spark):
     names = queries.queries()
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= set(names)
 
 
