@@ -22,7 +22,7 @@ from framelark.llm.decontaminate import mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT = 7, 0.1
 #: Characters of the texts that are encoded together, occurrences that are cut at once, and words whose merges run in step.
-TOGETHER, AT_ONCE, IN_STEP = 500_000, 100_000, 8_000
+TOGETHER, AT_ONCE, IN_STEP = 400_000, 50_000, 8_000
 #: Longer words run by themselves, with a heap.
 LONG = 100
 #: Words whose cuts a Python worker remembers, about; beyond, it forgets those it has seen fewer than OFTEN times.
@@ -475,6 +475,7 @@ def encode(
     id_at, text_at = names.index(id_col), names.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given_back()  # what tasks of other operators have left in this worker
         encoder, rounds = Encoder(_pieces(shared.value), seed, dropout), 0
         for batch in batches:
             key, text = batch.column(id_at), batch.column(text_at)
@@ -494,7 +495,7 @@ def encode(
                     out.append(pa.array([decode_ids(encoder.pieces, x) == t for x, t in zip(np.split(ids, ends[:-1]), texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(out, [*names, "ids", *["lossless"] * check])
                 first, held, texts, rounds = i + 1, 0, [], rounds + 1
-                if rounds % 8 == 0:
+                if rounds % 4 == 0:
                     given_back()
         del encoder  # what it remembers is as large as the rest of a worker
         given_back()
