@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framelark.functions import axis, text
-from framelark.operators import asof, peaks, runs, selection, signal, stretches
+from framelark.operators import asof, peaks, runs, selection, signal, stabs, stretches
 from framelark.plans import cues, media, steps, tracks, viewport
 from framelark.sources import recordings, subtitles
 from framelark.sources.tables import table
@@ -261,11 +261,11 @@ def q_median_all(spark, folder):
 SELECT k.event_id, count(*) AS n, min(span) AS first_span FROM e k JOIN sp ON a <= us AND us < b WHERE event_type = 'click' GROUP BY 1""")
 def q_stab_long(spark, folder):
     """Spans of minutes and of most of the axis, of no entity."""
-    errors = of_type(spark, folder, "error").join(events(spark, folder).filter("value > 20").select("event_id"), "event_id")
-    long = F.when(F.col("event_id") % 50 == 0, F.lit(20.0)).otherwise(F.lit(0.01))
-    spans = errors.select(F.col("event_id").alias("span"), F.col("us").alias("a"), (F.col("us") + F.col("event_id") % 17 * DAY * long).alias("b"))
-    held = runs.stabbed(of_type(spark, folder, "click").select("event_id", "us"), spans, [], "us", "a", "b", HOUR)
-    return held.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("first_span"))
+    errors = events(spark, folder).filter((F.col("event_type") == "error") & (F.col("value") > 20))
+    length = F.col("event_id") % 17 * F.when(F.col("event_id") % 50 == 0, F.lit(DAY * 20)).otherwise(F.lit(DAY / 100))
+    spans = errors.select(F.col("event_id").alias("span"), F.col("us").alias("a"), (F.col("us") + length).alias("b"))
+    held = stabs.stab_counts(of_type(spark, folder, "click").select("event_id", "us"), spans, [], "us", "a", "b", "span", 1000)
+    return held.groupBy("event_id").agg(F.sum("n").alias("n"), F.min("least").alias("first_span"))
 
 
 _SPANS = "sp AS (SELECT user_id, us // 86400000000 AS day, min(us) AS a, max(us) AS b FROM e WHERE event_type = 'error' GROUP BY 1, 2)"
