@@ -32,14 +32,14 @@ def with_next(clock: DataFrame, keys: Keys, at: str, tie: str, bucket: float | N
     return rows.select(*clock.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in rest])
 
 
-def _together(points: DataFrame, clock: DataFrame, keys: Keys, at: str, clock_at: str, tie: str, bucket: float | None) -> tuple[DataFrame, WindowSpec]:
-    """Rows of both sides in one table, and the window that has them in order within their stretch: clock rows have _row, points
-    _point. With stretches, each row also has _earlier, the last clock row of those before, and _here and _later, the first
+def _together(points: DataFrame, clock: DataFrame, keys: Keys, at: str, clock_at: str, tie: str, bucket: float | None) -> tuple[DataFrame, Keys, WindowSpec]:
+    """Rows of both sides in one table, what they are dealt by, and the window that has them in order within it: clock rows have _row,
+    points _point. With stretches, each row also has _earlier, the last clock row of those before, and _here and _later, the first
     clock rows of its own and of those behind."""
     rest = [c for c in clock.columns if c not in keys]
     row = F.struct(clock_at, tie, *[c for c in rest if c not in (clock_at, tie)])
     c = clock.select(*keys, F.col(clock_at).cast("double").alias("_at"), F.lit(0).alias("_side"), F.col(tie).cast("long").alias("_tie"), _bucket(clock_at, bucket).alias("_b"), row.alias("_row"))
-    p = points.select(*keys, F.col(at).cast("double").alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), _bucket(at, bucket).alias("_b"), F.struct(*points.columns).alias("_point"))
+    p = points.select(*keys, F.col(at).cast("double").alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), _bucket(at, bucket).alias("_b"), F.struct(*[x for x in points.columns if x not in keys]).alias("_point"))
     both = c.unionByName(p, allowMissingColumns=True)
     if bucket:
         borders = both.groupBy(*keys, "_b").agg(F.min("_row").alias("_here"), F.max("_row").alias("_last"))
@@ -51,7 +51,8 @@ def _together(points: DataFrame, clock: DataFrame, keys: Keys, at: str, clock_at
     else:
         nothing = F.lit(None).cast(c.schema["_row"].dataType)
         both = both.select("*", *[nothing.alias(x) for x in ("_earlier", "_here", "_later")])
-    return both, Window.partitionBy(*keys, "_b").orderBy(*_ORDER)
+    by = [*keys, "_b"] if bucket else [*keys]
+    return both, by, Window.partitionBy(*by).orderBy(*_ORDER)
 
 
 _ORDER = ["_at", "_side", "_tie"]
@@ -66,14 +67,14 @@ def _next_known(column: str, keys: Keys, order: list[str]) -> Column:
 def around(points: DataFrame, clock: DataFrame, keys: Keys, at: str, clock_at: str, tie: str, bucket: float | None = None) -> DataFrame:
     """points with `before` and `after`: structs of the clock's columns from the last row at or before the point, and from the
     row that follows that one (the first row of all if there is none before). Of rows at one time the last by tie counts as before."""
-    both, w = _together(points, clock, keys, at, clock_at, tie, bucket)
+    both, by, w = _together(points, clock, keys, at, clock_at, tie, bucket)
     before = F.last("_row", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    found = both.withColumn("_before", before).withColumn("_after", _next_known("_row", [*keys, "_b"], _ORDER)).filter("_side = 1")
-    return found.select(*_points(points), F.coalesce("_before", "_earlier").alias("before"), F.coalesce("_after", "_later").alias("after"))
+    found = both.withColumn("_before", before).withColumn("_after", _next_known("_row", by, _ORDER)).filter("_side = 1")
+    return found.select(*_points(points, keys), F.coalesce("_before", "_earlier").alias("before"), F.coalesce("_after", "_later").alias("after"))
 
 
-def _points(points: DataFrame) -> list[Column]:
-    return [F.col(f"_point.`{n}`").alias(n) for n in points.columns]
+def _points(points: DataFrame, keys: Keys) -> list[Column]:
+    return [F.col(f"`{n}`").cast(points.schema[n].dataType).alias(n) if n in keys else F.col(f"_point.`{n}`").alias(n) for n in points.columns]
 
 
 def interpolated(
@@ -83,14 +84,14 @@ def interpolated(
 
     A point belongs to the step that starts at the last clock row at or before it; the last step also holds its end. Points
     outside the clock go, and those in a pause: a step longer than `longest`, or one over which the value stands still."""
-    both, w = _together(points, clock.select(*keys, clock_at, clock_value, tie), keys, at, clock_at, tie, bucket)
-    both = both.withColumn("_next", F.coalesce(_next_known("_row", [*keys, "_b"], _ORDER), "_later"))
+    both, by, w = _together(points, clock.select(*keys, clock_at, clock_value, tie), keys, at, clock_at, tie, bucket)
+    both = both.withColumn("_next", F.coalesce(_next_known("_row", by, _ORDER), "_later"))
     step = F.struct(F.col("_row").alias("a"), F.col("_next").alias("b"))
     step = F.when(F.col("_row").isNotNull() & F.col("_next").isNotNull(), step)
     both = both.withColumn("_step", F.last(step, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("_side = 1")
     # a point before the first row of its stretch is in the step that leads there
     a, b = F.coalesce("_step.a", "_earlier"), F.coalesce("_step.b", F.coalesce("_here", "_later"))
-    found = both.select(*_points(points), a[clock_at].alias("_k0"), b[clock_at].alias("_k1"), a[clock_value].alias("_v0"), b[clock_value].alias("_v1"))
+    found = both.select(*_points(points, keys), a[clock_at].alias("_k0"), b[clock_at].alias("_k1"), a[clock_value].alias("_v0"), b[clock_value].alias("_v1"))
     k0, k1, v0, v1 = (F.col(c) for c in ("_k0", "_k1", "_v0", "_v1"))
     found = found.filter((k0 <= F.col(at)) & (F.col(at) <= k1) & (k1 - k0 <= longest) & (v1 != v0) & (k1 > k0))
     return found.withColumn("value", v0 + (F.col(at) - k0) * (v1 - v0) / (k1 - k0)).drop("_k0", "_k1", "_v0", "_v1")

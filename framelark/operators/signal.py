@@ -79,13 +79,21 @@ def floor_percentile(df: DataFrame, keys: Keys, value: str, share: float = 0.995
     return found.select(*keys, F.least(F.lit(0.0), "low").alias("low"), F.when(F.col("high") == 0, F.lit(1.0)).otherwise(F.col("high")).alias("high"))
 
 
-def loudest_nearby(df: DataFrame, at: DataFrame, keys: Keys, index: str, value: str, reach: int = 5) -> DataFrame:
-    """at (keys, index and more) with `offset`: where within reach rows of df's dense index 0..n-1 the largest value is; of
-    equal ones the first. Rows beyond the ends are the end row."""
-    ends = df.groupBy(*keys).agg(F.max(index).alias("_end")) if keys else df.agg(F.max(index).alias("_end"))
-    wide = (at.join(ends, keys) if keys else at.crossJoin(F.broadcast(ends))).withColumn("_id", F.struct(*at.columns))
-    wide = wide.withColumn("_w", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
-    wide = wide.withColumn("_i", F.least(F.greatest(F.col(index) + F.col("_w"), F.lit(0)), F.col("_end")))
-    seen = wide.select(*keys, "_id", "_w", "_i").join(df.select(*keys, F.col(index).alias("_i"), F.col(value).alias("_v")), [*keys, "_i"])
-    found = seen.groupBy("_id").agg(F.max_by("_w", F.struct(F.col("_v"), -F.col("_w"))).alias("offset"))
-    return found.select("_id.*", "offset")
+def loudest(df: DataFrame, keys: Keys, index: str, value: str, reach: int = 5, size: int = SIZE) -> DataFrame:
+    """df with `offset`: where within reach rows of its dense index 0..n-1 the largest value is; of equal ones the first. Rows
+    beyond the ends are the end row. size: rows of a stretch."""
+
+    def found(d: DataFrame, k: Keys) -> DataFrame:
+        most = F.max(F.struct(F.col(value).alias("_v"), (-F.col(index)).alias("_i"))).over(over(k, index).rowsBetween(-reach, reach))
+        return d.withColumn("_found", -most["_i"])
+
+    # the first of those that are row 0 is the farthest back
+    offset = F.when(F.col("_found") == 0, -reach).otherwise(F.col("_found") - F.col(index)).cast("int")
+    return by_stretches(df, keys, index, reach, reach, found, size).withColumn("offset", offset).drop("_found")
+
+
+def loudest_nearby(df: DataFrame, at: DataFrame, keys: Keys, index: str, value: str, reach: int = 5, size: int = SIZE) -> DataFrame:
+    """at (keys, index and more), rows of df by index, with their `offset` as of loudest(). It is found once for each row of df, so no row of
+    at is copied, and at may hold one often."""
+    rows = loudest(df.select(*keys, index, value), keys, index, value, reach, size).select(*keys, index, "offset")
+    return at.join(rows, [*keys, index]).select(*at.columns, "offset")

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framelark.functions.axis import ANALYSIS_FIRST, ANALYSIS_LAST, FRAME_SECONDS, RATE, Mapping, axis, seconds
 from framelark.operators import asof, lags, runs, signal
-from framelark.plans.fit import KEY, SECONDS, for_each, keyed, mappings, of_columns
+from framelark.plans.fit import KEY, SECONDS, for_each, keyed, mappings, of_columns, stretch_of
 from framelark.sources.shared import checkpointed
 
 #: Shares of cuts that have to be, or may be at most, exact; speech edges may be off by so many seconds.
@@ -20,42 +19,49 @@ VAD_STEP = 0.01
 
 def cut_offsets(frames: DataFrame, at: DataFrame, reach: int = 5) -> DataFrame:
     """at (recording, t and more) with `offset`: where around the frame nearest to t the recording changes most."""
+    return _offsets_at(_loudest(frames, reach), at)
+
+
+def _loudest(frames: DataFrame, reach: int = 5) -> DataFrame:
+    """(recording, i, pts, offset) of all frames, kept."""
     frames = keyed(frames).select(KEY, F.col("i").cast("long").alias("i"), "pts", F.col("mad").cast("double").alias("mad"))
-    near = asof.nearest(keyed(at), frames, [KEY], "t", "pts", "i", SECONDS)
-    placed = near.select(*[c for c in near.columns if c != "near"], F.col("near.i").alias("i"))
-    return signal.loudest_nearby(frames, placed, [KEY], "i", "mad", reach).drop("i")
+    return checkpointed(signal.loudest(frames, [KEY], "i", "mad", reach).select(KEY, "i", "pts", "offset"))
 
 
-def variants(mapping: Mapping | DataFrame, like: DataFrame) -> DataFrame:
-    """(recording, variant, MAPPING): the mapping, its head one frame off to both sides, and without the gap if it has one."""
-    rows = mappings(mapping, like)
-    struct = lambda name, head, gap: F.struct(F.lit(name).alias("variant"), "film_fps", (F.col("head") + head).alias("head"), "brk", gap.alias("gap"), "t0")
+def _offsets_at(frames: DataFrame, at: DataFrame) -> DataFrame:
+    bucket = stretch_of(frames)
+    at = checkpointed(keyed(at)) if bucket else keyed(at)  # stretches are asked for their borders first
+    near = asof.nearest(at, frames, [KEY], "t", "pts", "i", bucket).filter("near IS NOT NULL")
+    return near.select(*[c for c in near.columns if c != "near"], F.col("near.offset").alias("offset"))
+
+
+def variants() -> Column:
+    """Array of (variant, MAPPING) from a row's mapping: itself, its head one frame off to both sides, and without the gap if it has one."""
     gap = F.col("gap")
+    struct = lambda name, head, gap: F.struct(F.lit(name).alias("variant"), "film_fps", (F.col("head") + head).alias("head"), "brk", gap.alias("gap"), "t0")
     all_ = F.array(struct("mapping", 0, gap), struct("head_minus_1", -1, gap), struct("head_plus_1", 1, gap), struct("no_gap", 0, gap * 0))
-    return rows.select(KEY, F.inline(F.filter(all_, lambda v: (v["variant"] != "no_gap") | (F.col("gap") != 0))))
+    return F.filter(all_, lambda v: (v["variant"] != "no_gap") | (F.col("gap") != 0))
 
 
 def cut_stats(mapping: Mapping | DataFrame, frames: DataFrame, onsets: DataFrame, titles: DataFrame, seed: int = 0) -> DataFrame:
     """(recording, variant, segment, n, exact, within_1): how many annotated cuts the mapped recording cuts on, by segment A or B,
     for the mapping and its controls; for titles; and for as many random frames as there are cuts (segments titles and random).
-    mapping may be a table as of fits(). All variants run in one job."""
-    # each is used several times below
-    frames = checkpointed(keyed(frames).select(KEY, "i", "pts", "mad"))
+    mapping may be a table as of fits(). All variants run in one job, in which a cut meets its recording's mapping once."""
+    frames = _loudest(frames)
     ends = frames.groupBy(KEY).agg(F.max("pts").alias("end"))
-    own = checkpointed(mappings(mapping, ends).join(ends, KEY))
-    time = of_columns().source_time(F.col("p"))
-    cuts = for_each(own, onsets.select(*[c for c in (KEY, "p") if c in onsets.columns])).filter(time < F.col("end")).select(KEY, F.col("p").cast("long").alias("p"))
-    cuts = checkpointed(cuts)
+    own = checkpointed(mappings(mapping, ends).join(ends, KEY))  # used for cuts and for titles
+    place = lambda rows: rows.select(*[c for c in (KEY, "p") if c in rows.columns])
+    cuts = for_each(own, place(onsets)).filter(of_columns().source_time(F.col("p")) < F.col("end")).withColumn("p", F.col("p").cast("long"))
+    one = lambda variant, segment, m, p: F.struct(variant.alias("variant"), segment.alias("segment"), m.source_time(p).alias("t"))
     segment = F.when(F.col("p") < F.col("brk"), "A").otherwise("B")
-    rows = cuts.join(variants(mapping, ends), KEY).select(KEY, "variant", segment.alias("segment"), "p", *_MAPPED)
-    drawn = F.pmod(F.xxhash64("p", F.lit(seed)), F.lit(ANALYSIS_LAST - ANALYSIS_FIRST)) + ANALYSIS_FIRST
-    extra = cuts.select(KEY, F.lit("random").alias("segment"), drawn.alias("p")).unionByName(for_each(own.select(KEY), titles).select(KEY, F.lit("titles").alias("segment"), F.col("p").cast("long").alias("p")))
-    extra = extra.join(own, KEY).select(KEY, F.lit("mapping").alias("variant"), "segment", "p", *_MAPPED)
+    each = F.transform(variants(), lambda v: one(v["variant"], segment, Mapping(*[v[c] for c in _MAPPED]), F.col("p")))
     # the same frame may be drawn twice, and counts twice
-    w = Window.partitionBy(KEY, "variant", "segment", "p").orderBy("p")
-    rows = rows.unionByName(extra).withColumn("copy", F.row_number().over(w)).select(KEY, "variant", "segment", "p", "copy", time.alias("t"))
+    drawn = F.pmod(F.xxhash64("p", F.lit(seed)), F.lit(ANALYSIS_LAST - ANALYSIS_FIRST)) + ANALYSIS_FIRST
+    drawn = one(F.lit("mapping"), F.lit("random"), of_columns(), drawn)
+    rows = cuts.select(KEY, F.inline(F.concat(each, F.array(drawn))))
+    named = for_each(own, place(titles)).select(KEY, F.inline(F.array(one(F.lit("mapping"), F.lit("titles"), of_columns(), F.col("p").cast("long")))))
     o = F.col("offset")
-    return cut_offsets(frames, checkpointed(rows)).groupBy(KEY, "variant", "segment").agg(
+    return _offsets_at(frames, rows.unionByName(named)).groupBy(KEY, "variant", "segment").agg(
         F.count(F.lit(1)).alias("n"), F.avg((o == 0).cast("double")).alias("exact"), F.avg((F.abs(o) <= 1).cast("double")).alias("within_1")
     )
 

@@ -45,6 +45,14 @@ def for_each(recordings: DataFrame, rows: DataFrame) -> DataFrame:
     return recordings.join(rows, KEY) if KEY in rows.columns else recordings.crossJoin(rows)
 
 
+def stretch_of(frames: DataFrame) -> float | None:
+    """Seconds by which nearest frames are sought: those that FRAMES frames take in the densest recording that has more, on average.
+    Where none has more there is nothing to deal further than by recording: None."""
+    n, length = F.count("pts"), F.max("pts") - F.min("pts")
+    step = frames.groupBy(KEY).agg(n.alias("n"), length.alias("length")).filter(F.col("n") > FRAMES).agg(F.min(F.col("length") / F.col("n"))).first()[0]
+    return None if step is None else FRAMES * step if 0 < step < float("inf") else SECONDS
+
+
 def rate_scan(seen: DataFrame, cuts: DataFrame, rates: list[float] = FILM_RATES) -> DataFrame:
     """(recording, rank, rate, peaks): offsets between seen cuts (recording, i, pts) at each rate and annotated ones (recording, p)."""
     table = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(float(r)).alias("rate")) for k, r in enumerate(rates)])
@@ -158,6 +166,6 @@ def frame_map(mapping: Mapping | DataFrame, frames: DataFrame, n: int = N_FRAMES
     ends = burst.groupBy(KEY).agg((F.max("pts") + F.coalesce(F.median("step"), F.lit(0.0)) / 2).alias("end"))
     burst = burst.drop("step")
     rows = mappings(mapping, ends).join(ends, KEY).crossJoin(axis(frames.sparkSession, n)).select(KEY, "p", "end", of_columns().source_time(F.col("p")).alias("file_time"))
-    near = asof.nearest(rows, burst, [KEY], "file_time", "pts", "i", SECONDS)
+    near = asof.nearest(rows, burst, [KEY], "file_time", "pts", "i", stretch_of(burst))
     flag: Column = F.when(F.col("file_time") > F.col("end"), 2).when(F.col("near.burst"), 1).otherwise(0)
     return near.select(KEY, "p", F.col("near.i").cast("int").alias("file_frame"), "file_time", flag.cast("smallint").alias("flag"))

@@ -122,3 +122,21 @@ def test_stab_is_half_open(spark):
     points = spark.createDataFrame([(1, p) for p in (0, 5, 9, 10, 24, 25)], "k int, p long")
     got = runs.stabbed(points, spans, ["k"], "p", "a", "b", 8).groupBy("p").agg(F.array_sort(F.collect_list("label")).alias("l"))
     assert {r["p"]: r["l"] for r in got.collect()} == {0: ["a"], 5: ["a", "b"], 9: ["a", "b"], 10: ["b"], 24: ["b"]}
+
+
+def test_loudest_by_stretches(spark):
+    rng = random.Random(5)
+    values = {k: [rng.choice((0.0, 1.0, 2.0, 7.5, None)) for _ in range(n)] for k, n in (("a", 83), ("b", 4), ("c", 1))}
+    df = spark.createDataFrame([(k, i, v) for k, row in values.items() for i, v in enumerate(row)], "k string, i long, v double").repartition(3)
+    low = lambda v: -1.0 if v is None else v
+    want = {}
+    for k, row in values.items():
+        for i in range(len(row)):
+            seen = [(low(row[min(max(i + w, 0), len(row) - 1)]), -w) for w in range(-5, 6)]
+            want[k, i] = -max(seen)[1]
+    for size in (1, 7, 100_000):
+        assert {(r["k"], r["i"]): r["offset"] for r in signal.loudest(df, ["k"], "i", "v", 5, size).collect()} == want
+    at = spark.createDataFrame([("a", 0, "x"), ("a", 0, "x"), ("a", 82, "y"), ("b", 3, "z")], "k string, i long, name string")
+    got = signal.loudest_nearby(df, at, ["k"], "i", "v")
+    assert got.columns == ["k", "i", "name", "offset"]
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 0, "x", want["a", 0])] * 2 + [("a", 82, "y", want["a", 82]), ("b", 3, "z", want["b", 3])]
